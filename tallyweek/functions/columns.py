@@ -107,11 +107,16 @@ def joined_label(*cols: Column, sep: str = ".") -> Column:
     return F.concat_ws(sep, *[c.cast("string") for c in cols])
 
 
+def money(col: Column) -> Column:
+    """A money value to the cent, NaN as missing."""
+    return F.when(~F.isnan(col.cast("double")), col).cast(MONEY)
+
+
 def money_sum(col: Column) -> Column:
     """Sum to the cent, the same however the rows are partitioned."""
-    return F.sum(col.cast(MONEY)).cast("double")
+    return F.sum(money(col)).cast("double")
 
 
 def money_mean(col: Column) -> Column:
     """Mean of a money column from its exact sum."""
-    return F.try_divide(money_sum(col), F.count(col))
+    return F.try_divide(money_sum(col), F.count(money(col)))

@@ -26,6 +26,9 @@ GRIDS: dict[str, list[dict[str, int]]] = {
     "tree": [{"max_depth": 5}, {"max_depth": 10}],
 }
 
+# Each fit holds a binned copy of its rows; this bounds the copies together.
+ROWS_AT_ONCE = 2_000_000_000
+
 EVAL_FIELDS = (
     "model string, fold int, rmse double, r_squared double, "
     "num_trees int, max_iter int, max_depth int, select_rmse double"
@@ -70,7 +73,8 @@ def cross_validate(
     fits on four fifths of them, takes it on the rest, and fits the chosen point
     again on all. The fold's own rows never take part in the choice.
 
-    The rows are turned into vectors once and cached; fits run side by side.
+    The rows are turned into vectors once and cached. Fits run side by side, as
+    many as keep the rows they hold at a time under `ROWS_AT_ONCE`.
     """
     if select_on not in ("train", "inner"):
         raise ValueError("select_on must be 'train' or 'inner'")
@@ -88,6 +92,7 @@ def cross_validate(
     rows = to_vector.transform(rows)
     entries = models.vector_names(rows)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    workers = max(1, min(parallelism, ROWS_AT_ONCE // max(1, rows.count())))
     points = [dict(p) for p in grid] if grid else [{}]
 
     def fit_point(train: DataFrame, point: Mapping[str, object]):
@@ -119,7 +124,7 @@ def cross_validate(
     threaded = inheritable_thread_target(spark)
     numbers = range(1, k + 1)
     try:
-        with ThreadPool(parallelism) as pool:
+        with ThreadPool(workers) as pool:
             jobs = [(i, point) for i in numbers for point in points]
             tried = pool.map(threaded(attempt), jobs, chunksize=1)
             chosen = []

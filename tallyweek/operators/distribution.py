@@ -36,19 +36,19 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     Bins are numbered from 1; the largest value belongs to the last one.
     """
     rows = keep_present(df, value).select(F.col(value).cast("double").alias("x"))
-    low, high = rows.agg(F.min("x")).scalar(), rows.agg(F.max("x")).scalar()
+    low, high = rows.agg(F.min("x"), F.max("x")).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "bin int, bin_start double, bin_end double, n bigint")
     width = (high - low) / bins
-    number = F.least(F.floor(F.try_divide(F.col("x") - low, width)), F.lit(bins - 1).cast("long"))
-    counts = rows.groupBy((F.coalesce(number, F.lit(0)) + 1).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    number = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1)) if width else F.lit(0)
+    counts = rows.groupBy((number + 1).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    frame = df.sparkSession.createDataFrame(
+        [(i, low + (i - 1) * width, low + i * width) for i in range(1, bins + 1)],
+        "bin int, bin_start double, bin_end double",
+    )
     return (
         frame.join(counts, "bin", "left")
-        .select(
-            "bin",
-            (low + (F.col("bin") - 1) * width).alias("bin_start"),
-            (low + F.col("bin") * width).alias("bin_end"),
-            F.coalesce("n", F.lit(0)).alias("n"),
-        )
+        .select("bin", "bin_start", "bin_end", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
         .orderBy("bin")
     )
 

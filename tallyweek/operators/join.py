@@ -24,7 +24,8 @@ def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt: int
     """
     if not salt or salt < 2:
         return left.join(right, list(keys))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int")
+    # With the partition in the hash, equal rows spread too.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salt)).cast("int")
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return left.withColumn("_salt", spread).join(repeated, [*keys, "_salt"]).drop("_salt")
 

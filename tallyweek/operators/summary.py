@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.functions.columns import money_mean, money_sum, percent
+from tallyweek.functions.columns import money, money_mean, money_sum, percent
 from tallyweek.functions.sizing import SMALL_ROWS, pin
 from tallyweek.operators.quantile import quantiles
 
@@ -72,7 +72,7 @@ def share_by(df: DataFrame, *keys: str) -> DataFrame:
 
 def holiday_lift(df: DataFrame, flag: str, value: str) -> DataFrame:
     """Share of rows, share of sales and mean ratio of flagged rows."""
-    on, v = F.coalesce(F.col(flag).cast("int"), F.lit(0)) == 1, F.col(value)
+    on, v = F.coalesce(F.col(flag).cast("int"), F.lit(0)) == 1, money(F.col(value))
     sums = df.agg(
         F.count_if(on).alias("n_holiday"),
         F.count(F.lit(1)).alias("n_rows"),
@@ -142,9 +142,9 @@ def rank_rows(
     if held is not None:
         return table.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     key = F.struct(*order)
-    drawn = table.select(*order).orderBy(F.xxhash64(*order), *order).limit(splits - 1)
-    cuts = F.array_sort(F.collect_list(key))
-    edges = drawn.agg(cuts).scalar()
+    drawn = table.select(*order).orderBy(F.xxhash64(*order), *order).limit(splits - 1).collect()
+    kinds = {c: table.schema[c].dataType for c in order}
+    edges = F.array(*[F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in order]) for row in drawn])
     ranged = table.withColumn("_range", F.size(F.filter(edges, lambda edge: edge <= key)))
     counts, _ = pin(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")))
     before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
