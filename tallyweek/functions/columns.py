@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
     """Names of the numeric columns, in order."""
@@ -107,16 +105,20 @@ def joined_label(*cols: Column, sep: str = ".") -> Column:
     return F.concat_ws(sep, *[c.cast("string") for c in cols])
 
 
-def money(col: Column) -> Column:
-    """A money value to the cent, NaN as missing."""
-    return F.when(~F.isnan(col.cast("double")), col).cast(MONEY)
+def cents(col: Column) -> Column:
+    """An amount as whole cents, NaN as missing.
+
+    Whole numbers add up the same in any order, and several times faster than
+    decimals; a sum past 9.2e18 cents is an error, not a wrong number.
+    """
+    return F.when(~F.isnan(col.cast("double")), F.rint(col * 100).cast("bigint"))
 
 
 def money_sum(col: Column) -> Column:
     """Sum to the cent, the same however the rows are partitioned."""
-    return F.sum(money(col)).cast("double")
+    return F.sum(cents(col)) / 100
 
 
 def money_mean(col: Column) -> Column:
     """Mean of a money column from its exact sum."""
-    return F.try_divide(money_sum(col), F.count(money(col)))
+    return F.try_divide(money_sum(col), F.count(cents(col)))

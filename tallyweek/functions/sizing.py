@@ -6,9 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Rows a table may have to be held as a local relation (and so be broadcast).
 SMALL_ROWS = 100_000
@@ -40,6 +42,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], fields: str) -> DataFrame:
+    """A handful of rows as a table whose size Spark knows."""
+    schema = T.StructType.fromDDL(fields)
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+    arrays = [
+        pa.array([row[i] for row in rows], kinds[field.dataType.simpleString()]) for i, field in enumerate(schema)
+    ]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema=schema)
+
+
 def pin(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, pa.Table | None]:
     """Materialise `df`, and give its rows too if they are few.
 

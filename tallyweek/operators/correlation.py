@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import is_missing, numeric_columns
+from tallyweek.functions.sizing import local_table
 
 def _profile(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[bool, bool]]:
     """For each column: is it constant, has it missing values."""
@@ -56,7 +57,7 @@ def _complete_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFram
         .groupBy("i")
         .agg(F.when(moving, F.try_divide(F.covar_pop(u, v), spread)).alias("r"))
     )
-    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, x string, y string")
+    names = local_table(df.sparkSession, [(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, x string, y string")
     return names.join(found, "i", "left").select("x", "y", "r")
 
 
@@ -76,7 +77,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, uppe
         known |= {(a, b): float(r[i, j]) for (i, a), (j, b) in combinations(enumerate(whole), 2)}
     known |= {p: None for p in combinations(names, 2) if constant & set(p)}
     rows = [(a, b, v) for (a, b), v in known.items()]
-    out = df.sparkSession.createDataFrame(rows, "x string, y string, r double")
+    out = local_table(df.sparkSession, rows, "x string, y string, r double")
     open_pairs = [p for p in combinations(names, 2) if p not in known]
     if open_pairs:
         out = out.unionByName(_complete_pairs(df, open_pairs))
@@ -102,7 +103,7 @@ def first_component_order(df: DataFrame, columns: Sequence[str] | None = None) -
         component = -component
     loads = sorted(zip(varying, map(float, component)), key=lambda t: (t[1], t[0]))
     table = [(i, c, v) for i, (c, v) in enumerate(loads, start=1)]
-    return df.sparkSession.createDataFrame(table, "position int, column string, loading double")
+    return local_table(df.sparkSession, table, "position int, column string, loading double")
 
 
 def screen_features(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import fixed_text, joined_label, other_columns
+from tallyweek.functions.sizing import local_table
 from tallyweek.operators import models
 from tallyweek.operators.metrics import regression_metrics
 from tallyweek.operators.models import FEATURES, MODEL_NAMES, Fit
@@ -149,7 +150,7 @@ def cross_validate(
         fits=[Fit(PipelineModel([to_vector, m]), label, entries, dropped) for m, _, _ in finished],
         params=[c[1] for c in chosen],
         predictions=stack_rows(*held_out),
-        evals=spark.createDataFrame(evals, EVAL_FIELDS),
+        evals=local_table(spark, evals, EVAL_FIELDS),
     )
 
 

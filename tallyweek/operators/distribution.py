@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import money_mean, money_sum
+from tallyweek.functions.sizing import local_table
 from tallyweek.operators.clean import clip, keep_present
 from tallyweek.operators.join import attach_stats
-from tallyweek.operators.quantile import quantiles
+from tallyweek.operators.quantile import named_quantiles
 
 
 def skewness(df: DataFrame, value: str) -> DataFrame:
@@ -38,14 +39,12 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     rows = keep_present(df, value).select(F.col(value).cast("double").alias("x"))
     low, high = rows.agg(F.min("x"), F.max("x")).first()
     if low is None:
-        return df.sparkSession.createDataFrame([], "bin int, bin_start double, bin_end double, n bigint")
+        return local_table(df.sparkSession, [], "bin int, bin_start double, bin_end double, n bigint")
     width = (high - low) / bins
     number = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1)) if width else F.lit(0)
     counts = rows.groupBy((number + 1).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    frame = df.sparkSession.createDataFrame(
-        [(i, low + (i - 1) * width, low + i * width) for i in range(1, bins + 1)],
-        "bin int, bin_start double, bin_end double",
-    )
+    edges = [(i, low + (i - 1) * width, low + i * width) for i in range(1, bins + 1)]
+    frame = local_table(df.sparkSession, edges, "bin int, bin_start double, bin_end double")
     return (
         frame.join(counts, "bin", "left")
         .select("bin", "bin_start", "bin_end", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
@@ -76,12 +75,12 @@ def density(
     """
     rows = clip(keep_present(df, value), value, upper, lower).select(F.col(value).cast("double").alias("x"))
     n, sd, low = rows.agg(F.count("x"), F.stddev_samp("x"), F.min("x")).first()
-    empty = df.sparkSession.createDataFrame([], "point int, x double, density double")
+    empty = local_table(df.sparkSession, [], "point int, x double, density double")
     if not n or not sd:
         return empty
     low = low if lower is None else float(lower)
-    quarter = {r["prob"]: r["quantile"] for r in quantiles(rows, "x", [0.25, 0.75]).collect()}
-    spread = min(sd, (quarter[0.75] - quarter[0.25]) / 1.34) or sd
+    q1, q3 = named_quantiles(rows, "x", {"q1": 0.25, "q3": 0.75}).first()
+    spread = min(sd, (q3 - q1) / 1.34) or sd
     bandwidth = 0.9 * spread * math.pow(n, -0.2)
     step = (upper - low) / (points - 1)
 
@@ -108,13 +107,11 @@ def box_stats(df: DataFrame, group: Sequence[str], value: str, entity: Sequence[
     rows = keep_present(df, value).select(*group, *entity, F.col(value).cast("double").alias("x"))
     if entity:
         rows = rows.distinct()
-    q = quantiles(rows, "x", [0.25, 0.5, 0.75], group)
-    box = q.groupBy(*group).agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(c)
-                                  for p, c in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    box = named_quantiles(rows, "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, group)
     fence = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("x").between(F.col("q1") - fence, F.col("q3") + fence)
     return (
-        attach_stats(rows, box, group)
+        attach_stats(rows, box, group, pinned=True)
         .groupBy(*group)
         .agg(
             F.count(F.lit(1)).alias("n"),

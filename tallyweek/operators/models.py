@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweek.functions.columns import other_columns
+from tallyweek.functions.sizing import local_table
 from tallyweek.operators.metrics import regression_metrics
 from tallyweek.operators.reshape import stack_rows, stack_with_id
 
@@ -162,8 +163,8 @@ def linear_summary(fitted: Fit, spark) -> DataFrame:
     except Exception:  # not available when the features are collinear
         errors = t = p = [None] * len(terms)
     rows = list(zip(terms, values, errors, t, p)) + [(c, 0.0, None, None, None) for c in fitted.dropped]
-    return spark.createDataFrame(
-        rows, "term string, coefficient double, std_error double, t_value double, p_value double"
+    return local_table(
+        spark, rows, "term string, coefficient double, std_error double, t_value double, p_value double"
     )
 
 
@@ -178,15 +179,15 @@ def model_overview(fits: Mapping[str, Fit], spark) -> DataFrame:
             rows.append((kind, 1, m.numNodes, m.depth, None, None))
         else:
             rows.append((kind, None, None, None, m.summary.rootMeanSquaredError, m.summary.r2))
-    return spark.createDataFrame(
-        rows, "model string, n_trees int, n_nodes int, depth int, train_rmse double, train_r_squared double"
+    return local_table(
+        spark, rows, "model string, n_trees int, n_nodes int, depth int, train_rmse double, train_r_squared double"
     )
 
 
 def feature_importance(fitted: Fit, spark) -> DataFrame:
     """Importance of each feature of a tree model."""
     rows = list(zip(fitted.features, map(float, fitted.model.featureImportances.toArray())))
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    return local_table(spark, rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
 def compare_importance(fits: Mapping[str, Fit], spark) -> DataFrame:

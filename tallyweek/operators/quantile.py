@@ -8,7 +8,7 @@ Each pass reads two columns, shuffles bucket counts, and moves no rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -41,35 +41,45 @@ def _placed(buckets: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
 
 
 def quantiles(
+    df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = (), **how: int | None
+) -> DataFrame:
+    """Interpolated quantiles in long form: group columns, prob, quantile."""
+    wide = named_quantiles(df, value, {f"_p{i}": p for i, p in enumerate(probs)}, group, **how)
+    entries = [
+        F.struct(F.lit(float(p)).alias("prob"), F.col(f"_p{i}").alias("quantile")) for i, p in enumerate(probs)
+    ]
+    return wide.select(*group, F.inline(F.array(*entries)))
+
+
+def named_quantiles(
     df: DataFrame,
     value: str,
-    probs: Sequence[float],
+    probs: Mapping[str, float],
     group: Sequence[str] = (),
     approx: int | None = None,
     sort_rows: int = SORT_ROWS,
     parts: int = PARTS,
 ) -> DataFrame:
-    """Interpolated quantiles (A3, A21): group columns, prob, quantile.
+    """Interpolated quantiles, a named column each and one row per group.
 
-    Missing values are left out. The exact answer takes two passes for buckets
-    up to `sort_rows` rows and one more per further division; it is computed
-    here, not lazily, so a `df` that is costly to compute should be saved or
-    cached first. `approx` gives the accuracy of a one-pass estimate instead.
+    Missing values are left out, and so are groups with no other. The exact
+    answer takes two passes for buckets up to `sort_rows` rows and one more per
+    further division; it is computed here, not lazily, so a `df` that is costly
+    to compute should be saved or cached first. `approx` gives the accuracy of
+    a one-pass estimate instead.
     """
-    group = list(group)
+    group, names = list(group), list(probs)
     gs = [f"_g{i}" for i in range(len(group))]
-    x = F.col(value).cast("double")
-    rows = df.select(*[F.col(g).alias(a) for g, a in zip(group, gs)], x.alias("_x"))
+    rows = df.select(*[F.col(g).alias(a) for g, a in zip(group, gs)], F.col(value).cast("double").alias("_x"))
     rows = rows.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    back = [F.col(a).alias(g) for g, a in zip(group, gs)]
-
+    at = [float(p) for p in probs.values()]
     if approx:
-        marks = F.array(*[F.lit(float(p)) for p in probs])
-        found = rows.groupBy(*gs).agg(F.percentile_approx("_x", list(map(float, probs)), approx).alias("_q"))
-        pairs = F.arrays_zip(marks.alias("prob"), F.col("_q").alias("quantile"))
-        return found.where(F.col("_q").isNotNull()).select(*back, F.inline(pairs)).toDF(*group, "prob", "quantile")
-
-    return _exact(rows, probs, gs, sort_rows, parts).select(*back, "prob", "quantile")
+        found = rows.groupBy(*gs).agg(F.percentile_approx("_x", at, approx).alias("_q")).where(F.col("_q").isNotNull())
+        columns = [F.col("_q")[i].alias(name) for i, name in enumerate(names)]
+    else:
+        found = _exact(rows, at, gs, sort_rows, parts)
+        columns = [F.col(f"_q{i}").alias(name) for i, name in enumerate(names)]
+    return found.select(*[F.col(a).alias(g) for g, a in zip(group, gs)], *columns)
 
 
 def _exact(rows: DataFrame, probs: Sequence[float], gs: list[str], sort_rows: int, parts: int) -> DataFrame:
@@ -81,7 +91,7 @@ def _exact(rows: DataFrame, probs: Sequence[float], gs: list[str], sort_rows: in
     first = rows.groupBy(*gs, _first_bucket(F.col("_x")).alias("_b")).agg(*stats)
     first = first.withColumn("_total", F.sum("_n").over(Window.partitionBy(*gs)))
     ranks = []
-    for p in map(float, probs):
+    for p in probs:
         at = F.lit(p) * (F.col("_total") - 1)
         for rank in (F.floor(at), F.ceil(at)):
             ranks.append(F.struct(F.lit(p).alias("_prob"), (at - F.floor(at)).alias("_frac"), rank.alias("_rank")))
@@ -116,9 +126,14 @@ def _exact(rows: DataFrame, probs: Sequence[float], gs: list[str], sort_rows: in
     if _any(found, held, 0):
         hits = look_again(todo, F.col("_x"), [F.count(F.lit(1)).alias("_n")])
         ends = ends.unionByName(hits.select(*gs, "_prob", "_frac", F.col("_b").alias("_v")))
-    low, high = F.min("_v"), F.max("_v")
-    quantile = F.when(low == high, low).otherwise(low + (high - low) * F.max("_frac"))
-    return pin(ends.groupBy(*gs, F.col("_prob").alias("prob")).agg(quantile.alias("quantile")))[0]
+    columns = []
+    for i, p in enumerate(probs):
+        v, frac = F.when(F.col("_prob") == p, F.col("_v")), F.when(F.col("_prob") == p, F.col("_frac"))
+        low, high = F.min(v), F.max(v)
+        columns.append(F.when(low == high, low).otherwise(low + (high - low) * F.max(frac)).alias(f"_q{i}"))
+    answer = ends.groupBy(*gs).agg(*columns)
+    # Over no rows at all an ungrouped aggregate still gives one.
+    return pin(answer if gs else answer.where(F.col("_q0").isNotNull()))[0]
 
 
 def _any(found: DataFrame, held: pa.Table | None, rows: int) -> bool:

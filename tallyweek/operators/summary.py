@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.functions.columns import money, money_mean, money_sum, percent
+from tallyweek.functions.columns import cents, money_mean, money_sum, percent
 from tallyweek.functions.sizing import SMALL_ROWS, pin
-from tallyweek.operators.quantile import quantiles
+from tallyweek.operators.quantile import named_quantiles
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -51,7 +51,7 @@ def peak_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def six_numbers(df: DataFrame, value: str) -> DataFrame:
     """Count, minimum, mean, exact median, maximum and sd of a money column (A3)."""
     v = F.col(value)
-    median = quantiles(df, value, [0.5]).select("quantile").scalar()
+    median = named_quantiles(df, value, {"median_sales": 0.5}).scalar()
     return df.agg(
         F.count(F.lit(1)).alias("count_sales"),
         F.min(v).alias("min_sales"),
@@ -72,12 +72,12 @@ def share_by(df: DataFrame, *keys: str) -> DataFrame:
 
 def holiday_lift(df: DataFrame, flag: str, value: str) -> DataFrame:
     """Share of rows, share of sales and mean ratio of flagged rows."""
-    on, v = F.coalesce(F.col(flag).cast("int"), F.lit(0)) == 1, money(F.col(value))
+    on, v = F.coalesce(F.col(flag).cast("int"), F.lit(0)) == 1, F.col(value)
     sums = df.agg(
         F.count_if(on).alias("n_holiday"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(on, v)).alias("_n_on"),
-        F.count(F.when(~on, v)).alias("_n_off"),
+        F.count(F.when(on, cents(v))).alias("_n_on"),
+        F.count(F.when(~on, cents(v))).alias("_n_off"),
         money_sum(F.when(on, v)).alias("_sum_on"),
         money_sum(F.when(~on, v)).alias("_sum_off"),
     )

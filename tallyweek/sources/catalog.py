@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyweek.functions.sizing import local_table
+
 TABLE_FIELDS = "name string, table_type string, is_temporary boolean"
 
 
@@ -24,7 +26,7 @@ def publish(df: DataFrame, name: str, overwrite: bool = True, stored: bool = Fal
 def list_tables(spark: SparkSession, pattern: str | None = None) -> DataFrame:
     """The tables and views of the session."""
     rows = [(t.name, t.tableType, t.isTemporary) for t in spark.catalog.listTables(pattern=pattern)]
-    return spark.createDataFrame(rows, TABLE_FIELDS).orderBy("name")
+    return local_table(spark, rows, TABLE_FIELDS).orderBy("name")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

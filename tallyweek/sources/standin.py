@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.functions.columns import MONEY
+from tallyweek.functions.columns import cents
 
 # ISO weeks that count as holiday weeks, and the store types.
 HOLIDAY_WEEKS = (6, 36, 47, 52)
@@ -35,12 +35,12 @@ def _holiday(date: str) -> Column:
 
 
 def sales(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
+    price = cents(F.col("l_extendedprice"))
     signed = F.when(F.col("l_returnflag") == "R", -price).otherwise(price)
     return (
         _lines(spark, sf_dir, years)
         .groupBy("store", F.col("l_linenumber").alias("dept"), "week_date")
-        .agg(F.sum(signed).cast("double").alias("weekly_sales"))
+        .agg((F.sum(signed) / 100).alias("weekly_sales"))
         .withColumn("is_holiday", _holiday("week_date"))
     )
 
@@ -59,7 +59,7 @@ def features(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = N
     """Markdowns are text, with `NA` where missing, as in a raw file."""
 
     def mean(c: str) -> Column:
-        return F.sum(F.col(c).cast(MONEY)).cast("double") / F.count(F.lit(1))
+        return F.sum(cents(F.col(c))) / 100 / F.count(F.lit(1))
 
     n = F.col("n")
     weekly = (
