@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,11 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
+def map_columns(df: DataFrame, names: Sequence[str], change: Callable[[Column], Column]) -> DataFrame:
+    """Apply one change to several columns; for all of them pass `df.columns`."""
+    return df.withColumns({c: change(F.col(c)) for c in names})
+
+
 def text_na_to_null(df: DataFrame, token: str = "NA", types: Mapping[str, str] | None = None) -> DataFrame:
     """Turn the text `token` into NULL in every string column.
 
@@ -67,11 +72,13 @@ def fill_missing(df: DataFrame, names: Sequence[str], value: float = 0) -> DataF
 
 
 def to_dates(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("date") for c in names})
+    """Text dates to dates."""
+    return map_columns(df, names, lambda c: c.cast("date"))
 
 
 def bools_to_int(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("int") for c in names})
+    """Flags to 0 and 1."""
+    return map_columns(df, names, lambda c: c.cast("int"))
 
 
 def encode(col: Column, codes: Mapping[object, object]) -> Column:

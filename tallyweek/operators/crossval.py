@@ -89,7 +89,7 @@ def cross_validate(
     if select_on == "inner":
         rows = rows.withColumn("_inner", hash_bucket(key or names, 5, seed=1))
     dropped = models.constant_columns(rows, names) if isinstance(make(), LinearRegression) else []
-    to_vector, _ = models.vectorizer(rows, label, [c for c in names if c not in dropped])
+    to_vector = models.vectorizer(rows, label, [c for c in names if c not in dropped])
     rows = to_vector.transform(rows)
     entries = models.vector_names(rows)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -18,6 +18,9 @@ from tallyweek.operators.clean import clip, keep_present
 from tallyweek.operators.join import attach_stats
 from tallyweek.operators.quantile import named_quantiles
 
+# Bandwidths at which a Gaussian is zero in double precision.
+REACH = 39
+
 
 def skewness(df: DataFrame, value: str) -> DataFrame:
     """Population skewness."""
@@ -70,8 +73,7 @@ def density(
 
     Rows outside the range are left out. The bandwidth is Silverman's,
     0.9 * min(sd, IQR / 1.34) * n^(-1/5). Rows are first counted in bins of
-    1/`fineness` of it, each bin standing at the mean of its rows, so the
-    grid meets some thousands of bins whatever the row count.
+    1/`fineness` of it, each bin standing at the mean of its rows.
     """
     rows = clip(keep_present(df, value), value, upper, lower).select(F.col(value).cast("double").alias("x"))
     n, sd, low = rows.agg(F.count("x"), F.stddev_samp("x"), F.min("x")).first()
@@ -87,15 +89,19 @@ def density(
     binned = rows.groupBy(F.floor((F.col("x") - low) / (bandwidth / fineness)).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("center")
     )
-    at = F.lit(low) + F.col("point") * step
-    u = (at - F.col("center")) / bandwidth
-    return (
-        binned.select("n", "center", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    # A bin meets only the grid points near it: further off the kernel is zero
+    # in double precision, and so the pairs stay few for any bandwidth.
+    first = F.greatest(F.lit(0.0), F.ceil((F.col("center") - REACH * bandwidth - low) / step).cast("double")).cast("int")
+    last = F.least(F.lit(points - 1.0), F.floor((F.col("center") + REACH * bandwidth - low) / step).cast("double")).cast("int")
+    u = (F.lit(low) + F.col("point") * step - F.col("center")) / bandwidth
+    sums = (
+        binned.where(first <= last)
+        .select("n", "center", F.explode(F.sequence(first, last)).alias("point"))
         .groupBy("point")
         .agg((F.sum(F.col("n") * F.exp(-u * u / 2)) / (n * bandwidth * math.sqrt(2 * math.pi))).alias("density"))
-        .select("point", at.alias("x"), "density")
-        .orderBy("point")
     )
+    grid = local_table(df.sparkSession, [(i, low + i * step) for i in range(points)], "point int, x double")
+    return grid.join(sums, "point", "left").fillna(0.0, ["density"]).orderBy("point")
 
 
 def box_stats(df: DataFrame, group: Sequence[str], value: str, entity: Sequence[str] = ()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -76,7 +77,7 @@ def constant_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in names if row[c]]
 
 
-def vectorizer(df: DataFrame, label: str, features: Sequence[str] | None = None) -> tuple[Transformer, list[str]]:
+def vectorizer(df: DataFrame, label: str, features: Sequence[str] | None = None) -> Transformer:
     """Turns rows into label and feature vector, as in the formula `label ~ .` (M3).
 
     Numbers enter as they are. Text enters as indicators, which takes a pass to
@@ -85,9 +86,20 @@ def vectorizer(df: DataFrame, label: str, features: Sequence[str] | None = None)
     names = list(features) if features is not None else other_columns(df, label)
     if any(isinstance(df.schema[c].dataType, T.StringType) for c in names):
         formula = f"{label} ~ {' + '.join(names)}"
-        model = RFormula(formula=formula, featuresCol=FEATURES, labelCol=f"_{label}", handleInvalid="skip").fit(df)
-        return model, names
-    return VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="skip"), names
+        return RFormula(formula=formula, featuresCol=FEATURES, labelCol=f"_{label}", handleInvalid="skip").fit(df)
+    return VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="skip")
+
+
+def formula_columns(df: DataFrame, formula: str) -> tuple[str, list[str]]:
+    """Label and features of `y ~ .`, `y ~ a + b` or `y ~ . - a` (M3)."""
+    label, right = (side.strip() for side in formula.split("~"))
+    features: list[str] = []
+    for sign, term in re.findall(r"([+-]?)\s*([^\s+-]+)", right):
+        names = other_columns(df, label) if term == "." else [term]
+        if unknown := [c for c in names if c not in df.columns]:
+            raise ValueError(f"no column {unknown[0]}")
+        features = [c for c in features if c not in names] if sign == "-" else features + [c for c in names if c not in features]
+    return label, features
 
 
 def vector_names(df: DataFrame, column: str = FEATURES) -> list[str]:
@@ -99,12 +111,13 @@ def vector_names(df: DataFrame, column: str = FEATURES) -> list[str]:
 
 def fit(
     train: DataFrame,
-    label: str,
+    target: str,
     estimator: str | Estimator | Callable[..., Estimator] = "linear",
     features: Sequence[str] | None = None,
     **params: object,
 ) -> Fit:
-    """Fit one model (M4-M7). `estimator` is a kind, a constructor (X2) or a built estimator.
+    """Fit one model (M4-M7). `target` is the label column or a formula; `estimator` is
+    a kind, a constructor (X2) or a built estimator.
 
     Constant features are kept out of a linear model, where they would cost it
     its standard errors, and are reported with coefficient 0.
@@ -113,12 +126,15 @@ def fit(
         estimator = ESTIMATORS[estimator]
     if not isinstance(estimator, Estimator):
         estimator = estimator(**params)
+    label = target
+    if "~" in target:
+        label, features = formula_columns(train, target)
     names = list(features) if features is not None else other_columns(train, label)
     dropped: list[str] = []
     if isinstance(estimator, LinearRegression):
         dropped = constant_columns(train, names)
         names = [c for c in names if c not in dropped]
-    to_vector, names = vectorizer(train, label, names)
+    to_vector = vectorizer(train, label, names)
     rows = to_vector.transform(train.where(F.col(label).isNotNull()))
     model = estimator.copy({estimator.labelCol: label}).fit(rows.select(label, FEATURES))
     return Fit(PipelineModel([to_vector, model]), label, vector_names(rows), dropped)

@@ -145,7 +145,7 @@ def errors(rows: str, where: str) -> str:
 def coefficients() -> str:
     """From the orthogonal steps back to the coefficients of the features, last one first."""
     xs = ["store", "is_holiday", "dept", "store_size", "type_numeric", "week_of_year"]
-    names, steps, prev = [], [], "(SELECT * FROM scored LIMIT 1)"
+    steps, prev = [], "beta, c1, c2, c3, c4, c5, c6"
     for k in range(6, 0, -1):
         rest = "".join(f" - k{j} * b{j}_{k}" for j in range(k + 1, 7))
         steps.append(f"w{k} AS (SELECT *, g{k}{rest} AS k{k} FROM {prev})")
@@ -154,8 +154,7 @@ def coefficients() -> str:
     rows = [f"SELECT '{x}' AS term, k{k} AS coefficient FROM w1" for k, x in enumerate(xs, start=1)]
     rows.append(f"SELECT '(intercept)', my{total} FROM w1")
     rows.append("SELECT 'year', CAST(0 AS DOUBLE)")
-    names = " UNION ALL ".join(rows)
-    return f", {', '.join(steps)} SELECT term, round(coefficient, 4) AS coefficient FROM ({names})"
+    return f", {', '.join(steps)} SELECT term, round(coefficient, 4) AS coefficient FROM ({' UNION ALL '.join(rows)})"
 
 
 YEAR_ROWS = f", year_rows AS (SELECT *, {BUCKET} AS h FROM panel WHERE year = 1998)"
@@ -335,7 +334,7 @@ BODIES: dict[str, str] = {
     "model_table": f"SELECT {MODEL_COLUMNS} FROM panel WHERE year = 1998",
     "split_counts": f"SELECT CASE WHEN {BUCKET} % 100 < 75 THEN 'train' ELSE 'test' END AS part, count(*) AS n, {TOTAL} AS total_sales FROM sales GROUP BY 1",
     "kfold_counts": f"SELECT CAST({BUCKET} % 5 + 1 AS INTEGER) AS fold, count(*) AS n FROM sales GROUP BY 1",
-    "regression_metrics_by_mean": f", m AS ({means('dept', 'prediction')}), "
+    "regression_metrics": f", m AS ({means('dept', 'prediction')}), "
     "e AS (SELECT weekly_sales AS y, prediction FROM panel JOIN m USING (dept)) "
     "SELECT round(sqrt(avg(pow(y - prediction, 2))), 4) AS rmse, "
     "round(1 - avg(pow(y - prediction, 2)) / var_pop(y), 8) AS r_squared FROM e",

@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from tallyweek.functions import calendar, columns
 from tallyweek.functions.sizing import scratch_path
-from tallyweek.operators import clean, correlation, crossval, distribution, models, quality, reshape, summary
+from tallyweek.operators import clean, correlation, crossval, distribution, metrics, models, quality, reshape, summary
 from tallyweek.operators.join import attach_stats, inner_join
-from tallyweek.operators.metrics import regression_metrics
 from tallyweek.operators.split import split, with_fold
 from tallyweek.plans import panel as plans
 from tallyweek.sources import catalog, files, preview, standin
@@ -58,28 +57,26 @@ def once(fn):
     return kept
 
 
-@once
-def _sales_path(spark, sf_dir):
-    path = scratch_path(spark, "sales")
-    files.save_table(standin.sales(spark, sf_dir).sortWithinPartitions("week_date"), path)
-    return path
+stores = once(standin.stores)
+features = once(standin.features)
 
 
 @once
-def _panel_path(spark, sf_dir):
-    path = scratch_path(spark, "panel")
-    merged = plans.build_panel(sales(spark, sf_dir), standin.stores(spark, sf_dir), standin.features(spark, sf_dir))
-    # Sorted parts let scans skip row groups outside the asked years.
-    files.save_table(merged.sortWithinPartitions("week_date"), path)
-    return path
-
-
 def sales(spark, sf_dir) -> DataFrame:
-    return files.load_table(spark, _sales_path(spark, sf_dir))
+    return _keep(standin.sales(spark, sf_dir), "sales")
 
 
+@once
 def panel(spark, sf_dir) -> DataFrame:
-    return files.load_table(spark, _panel_path(spark, sf_dir))
+    merged = plans.build_panel(sales(spark, sf_dir), stores(spark, sf_dir), features(spark, sf_dir))
+    return _keep(merged, "panel")
+
+
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    """Save a table for the session; sorted parts let scans skip row groups outside the asked years."""
+    path = scratch_path(df.sparkSession, name)
+    files.save_table(df.sortWithinPartitions("week_date"), path)
+    return files.load_table(df.sparkSession, path, df.schema)
 
 
 def good_sales(spark, sf_dir) -> DataFrame:
@@ -97,7 +94,7 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 def src_csv_roundtrip(spark, sf_dir):
     """Features through a delimited file whose missing values read `NA`."""
     path = scratch_path(spark, "csv")
-    files.write_delimited(standin.features(spark, sf_dir), path)
+    files.write_delimited(features(spark, sf_dir), path)
     marks = ", ".join(f"markdown_{i} double" for i in range(1, 6))
     schema = (
         f"store int, week_date date, temperature double, fuel_price double, {marks}, "
@@ -109,7 +106,7 @@ def src_csv_roundtrip(spark, sf_dir):
 @query
 def load_named_table(spark, sf_dir):
     """A table loaded under a name, and again over itself."""
-    catalog.publish(standin.stores(spark, sf_dir), "tw_sales")
+    catalog.publish(stores(spark, sf_dir), "tw_sales")
     named = catalog.publish(sales(spark, sf_dir), "tw_sales", overwrite=True)
     return summary.total_by(named, ["store"], "weekly_sales")
 
@@ -130,8 +127,8 @@ def list_tables(spark, sf_dir):
     """The session's tables with their dimensions."""
     tables = {
         "tw_listed_sales": sales(spark, sf_dir),
-        "tw_listed_stores": standin.stores(spark, sf_dir),
-        "tw_listed_features": standin.features(spark, sf_dir),
+        "tw_listed_stores": stores(spark, sf_dir),
+        "tw_listed_features": features(spark, sf_dir),
     }
     named = {name: catalog.publish(df, name) for name, df in tables.items()}
     listed = catalog.list_tables(spark, "tw_listed_*").withColumnRenamed("name", "table_name")
@@ -163,8 +160,8 @@ def table_dims(spark, sf_dir):
         {
             "sales": sales(spark, sf_dir),
             "clean_sales": good_sales(spark, sf_dir),
-            "stores": standin.stores(spark, sf_dir),
-            "features": standin.features(spark, sf_dir),
+            "stores": stores(spark, sf_dir),
+            "features": features(spark, sf_dir),
             "panel": panel(spark, sf_dir),
         }
     )
@@ -194,14 +191,14 @@ def select_numeric(spark, sf_dir):
 @query
 def enrich_calendar(spark, sf_dir):
     """P4, P15-P17."""
-    merged = plans.enrich(inner_join(good_sales(spark, sf_dir), standin.stores(spark, sf_dir), ["store"]))
+    merged = plans.enrich(inner_join(good_sales(spark, sf_dir), stores(spark, sf_dir), ["store"]))
     return merged.select(*KEY, "is_holiday", "type_numeric", "year", "month", "week_of_year")
 
 
 @query
 def fill_markdowns(spark, sf_dir):
     """P6, P14."""
-    return plans.clean_features(standin.features(spark, sf_dir))
+    return plans.clean_features(features(spark, sf_dir))
 
 
 @query
@@ -221,13 +218,13 @@ def bool_to_int(spark, sf_dir):
 def encode_type(spark, sf_dir):
     """P11."""
     code = columns.encode(F.col("store_type"), plans.TYPE_CODES)
-    return standin.stores(spark, sf_dir).withColumn("type_numeric", code)
+    return stores(spark, sf_dir).withColumn("type_numeric", code)
 
 
 @query
 def na_to_null(spark, sf_dir):
     """Text `NA` to NULL in every text column."""
-    return columns.text_na_to_null(standin.features(spark, sf_dir))
+    return columns.text_na_to_null(features(spark, sf_dir))
 
 
 @query
@@ -280,7 +277,7 @@ def filter_positive(spark, sf_dir):
 @query
 def filter_not_null(spark, sf_dir):
     """F2."""
-    typed = columns.text_na_to_null(standin.features(spark, sf_dir), types={"markdown_1": "double"})
+    typed = columns.text_na_to_null(features(spark, sf_dir), types={"markdown_1": "double"})
     return clean.keep_present(typed, "markdown_1").select("store", "week_date", "markdown_1")
 
 
@@ -308,13 +305,13 @@ def clip_range(spark, sf_dir):
 @query
 def join_store(spark, sf_dir):
     """J1."""
-    return inner_join(sales(spark, sf_dir), standin.stores(spark, sf_dir), ["store"])
+    return inner_join(sales(spark, sf_dir), stores(spark, sf_dir), ["store"])
 
 
 @query
 def join_features(spark, sf_dir):
     """J2."""
-    return inner_join(sales(spark, sf_dir), standin.features(spark, sf_dir), ["store", "week_date", "is_holiday"])
+    return inner_join(sales(spark, sf_dir), features(spark, sf_dir), ["store", "week_date", "is_holiday"])
 
 
 @query
@@ -322,8 +319,8 @@ def star_merge(spark, sf_dir):
     """J3, from the given tables in one plan."""
     return plans.star_merge(
         plans.clean_sales(standin.sales(spark, sf_dir)),
-        standin.stores(spark, sf_dir),
-        plans.clean_features(standin.features(spark, sf_dir)),
+        stores(spark, sf_dir),
+        plans.clean_features(features(spark, sf_dir)),
     )
 
 
@@ -334,7 +331,7 @@ def star_merge(spark, sf_dir):
 def null_audit(spark, sf_dir):
     """A1: features, before missing markdowns are filled."""
     types = {f"markdown_{i}": "double" for i in range(1, 6)}
-    return quality.missing_audit(columns.text_na_to_null(standin.features(spark, sf_dir), types=types))
+    return quality.missing_audit(columns.text_na_to_null(features(spark, sf_dir), types=types))
 
 
 @query
@@ -352,13 +349,13 @@ def sales_summary(spark, sf_dir):
 @query
 def describe_long(spark, sf_dir):
     """A4, R1, R2."""
-    return rounded(quality.describe(plans.clean_features(standin.features(spark, sf_dir))), 5, "mean", "stddev")
+    return rounded(quality.describe(plans.clean_features(features(spark, sf_dir))), 5, "mean", "stddev")
 
 
 @query
 def count_by_type(spark, sf_dir):
     """A5."""
-    return summary.count_by(standin.stores(spark, sf_dir), "store_type")
+    return summary.count_by(stores(spark, sf_dir), "store_type")
 
 
 @query
@@ -539,7 +536,7 @@ def corr_upper(spark, sf_dir):
 def corr_missing(spark, sf_dir):
     """A26 on features whose missing markdowns are left missing."""
     types = {f"markdown_{i}": "double" for i in range(1, 6)}
-    typed = columns.text_na_to_null(standin.features(spark, sf_dir), types=types)
+    typed = columns.text_na_to_null(features(spark, sf_dir), types=types)
     names = ["temperature", "markdown_1", "markdown_2", "markdown_3", "cpi"]
     return rounded(correlation.correlation_matrix(typed, names, upper=True), 6, "r")
 
@@ -680,11 +677,11 @@ def kfold_counts(spark, sf_dir):
 
 
 @query
-def regression_metrics_by_mean(spark, sf_dir):
+def regression_metrics(spark, sf_dir):
     """M10 on the predictor that gives each department its mean."""
     rows = panel(spark, sf_dir).select("dept", "weekly_sales")
     means = summary.mean_by(rows, ["dept"], "weekly_sales", "prediction")
-    out = regression_metrics(attach_stats(rows, means, ["dept"]), "weekly_sales")
+    out = metrics.regression_metrics(attach_stats(rows, means, ["dept"]), "weekly_sales")
     return rounded(rounded(out, 4, "rmse"), 8, "r_squared")
 
 
@@ -697,12 +694,21 @@ def model_parts(spark, sf_dir, keep_key: bool = False) -> dict[str, DataFrame]:
 
 
 @once
-def _fits(spark, sf_dir) -> dict[str, models.Fit]:
-    return models.fit_all(model_parts(spark, sf_dir)["train"], "weekly_sales")
+def _fitted(spark, sf_dir) -> dict[str, models.Fit]:
+    return {}
+
+
+def _fits(spark, sf_dir, *kinds: str) -> dict[str, models.Fit]:
+    """The asked models, fitted on the training rows unless they are already."""
+    done = _fitted(spark, sf_dir)
+    kinds = kinds or tuple(models.ESTIMATORS)
+    if missing := [k for k in kinds if k not in done]:
+        done |= models.fit_all(model_parts(spark, sf_dir)["train"], "weekly_sales", missing)
+    return {k: done[k] for k in kinds}
 
 
 def _metrics(spark, sf_dir, kind) -> DataFrame:
-    return models.compute_metrics(_fits(spark, sf_dir)[kind], model_parts(spark, sf_dir)["test"])
+    return models.compute_metrics(_fits(spark, sf_dir, kind)[kind], model_parts(spark, sf_dir)["test"])
 
 
 @query
@@ -714,7 +720,7 @@ def ml_linear_metrics(spark, sf_dir):
 @query
 def ml_linear_coefficients(spark, sf_dir):
     """M4: the fitted equation."""
-    table = models.linear_summary(_fits(spark, sf_dir)["linear"], spark)
+    table = models.linear_summary(_fits(spark, sf_dir, "linear")["linear"], spark)
     return rounded(table.select("term", "coefficient"), 4, "coefficient")
 
 
@@ -731,7 +737,7 @@ def ml_linear_one_feature(spark, sf_dir):
 @query
 def ml_linear_summary(spark, sf_dir):
     """M8."""
-    return models.linear_summary(_fits(spark, sf_dir)["linear"], spark)
+    return models.linear_summary(_fits(spark, sf_dir, "linear")["linear"], spark)
 
 
 @query
@@ -761,7 +767,7 @@ def ml_model_overview(spark, sf_dir):
 @query
 def compute_metrics(spark, sf_dir):
     """The linear model on both parts."""
-    f = _fits(spark, sf_dir)["linear"]
+    f = _fits(spark, sf_dir, "linear")["linear"]
     scored = {name: models.compute_metrics(f, part) for name, part in model_parts(spark, sf_dir).items()}
     return rounded(rounded(reshape.stack_with_id(scored, "part"), 3, "rmse"), 7, "r_squared")
 
@@ -781,13 +787,13 @@ def model_comparison_long(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     """M14."""
-    return models.feature_importance(_fits(spark, sf_dir)["forest"], spark)
+    return models.feature_importance(_fits(spark, sf_dir, "forest")["forest"], spark)
 
 
 @query
 def importance_compare(spark, sf_dir):
     """M15."""
-    return models.compare_importance(_fits(spark, sf_dir), spark)
+    return models.compare_importance(_fits(spark, sf_dir, "forest", "gbt", "tree"), spark)
 
 
 # Cross-validation
@@ -890,8 +896,7 @@ def cv_importance(spark, sf_dir):
 @query
 def cv_vs_holdout(spark, sf_dir):
     """M24."""
-    kinds = [run.model for run in _runs(spark, sf_dir)]
-    fits = {kind: f for kind, f in _fits(spark, sf_dir).items() if kind in kinds}
+    fits = _fits(spark, sf_dir, *[run.model for run in _runs(spark, sf_dir)])
     test = model_parts(spark, sf_dir)["test"]
     holdout = reshape.stack_with_id({k: models.compute_metrics(f, test) for k, f in fits.items()}, "model")
     return crossval.cv_vs_holdout(holdout, crossval.cv_results(_runs(spark, sf_dir)))

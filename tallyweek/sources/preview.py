@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from tallyweek.functions.sizing import SMALL_ROWS
+
 
 def glimpse(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per column: position, name, type and its first `n` values."""
@@ -31,3 +33,15 @@ def dims(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def fetch(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row]:
+    """The rows of a result, for the caller's own process.
+
+    A result of more than `max_rows` rows is refused rather than cut: it is to
+    be summarised or written instead.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows: summarise or write the table instead")
+    return rows

@@ -84,6 +84,13 @@ def test_density_is_close_to_the_exact_sum(spark):
     assert distribution.density(table(spark, []), "x", 1.0).count() == 0
 
 
+def test_density_with_a_narrow_peak_and_a_far_tail(spark):
+    x = np.concatenate([np.random.default_rng(4).normal(0, 1e-4, 500), [1000.0]])
+    got = distribution.density(table(spark, x), "x", upper=1000.0).toPandas()
+    assert len(got) == 512 and got["density"].iloc[0] > 0 and got["density"].iloc[-1] > 0
+    assert (got["density"].iloc[1:-1] == 0).all()
+
+
 def test_box_stats(spark):
     df = spark.createDataFrame(
         [("a", i, float(v)) for i, v in enumerate([1, 2, 3, 4, 100])] + [("b", 9, 5.0), ("b", 9, 5.0), (None, 1, 2.0)], "g string, e int, x double"

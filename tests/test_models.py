@@ -94,6 +94,15 @@ def test_text_and_missing_features(spark):
     assert models.fit(df.where("kind = 'r'"), "y", models.tree, ["x"], max_depth=2).model.depth <= 2
 
 
+def test_formula(learnable):
+    assert models.formula_columns(learnable, "y ~ .") == ("y", ["id", "a", "b", "c"])
+    assert models.formula_columns(learnable, "y ~ . - id - c") == ("y", ["a", "b"])
+    assert models.formula_columns(learnable, "y ~ b + a") == ("y", ["b", "a"])
+    with pytest.raises(ValueError):
+        models.formula_columns(learnable, "y ~ nope")
+    assert models.fit(learnable, "y ~ . - id").features == ["a", "b"]
+
+
 def test_first_point_wins_a_tie():
     assert crossval.choose([2.0, 1.0, 1.0]) == 1
     assert crossval.choose([1.0, 1.0]) == 0

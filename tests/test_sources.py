@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import rows
 
 from tallyweek.functions import sizing
@@ -74,3 +75,9 @@ def test_pin_small_and_large(spark):
     assert none is None and far.count() == 100
     dates = spark.createDataFrame([(dt.date(2010, 1, 1), None)], "d date, x decimal(18,2)")
     assert rows(sizing.pin(dates)[0]) == rows(dates)
+
+
+def test_fetch_refuses_rather_than_cuts(spark):
+    assert len(preview.fetch(spark.range(10), 10)) == 10
+    with pytest.raises(ValueError):
+        preview.fetch(spark.range(11), 10)
