@@ -41,3 +41,14 @@ def test_same_rows_as_sql(spark, db, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - LONG))
 def test_other_queries_give_rows(spark, name):
     assert len(QUERIES[name](spark, SMALL).collect()) > 0
+
+
+@pytest.mark.parametrize("name", ["star_merge", "join_features", "boxplot_sales_by_type", "sales_summary", "regression_metrics"])
+def test_same_rows_without_broadcasts(spark, db, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SMALL)
+        assert "BroadcastHashJoin" not in plan._jdf.queryExecution().executedPlan().toString()
+        assert normal(plan.toPandas()) == normal(db.execute(SQL[name]).df())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
