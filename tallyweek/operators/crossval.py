@@ -9,12 +9,13 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import fixed_text, joined_label, other_columns
 from tallyweek.functions.sizing import local_table
 from tallyweek.operators import models
+from tallyweek.operators.clean import keep_present
 from tallyweek.operators.metrics import regression_metrics
 from tallyweek.operators.models import FEATURES, MODEL_NAMES, Fit
 from tallyweek.operators.reshape import stack_rows, to_long
@@ -27,9 +28,6 @@ GRIDS: dict[str, list[dict[str, int]]] = {
     "tree": [{"max_depth": 5}, {"max_depth": 10}],
 }
 
-# Each fit holds a binned copy of its rows; this bounds the copies together.
-ROWS_AT_ONCE = 2_000_000_000
-
 EVAL_FIELDS = (
     "model string, fold int, rmse double, r_squared double, "
     "num_trees int, max_iter int, max_depth int, select_rmse double"
@@ -74,8 +72,8 @@ def cross_validate(
     fits on four fifths of them, takes it on the rest, and fits the chosen point
     again on all. The fold's own rows never take part in the choice.
 
-    The rows are turned into vectors once and cached. Fits run side by side, as
-    many as keep the rows they hold at a time under `ROWS_AT_ONCE`.
+    The rows are turned into vectors once and cached. Fits run side by side,
+    fewer of them the more rows there are.
     """
     if select_on not in ("train", "inner"):
         raise ValueError("select_on must be 'train' or 'inner'")
@@ -85,7 +83,7 @@ def cross_validate(
     names = list(features) if features is not None else other_columns(data, label, fold_column or "")
     rows = data if fold_column else with_fold(data, k, key)
     fold = fold_column or "fold"
-    rows = rows.where(F.col(label).isNotNull())
+    rows = keep_present(rows, label)
     if select_on == "inner":
         rows = rows.withColumn("_inner", hash_bucket(key or names, 5, seed=1))
     dropped = models.constant_columns(rows, names) if isinstance(make(), LinearRegression) else []
@@ -93,7 +91,7 @@ def cross_validate(
     rows = to_vector.transform(rows)
     entries = models.vector_names(rows)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    workers = max(1, min(parallelism, ROWS_AT_ONCE // max(1, rows.count())))
+    workers = models.side_by_side(rows.count(), parallelism)
     points = [dict(p) for p in grid] if grid else [{}]
 
     def fit_point(train: DataFrame, point: Mapping[str, object]):
@@ -167,7 +165,7 @@ def cv_long(results: DataFrame) -> DataFrame:
     ).orderBy("model", "fold", "value")
 
 
-def cv_importance(runs: Sequence[CrossValidation], spark) -> DataFrame:
+def cv_importance(runs: Sequence[CrossValidation], spark: SparkSession) -> DataFrame:
     """Importances per model, fold and feature, ordered by the feature's mean."""
     parts = [
         models.feature_importance(f, spark).withColumns(

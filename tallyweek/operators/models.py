@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import partial
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.feature import RFormula, VectorAssembler
 from pyspark.ml.regression import (
@@ -17,18 +17,22 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweek.functions.columns import other_columns
 from tallyweek.functions.sizing import local_table
+from tallyweek.operators.clean import keep_present
 from tallyweek.operators.metrics import regression_metrics
 from tallyweek.operators.reshape import stack_rows, stack_with_id
 
 FEATURES = "features"
 SEED = 1234
 
+# A fit holds a binned copy of its rows; this bounds the copies held at a time.
+ROWS_AT_ONCE = 2_000_000_000
+
 # The display name of each kind of model.
 MODEL_NAMES = {
     "linear": "MLR",
@@ -135,20 +139,25 @@ def fit(
         dropped = constant_columns(train, names)
         names = [c for c in names if c not in dropped]
     to_vector = vectorizer(train, label, names)
-    rows = to_vector.transform(train.where(F.col(label).isNotNull()))
+    rows = to_vector.transform(keep_present(train, label))
     model = estimator.copy({estimator.labelCol: label}).fit(rows.select(label, FEATURES))
     return Fit(PipelineModel([to_vector, model]), label, vector_names(rows), dropped)
 
 
+def side_by_side(n_rows: int, most: int) -> int:
+    """How many fits over `n_rows` rows may run at a time."""
+    return max(1, min(most, ROWS_AT_ONCE // max(1, n_rows)))
+
+
 def fit_all(
     train: DataFrame, label: str, kinds: Sequence[str] = tuple(ESTIMATORS), parallelism: int = 4
 ) -> dict[str, Fit]:
     """One fit per kind with default parameters, side by side on a cached table."""
-    rows = train.cache()
+    rows = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         one = inheritable_thread_target(train.sparkSession)(partial(fit, rows, label))
-        with ThreadPool(min(parallelism, len(kinds))) as pool:
-            return dict(zip(kinds, pool.map(one, kinds)))
+        with ThreadPool(side_by_side(rows.count(), min(parallelism, len(kinds)))) as pool:
+            return dict(zip(kinds, pool.map(one, kinds, chunksize=1)))
     finally:
         rows.unpersist()
 
@@ -169,7 +178,7 @@ def compare_models(fits: Mapping[str, Fit], test: DataFrame) -> DataFrame:
     return stack_with_id(named, "model").select("model", "rmse", "r_squared")
 
 
-def linear_summary(fitted: Fit, spark) -> DataFrame:
+def linear_summary(fitted: Fit, spark: SparkSession) -> DataFrame:
     """Coefficients with standard errors, t and p values (M8)."""
     model, s = fitted.model, fitted.model.summary
     terms = [*fitted.features, "(intercept)"]
@@ -184,7 +193,7 @@ def linear_summary(fitted: Fit, spark) -> DataFrame:
     )
 
 
-def model_overview(fits: Mapping[str, Fit], spark) -> DataFrame:
+def model_overview(fits: Mapping[str, Fit], spark: SparkSession) -> DataFrame:
     """Size of tree models, training fit of linear ones (M8)."""
     rows = []
     for kind, f in fits.items():
@@ -200,13 +209,13 @@ def model_overview(fits: Mapping[str, Fit], spark) -> DataFrame:
     )
 
 
-def feature_importance(fitted: Fit, spark) -> DataFrame:
+def feature_importance(fitted: Fit, spark: SparkSession) -> DataFrame:
     """Importance of each feature of a tree model."""
     rows = list(zip(fitted.features, map(float, fitted.model.featureImportances.toArray())))
     return local_table(spark, rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def compare_importance(fits: Mapping[str, Fit], spark) -> DataFrame:
+def compare_importance(fits: Mapping[str, Fit], spark: SparkSession) -> DataFrame:
     """Importances of several tree models, features ordered by their mean."""
     parts = [
         feature_importance(f, spark).withColumn("model", F.lit(MODEL_NAMES.get(kind, kind)))

@@ -1,8 +1,8 @@
 """The registered queries: one per operation, on tables derived from the given ones.
 
-As an analyst would, the queries clean and join once per session, keep sales
-and panel as Parquet in the shared folder, and read the few columns they need
-from there. Models and cross-validations are likewise run once and reported in
+As an analyst would, the queries clean and join once per session, keep sales,
+features and panel as Parquet in the shared folder, and read the few columns
+they need from there. Models and cross-validations are likewise run once and reported in
 several tables.
 """
 
@@ -58,7 +58,11 @@ def once(fn):
 
 
 stores = once(standin.stores)
-features = once(standin.features)
+
+
+@once
+def features(spark, sf_dir) -> DataFrame:
+    return _keep(standin.features(spark, sf_dir), "features")
 
 
 @once
@@ -319,8 +323,8 @@ def star_merge(spark, sf_dir):
     """J3, from the given tables in one plan."""
     return plans.star_merge(
         plans.clean_sales(standin.sales(spark, sf_dir)),
-        stores(spark, sf_dir),
-        plans.clean_features(features(spark, sf_dir)),
+        standin.stores(spark, sf_dir),
+        plans.clean_features(standin.features(spark, sf_dir)),
     )
 
 
