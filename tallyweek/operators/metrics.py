@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """RMSE and R squared in one pass (M10). R squared is NULL if the label does not vary."""
+def metric_columns(label: str, prediction: str = "prediction") -> tuple[Column, Column]:
+    """RMSE and R squared as aggregates; R squared is NULL if the label does not vary."""
     y = F.when(F.col(prediction).isNotNull(), F.col(label).cast("double"))
-    e = y - F.col(prediction)
-    sums = df.agg(F.avg(e * e).alias("mse"), F.var_pop(y).alias("var"))
-    return sums.select(
-        F.sqrt("mse").alias("rmse"), (1 - F.try_divide(F.col("mse"), F.col("var"))).alias("r_squared")
-    )
+    mse = F.avg((y - F.col(prediction)) * (y - F.col(prediction)))
+    return F.sqrt(mse), 1 - F.try_divide(mse, F.var_pop(y))
+
+
+def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """RMSE and R squared in one pass."""
+    rmse, r_squared = metric_columns(label, prediction)
+    return df.agg(rmse.alias("rmse"), r_squared.alias("r_squared"))

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from tallyweek.functions.columns import other_columns
 from tallyweek.functions.sizing import local_table
 from tallyweek.operators.clean import keep_present
-from tallyweek.operators.metrics import regression_metrics
-from tallyweek.operators.reshape import stack_rows, stack_with_id
+from tallyweek.operators.metrics import metric_columns, regression_metrics
+from tallyweek.operators.reshape import stack_rows
 
 FEATURES = "features"
 SEED = 1234
@@ -173,9 +173,21 @@ def compute_metrics(fitted: Fit, test: DataFrame) -> DataFrame:
 
 
 def compare_models(fits: Mapping[str, Fit], test: DataFrame) -> DataFrame:
-    """The metrics of several models, one named row each."""
-    named = {MODEL_NAMES.get(kind, kind): compute_metrics(f, test) for kind, f in fits.items()}
-    return stack_with_id(named, "model").select("model", "rmse", "r_squared")
+    """The metrics of several models, one named row each.
+
+    The models score the same rows one after the other, and one pass over the
+    rows gives all metrics. They must share the label.
+    """
+    label = next(iter(fits.values())).label
+    rows, names = test, []
+    for kind, f in fits.items():
+        names.append(f"prediction_{kind}")
+        rows = score(f, rows).withColumnRenamed("prediction", names[-1])
+    entries = []
+    for kind, name in zip(fits, names):
+        rmse, r_squared = metric_columns(label, name)
+        entries.append(F.struct(F.lit(MODEL_NAMES.get(kind, kind)).alias("model"), rmse.alias("rmse"), r_squared.alias("r_squared")))
+    return rows.agg(F.array(*entries).alias("e")).select(F.inline("e"))
 
 
 def linear_summary(fitted: Fit, spark: SparkSession) -> DataFrame:

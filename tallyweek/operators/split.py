@@ -16,6 +16,16 @@ def hash_bucket(key: Sequence[str], buckets: int, seed: int | None = None) -> Co
     return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
 
 
+def part_name(weights: Mapping[str, float], key: Sequence[str], seed: int | None = None) -> Column:
+    """Name of the part a row falls in, by the hash of its key in steps of one percent."""
+    ends = [round(100 * e / sum(weights.values())) for e in accumulate(weights.values())]
+    bucket, *names = hash_bucket(key, 100, seed), *weights
+    out = F.when(bucket < ends[0], names[0])
+    for name, end in zip(names[1:], ends[1:]):
+        out = out.when(bucket < end, name)
+    return out
+
+
 def split(
     df: DataFrame,
     weights: Mapping[str, float],
@@ -25,19 +35,14 @@ def split(
 ) -> dict[str, DataFrame]:
     """Named parts with the given weights (M2).
 
-    `hash` puts a row where its key says, in steps of one percent, whatever the
-    partitioning; the key is all columns if not given. `random` is Spark's own
-    split, repeatable for a seed only if the partitioning repeats.
+    `hash` puts a row where its key says, whatever the partitioning; the key is
+    all columns if not given. `random` is Spark's own split, repeatable for a
+    seed only if the partitioning repeats.
     """
-    total = sum(weights.values())
     if method == "random":
-        return dict(zip(weights, df.randomSplit([w / total for w in weights.values()], seed)))
-    ends = [round(100 * e / total) for e in accumulate(weights.values())]
-    bucket = hash_bucket(key or df.columns, 100, seed)
-    return {
-        name: df.where((bucket >= start) & (bucket < end))
-        for name, start, end in zip(weights, [0, *ends], ends)
-    }
+        return dict(zip(weights, df.randomSplit(list(map(float, weights.values())), seed)))
+    part = part_name(weights, key or df.columns, seed)
+    return {name: df.where(part == name) for name in weights}
 
 
 def with_fold(df: DataFrame, k: int = 5, key: Sequence[str] | None = None, seed: int | None = None) -> DataFrame:

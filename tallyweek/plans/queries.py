@@ -18,7 +18,7 @@ from tallyweek.functions import calendar, columns
 from tallyweek.functions.sizing import scratch_path
 from tallyweek.operators import clean, correlation, crossval, distribution, metrics, models, quality, reshape, summary
 from tallyweek.operators.join import attach_stats, inner_join
-from tallyweek.operators.split import split, with_fold
+from tallyweek.operators.split import part_name, split, with_fold
 from tallyweek.plans import panel as plans
 from tallyweek.sources import catalog, files, preview, standin
 
@@ -663,14 +663,10 @@ def model_table(spark, sf_dir):
 
 @query
 def split_counts(spark, sf_dir):
-    """M2: the sizes of the seeded-by-content split, all sales."""
-    parts = split(sales(spark, sf_dir), WEIGHTS, KEY)
-    return reshape.stack_with_id(
-        {
-            name: df.agg(F.count(F.lit(1)).alias("n"), columns.money_sum(F.col("weekly_sales")).alias("total_sales"))
-            for name, df in parts.items()
-        },
-        "part",
+    """M2: the sizes of the split by row content, all sales."""
+    parts = sales(spark, sf_dir).withColumn("part", part_name(WEIGHTS, KEY))
+    return parts.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), columns.money_sum(F.col("weekly_sales")).alias("total_sales")
     )
 
 
@@ -900,7 +896,7 @@ def cv_importance(spark, sf_dir):
 @query
 def cv_vs_holdout(spark, sf_dir):
     """M24."""
-    fits = _fits(spark, sf_dir, *[run.model for run in _runs(spark, sf_dir)])
-    test = model_parts(spark, sf_dir)["test"]
-    holdout = reshape.stack_with_id({k: models.compute_metrics(f, test) for k, f in fits.items()}, "model")
-    return crossval.cv_vs_holdout(holdout, crossval.cv_results(_runs(spark, sf_dir)))
+    runs = _runs(spark, sf_dir)
+    fits = _fits(spark, sf_dir, *[run.model for run in runs])
+    results = crossval.cv_results(runs).replace(models.MODEL_NAMES, subset="model")
+    return crossval.cv_vs_holdout(models.compare_models(fits, model_parts(spark, sf_dir)["test"]), results)

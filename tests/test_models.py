@@ -70,6 +70,8 @@ def test_trees_beat_the_mean(spark, learnable):
     compared = {r["model"]: r for r in models.compare_models(fits, learnable).collect()}
     assert set(compared) == set(models.MODEL_NAMES.values())
     assert all(r["r_squared"] > 0.5 and r["rmse"] >= 0 for r in compared.values())
+    alone = models.compute_metrics(fits["gbt"], learnable).first()
+    assert compared["Gradient Boosted Tree"]["rmse"] == pytest.approx(alone["rmse"])
     for kind in ("forest", "gbt", "tree"):
         shares = models.feature_importance(fits[kind], spark).collect()
         assert sum(r["importance"] for r in shares) == pytest.approx(1)
