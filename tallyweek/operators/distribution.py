@@ -104,20 +104,22 @@ def density(
     return grid.join(sums, "point", "left").fillna(0.0, ["density"]).orderBy("point")
 
 
-def box_stats(df: DataFrame, group: Sequence[str], value: str, entity: Sequence[str] = ()) -> DataFrame:
+def box_stats(
+    df: DataFrame, group: Sequence[str], value: str, entity: Sequence[str] = (), approx: int | None = None
+) -> DataFrame:
     """Quartiles, whiskers and the count of outliers per group.
 
     Whiskers end at the last value within 1.5 IQR of the box. Every row counts;
-    with `entity` each distinct entity counts once.
+    with `entity` each distinct entity counts once. `approx` as in `named_quantiles`.
     """
     rows = keep_present(df, value).select(*group, *entity, F.col(value).cast("double").alias("x"))
     if entity:
         rows = rows.distinct()
-    box = named_quantiles(rows, "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, group)
+    box = named_quantiles(rows, "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, group, approx)
     fence = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("x").between(F.col("q1") - fence, F.col("q3") + fence)
     return (
-        attach_stats(rows, box, group, pinned=True)
+        attach_stats(rows, box, group, pinned=approx is None)
         .groupBy(*group)
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -28,6 +28,7 @@ from tallyweek.operators.metrics import metric_columns, regression_metrics
 from tallyweek.operators.reshape import stack_rows
 
 FEATURES = "features"
+# Fixed value: the seed of the models.
 SEED = 1234
 
 # A fit holds a binned copy of its rows; this bounds the copies held at a time.

@@ -48,10 +48,13 @@ def peak_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def six_numbers(df: DataFrame, value: str) -> DataFrame:
-    """Count, minimum, mean, exact median, maximum and sd of a money column (A3)."""
+def six_numbers(df: DataFrame, value: str, approx: int | None = None) -> DataFrame:
+    """Count, minimum, mean, median, maximum and sd of a money column (A3).
+
+    The median is exact unless `approx` gives an accuracy to be content with.
+    """
     v = F.col(value)
-    median = named_quantiles(df, value, {"median_sales": 0.5}).scalar()
+    median = named_quantiles(df, value, {"median_sales": 0.5}, approx=approx).scalar()
     return df.agg(
         F.count(F.lit(1)).alias("count_sales"),
         F.min(v).alias("min_sales"),

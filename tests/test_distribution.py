@@ -99,6 +99,8 @@ def test_box_stats(spark):
     assert got["a"] == (5, 2.0, 3.0, 4.0, 1.0, 4.0, 1)
     assert got["b"] == (2, 5.0, 5.0, 5.0, 5.0, 5.0, 0)
     assert got[None][0] == 1
+    near = {r["g"]: r["median"] for r in distribution.box_stats(df, ["g"], "x", approx=100).collect()}
+    assert near["a"] == 3.0
     assert {r["g"]: r["n"] for r in distribution.box_stats(df, ["g"], "x", ["e"]).collect()}["b"] == 1
 
 
