@@ -90,8 +90,9 @@ def cross_validate(
     to_vector = models.vectorizer(rows, label, [c for c in names if c not in dropped])
     rows = to_vector.transform(rows)
     entries = models.vector_names(rows)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    workers = models.side_by_side(rows.count(), parallelism)
+    cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    rows, workers = models.joined_parts(cached, n), models.side_by_side(n, parallelism)
     points = [dict(p) for p in grid] if grid else [{}]
 
     def fit_point(train: DataFrame, point: Mapping[str, object]):
@@ -133,7 +134,7 @@ def cross_validate(
                 chosen.append((i, points[best], *own[best]))
             finished = pool.map(threaded(finish), [c[:3] for c in chosen], chunksize=1)
     finally:
-        rows.unpersist()
+        cached.unpersist()
 
     evals = [
         (

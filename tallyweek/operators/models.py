@@ -31,6 +31,8 @@ FEATURES = "features"
 # Fixed value: the seed of the models.
 SEED = 1234
 
+# Small tables are fitted in parts of this many rows, as each costs every tree level a task.
+ROWS_PER_PART = 20_000
 # A fit holds a binned copy of its rows; this bounds the copies held at a time.
 ROWS_AT_ONCE = 2_000_000_000
 
@@ -150,14 +152,20 @@ def side_by_side(n_rows: int, most: int) -> int:
     return max(1, min(most, ROWS_AT_ONCE // max(1, n_rows)))
 
 
+def joined_parts(df: DataFrame, n_rows: int) -> DataFrame:
+    """The same rows in fewer partitions if these are small; large tables stay as they are."""
+    return df.coalesce(max(1, min(n_rows // ROWS_PER_PART, 1_000_000)))
+
+
 def fit_all(
     train: DataFrame, label: str, kinds: Sequence[str] = tuple(ESTIMATORS), parallelism: int = 4
 ) -> dict[str, Fit]:
     """One fit per kind with default parameters, side by side on a cached table."""
     rows = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        one = inheritable_thread_target(train.sparkSession)(partial(fit, rows, label))
-        with ThreadPool(side_by_side(rows.count(), min(parallelism, len(kinds)))) as pool:
+        n = rows.count()
+        one = inheritable_thread_target(train.sparkSession)(partial(fit, joined_parts(rows, n), label))
+        with ThreadPool(side_by_side(n, min(parallelism, len(kinds)))) as pool:
             return dict(zip(kinds, pool.map(one, kinds, chunksize=1)))
     finally:
         rows.unpersist()
