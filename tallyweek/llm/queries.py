@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import decontaminate, simhash
+from tallyweek.llm import decontaminate, simhash, substrings
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -31,6 +31,11 @@ def op5_simhash_near_dedup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op7_suffix_array_dedup(spark, sf_dir):
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_benchmark_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
