@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import decontaminate, simhash, substrings
+from tallyweek.llm import decontaminate, language, simhash, substrings
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -36,6 +36,13 @@ def op7_suffix_array_dedup(spark, sf_dir):
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.learn(docs))
+    return found.select(F.col("id").alias("doc_id"), language.held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_benchmark_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
