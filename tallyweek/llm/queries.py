@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import decontaminate, language, simhash, substrings
+from tallyweek.llm import decontaminate, language, pieces, simhash, substrings
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_sentencepiece(spark, sf_dir):
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
