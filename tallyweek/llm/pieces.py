@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -37,6 +38,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Longest stretch whose ids are kept, and how many a worker keeps.
 KEPT_CHARS, KEPT_STRETCHES = 64, 250_000
+# Paths to the first positions of a run are kept by its opening characters.
+OPENING = 6
 
 
 class Kept(dict):
@@ -84,7 +87,10 @@ class Pieces:
         self.runs = re.compile(rf"{SPACE}*(?:[^\W\d_]+|(?:(?!{SPACE})[\W\d_])+|$)").findall
         self.fits: dict[str, dict[str, bool]] = {}
         self.n_fits = 0
-        self.kept, self.kept_runs = Kept(self.ids_of), Kept(lambda run: list(self.viterbi(run)))
+        self.kept, self.kept_runs = Kept(self.ids_of), Kept(self._run)
+        self.openings = Kept(self._opening, 100_000)
+        # Every tail of a piece, and whether it is a piece itself.
+        self.tails = {p[i:]: p[i:] in self.ids for p in self.ids for i in range(len(p))}
 
     def merged(self, text: str) -> list[str]:
         """A short text's pieces: the best-scored neighbours are merged first, the left ones on ties."""
@@ -110,49 +116,71 @@ class Pieces:
             known[right] = self.merged(left + right) == ([left, right] if left else [right])
         return known[right]
 
-    def viterbi(self, text: str) -> Iterator[str]:
-        """The pieces of a text, committed as soon as all live paths agree on them."""
-        reach, done, ids, follows = self.longest, 0, self.ids, self.follows
-        back: dict[int, str] = {0: ""}  # end position to the last piece of its path
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - reach), end):
-                piece = text[start:end]
-                if (piece in ids or start == end - 1) and (left := back.get(start)) is not None and follows(left, piece):
-                    back[end] = piece
+    def extend(self, text: str, base: int, back: list[str], end: int) -> None:
+        """Append to `back` the last piece of the path to each position up to `end`; back[0] is that of `base`."""
+        tails, fits, reach = self.tails, self.fits, self.longest
+        for e in range(base + len(back), end + 1):
+            for start in range(e - 1, max(base, e - reach) - 1, -1):
+                piece = text[start:e]
+                kind = tails.get(piece, start == e - 1 or None)
+                if kind is None:
                     break
-            if end % (2 * reach) == 0 or end == len(text):
-                meet = {end} if end == len(text) else set(range(end - reach + 1, end + 1)) & back.keys()
-                while len(meet) > 1:
-                    last = max(meet)
-                    meet = (meet - {last}) | {last - len(back[last])}
-                boundary = at = meet.pop()
-                path = []
-                while at > done:
-                    path.append(back[at])
-                    at -= len(back[at])
-                yield from reversed(path)
-                if boundary > done:
-                    back = {e: p for e, p in back.items() if e >= boundary}
-                    done = boundary
-
-    def pieces_of(self, stretch: str) -> Iterator[str]:
-        """A stretch's pieces: its runs of letters and of other characters one by one if the boundaries between them hold."""
-        if len(stretch) <= KEPT_CHARS:
-            parts = [self.kept_runs[run] for run in self.runs(stretch) if run]
-            if all(self.follows(a[-1], b[0]) for a, b in zip(parts, parts[1:])):
-                return (piece for part in parts for piece in part)
-        return self.viterbi(stretch)
+                if kind:
+                    left = back[start - base]
+                    known = fits.get(left)
+                    holds = known.get(piece) if known else None
+                    if self.follows(left, piece) if holds is None else holds:
+                        back.append(piece)
+                        break
 
-    def ids_of(self, stretch: str) -> bytes:
-        out = []
-        for piece in self.pieces_of(stretch):
+    def viterbi(self, text: str) -> Iterator[str]:
+        """The pieces of a text, committed as soon as all live paths agree on them."""
+        reach, base = self.longest, 0
+        back = list(self.openings[text[:OPENING]])
+        while True:
+            end = min(len(text), base + len(back) - 1 + 4 * reach)
+            self.extend(text, base, back, end)
+            meet = {end} if end == len(text) else set(range(max(base, end - reach + 1), end + 1))
+            while len(meet) > 1:
+                last = max(meet)
+                meet = (meet - {last}) | {max(base, last - len(back[last - base]))}
+            boundary = at = meet.pop()
+            path = []
+            while at > base:
+                path.append(back[at - base])
+                at -= len(path[-1])
+            yield from reversed(path)
+            back, base = back[boundary - base :], boundary
+            if end == len(text):
+                return
+
+    def _opening(self, text: str) -> list[str]:
+        back = [""]
+        self.extend(text, 0, back, len(text))
+        return back
+
+    def _run(self, run: str) -> tuple[str, str, bytes]:
+        found = list(self.viterbi(run))
+        return found[0], found[-1], self.packed(found)
+
+    def packed(self, found: Iterable[str]) -> bytes:
+        out = array("i")
+        for piece in found:
             if piece in self.ids:
                 out.append(self.ids[piece])
             elif self.byte_ids:
                 out.extend(self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
             else:
                 out.append(self.unknown)
-        return np.array(out, np.int32).tobytes()
+        return out.tobytes()
+
+    def ids_of(self, stretch: str) -> bytes:
+        """A stretch's ids: its runs of letters and of other characters one by one if the boundaries between them hold."""
+        if len(stretch) <= KEPT_CHARS:
+            parts = [self.kept_runs[run] for run in self.runs(stretch) if run]
+            if all(self.follows(a[1], b[0]) for a, b in zip(parts, parts[1:])):
+                return b"".join([part[2] for part in parts])
+        return self.packed(self.viterbi(stretch))
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text, which gets a space in front."""
