@@ -30,7 +30,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, of known size, safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a written table that nothing reads any more; what was made of it must be written itself."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:
