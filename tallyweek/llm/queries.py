@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import decontaminate, language, pieces, simhash, substrings
+from tallyweek.llm import decontaminate, language, pieces, simhash, substrings, topk
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -25,6 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_exact_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLES["op1_exact_topk"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings)
+SELECT q.vec_id AS query_id, row_number() OVER w::INTEGER AS rank, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+FROM e q JOIN e c ON q.vec_id != c.vec_id WHERE q.vec_id % 20 = 0
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id)
+QUALIFY row_number() OVER w <= 20
+"""
+
+
 @query
 def op4_sentencepiece(spark, sf_dir):
     return pieces.round_trip(table(spark, sf_dir, "documents"))
