@@ -100,9 +100,9 @@ def components(edges: DataFrame) -> DataFrame:
             break
         state = now
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         edges = written(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
         near = edges.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(near.union(least.toDF("a", "b")).distinct(), "small")
     return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

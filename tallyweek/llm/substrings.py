@@ -195,7 +195,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     """
     texts = _texts(docs, id_col, text_col)
     parsed = written(_units_of(texts, length), "units")
-    shared = parsed.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # Grouped keys are written before they are joined: then adaptive execution can split a hot one.
+    shared = written(parsed.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "shared_cores")
     kept = written(parsed.join(shared, "core", "left_semi"), "shared_units")
     discard(parsed)
 
@@ -205,7 +206,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     whole = written(whole.select("doc_key", "first", (F.col("first") + F.col("starts") - 1).alias("last")), "whole_units")
     discard(kept)
 
-    mixed = covers.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1 AND least = 1").select("core")
+    mixed = written(covers.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1 AND least = 1").select("core"), "mixed_cores")
     wanted = covers.join(mixed, "core", "left_semi").select("one.*", F.xxhash64("core", "cover").alias("unit"))
     parts = written(_parts_of(texts, wanted, length), "parts")
     discard(covers)
@@ -213,13 +214,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     bounds = [F.min("unit").alias("low"), F.max("unit").alias("high")]
     covers = written(parts.groupBy("core", "cover").agg(*bounds), "part_covers")
     again = parts.join(covers.where("low < high").select("core", "cover"), ["core", "cover"], "left_semi").select("doc_key", "first", (F.col("first") + F.col("n") - 1).alias("last"))
-    mixed = covers.groupBy("core").agg(F.count("*").alias("m"), F.max(F.col("low") == F.col("high")).alias("alone")).where("m > 1 AND alone").select("core")
+    mixed = written(covers.groupBy("core").agg(F.count("*").alias("m"), F.max(F.col("low") == F.col("high")).alias("alone")).where("m > 1 AND alone").select("core"), "mixed_parts")
     strings = written(_strings_of(parts.join(mixed, "core", "left_semi")), "strings")
-    equal = strings.groupBy("string").agg(*bounds).where("low < high").select("string")
+    equal = written(strings.groupBy("string").agg(*bounds).where("low < high").select("string"), "equal_strings")
     single = strings.join(equal, "string", "left_semi").select("doc_key", F.col("start").alias("first"), F.col("start").alias("last"))
 
-    runs = whole.union(again).union(single)
-    found = written(runs.groupBy("doc_key").agg(F.flatten(F.array_distinct(F.collect_list(F.array("first", "last")))).alias("starts")), "repeats")
+    runs = whole.union(again).union(single).distinct()
+    found = written(runs.groupBy("doc_key").agg(F.flatten(F.collect_list(F.array("first", "last"))).alias("starts")), "repeats")
     for table in (whole, parts, covers, strings):
         discard(table)
     return found
