@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import decontaminate, language, pieces, simhash, substrings, topk
+from tallyweek.llm import decontaminate, language, pieces, simhash, substrings, topk, warc
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -83,3 +83,20 @@ SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*)::DOUBLE
 FROM doc_grams JOIN item_grams USING (g) JOIN sizes USING (item_id)
 GROUP BY doc_id, text, item_id, n HAVING count(*) >= 0.8 * n - 1e-9
 """
+
+
+@query
+def op10_warc(spark, sf_dir):
+    return warc.read_archives(warc.archive(table(spark, sf_dir, "pages"))).drop("payload", "url")
+
+
+ORACLES["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY sha1(h)) AS first_id FROM p)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    ((('0x' || substr(x || '0', 1 + (i * 5) // 4, 2))::BIGINT) >> (3 - (i * 5) % 4)) & 31)::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM d
+"""
