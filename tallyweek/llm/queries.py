@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import decontaminate, language, pieces, sharding, simhash, substrings, topk, warc
+from tallyweek.llm import decontaminate, language, licenses, pieces, sharding, simhash, substrings, topk, warc
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -44,6 +44,11 @@ def op2_consistent_hash_shards(spark, sf_dir):
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_sentencepiece(spark, sf_dir):
     return pieces.round_trip(table(spark, sf_dir, "documents"))
