@@ -9,8 +9,9 @@ Whenever the paths of all of them run through one boundary, the ids before it ar
 committed and forgotten. The ids equal those of the sentencepiece library.
 
 White space opens a piece and never stands inside or at the end of one after other
-characters, so paths always meet before it; text is cut there first and the ids of
-short stretches are kept in a table of bounded size per Python worker.
+characters, so paths always meet before it. Between runs of letters and of other
+characters they mostly meet, and the table of neighbours tells. Text is cut there first, and
+the ids of short stretches and runs are kept in tables of bounded size per Python worker.
 
 The model file is read by the driver and broadcast (0.5 MB).
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-# Longest stretch whose ids are kept, and how many a worker keeps.
+# Longest stretch whose ids are kept, and how many a worker keeps (twice over).
 KEPT_CHARS, KEPT_STRETCHES = 64, 250_000
 # Paths to the first positions of a run are kept by its opening characters.
 OPENING = 6
@@ -82,9 +83,9 @@ class Pieces:
         self.unknown = library.unk_id()
         self.longest = max(map(len, self.ids))
         # Paths meet before white space if no piece has it after another character.
-        opens = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.stretches = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if opens else "(?s).+").findall
-        self.runs = re.compile(rf"{SPACE}*(?:[^\W\d_]+|(?:(?!{SPACE})[\W\d_])+|$)").findall
+        self.space_opens = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        self.stretches = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if self.space_opens else "(?s).+").findall
+        self.runs = re.compile(rf"{SPACE}*(?:[^\W\d_]+|(?:[^\w{SPACE}]|[\d_])+)|{SPACE}+").findall
         self.fits: dict[str, dict[str, bool]] = {}
         self.n_fits = 0
         self.kept, self.kept_runs = Kept(self.ids_of), Kept(self._run)
@@ -160,7 +161,17 @@ class Pieces:
         return back
 
     def _run(self, run: str) -> tuple[str, str, bytes]:
-        found = list(self.viterbi(run))
+        """A run's first and last piece, and its ids."""
+        if len(run) > KEPT_CHARS:
+            found = list(self.viterbi(run))
+        else:  # short enough to keep all back pointers
+            back = list(self.openings[run[:OPENING]])
+            self.extend(run, 0, back, len(run))
+            found, at = [], len(run)
+            while at:
+                found.append(back[at])
+                at -= len(back[at])
+            found.reverse()
         return found[0], found[-1], self.packed(found)
 
     def packed(self, found: Iterable[str]) -> bytes:
@@ -177,8 +188,8 @@ class Pieces:
     def ids_of(self, stretch: str) -> bytes:
         """A stretch's ids: its runs of letters and of other characters one by one if the boundaries between them hold."""
         if len(stretch) <= KEPT_CHARS:
-            parts = [self.kept_runs[run] for run in self.runs(stretch) if run]
-            if all(self.follows(a[1], b[0]) for a, b in zip(parts, parts[1:])):
+            parts = [self.kept_runs[run] for run in self.runs(stretch)]
+            if len(parts) == 1 or all(self.follows(a[1], b[0]) for a, b in zip(parts, parts[1:])):
                 return b"".join([part[2] for part in parts])
         return self.packed(self.viterbi(stretch))
 
