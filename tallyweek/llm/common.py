@@ -85,6 +85,17 @@ def blocks(data: bytes, size: int = 1 << 22) -> Iterator[bytes]:
         start = stop
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """The one large object a Python worker keeps between tasks; workers live on, so another key frees the one before."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components: (node, root) for every node of the edges (a, b), root being its smallest node.
 

@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import content_key, small, written
+from tallyweek.llm.common import content_key, held, small, written
 
-SAMPLE_ROWS, SAMPLE_CHARS, DISTINCT_CHARS = 300, 5_000, 60_000
+SAMPLE_ROWS, SAMPLE_CHARS, DISTINCT_CHARS = 300, 5_000, 40_000
 UNKNOWN = "und"
 # Words whose counts a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 # Counts of all languages are added as one integer, so many bits for each.
 _LANE = 48
@@ -123,18 +123,6 @@ class Parser(dict):
         return self.names[order[0]], 1 - best / costs[order[1]] if len(order) > 1 else 1.0
 
 
-_PARSERS: dict[int, Parser] = {}
-
-
-def parser(texts: dict[str, str]) -> Parser:
-    """One parser per Python worker and sample."""
-    key = hash(tuple(sorted(texts.items())))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(texts)
-    return _PARSERS[key]
-
-
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, distinct_chars: int = DISTINCT_CHARS) -> dict[str, str]:
     """Language to sample text: its distinct words, most frequent first, each between spaces."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -165,7 +153,8 @@ def predict(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = parser(shared.value)
+        texts = shared.value
+        of = held(("language", tuple(sorted(texts.items()))), lambda: Parser(texts))
         for b in batches:
             found = [of.predict(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays(

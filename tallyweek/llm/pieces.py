@@ -35,10 +35,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweek.llm.common import held
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Longest stretch whose ids are kept, and how many a worker keeps (twice over).
-KEPT_CHARS, KEPT_STRETCHES = 64, 250_000
+KEPT_CHARS, KEPT_STRETCHES = 64, 200_000
 # Paths to the first positions of a run are kept by its opening characters.
 OPENING = 6
 
@@ -204,15 +206,9 @@ class Pieces:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).removeprefix(b" ").decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Pieces] = {}
-
-
 def load(model: bytes) -> Pieces:
     """One copy per Python worker."""
-    if hash(model) not in _LOADED:
-        _LOADED.clear()
-        _LOADED[hash(model)] = Pieces(model)
-    return _LOADED[hash(model)]
+    return held(("pieces", hash(model)), lambda: Pieces(model))
 
 
 def _lists(found: list[np.ndarray]) -> pa.Array:

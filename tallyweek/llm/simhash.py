@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import blocks, components, content_key, written
+from tallyweek.llm.common import blocks, components, content_key, held, written
 
 BYTES = 8
 # Beyond this length a posting list is linked by shared neighbours.
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, row_key, fp) of every row; row_key is a hash of id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("simhash", dict)
         for b in batches:
             found = [fingerprint(t.as_py(), width, seed) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.int64())], ["id", "row_key", "fp"])

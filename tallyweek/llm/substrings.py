@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import content_key, discard, written
+from tallyweek.llm.common import content_key, discard, held, written
 
 LENGTH = 400
 WIDTH = 8
@@ -111,6 +111,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFr
 
 def _units_of(texts: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("substrings", dict)
         for b in batches:
             keys, rows = [], []
             for key, data in zip(b.column(0), b.column(1)):
