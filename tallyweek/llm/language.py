@@ -34,7 +34,7 @@ from tallyweek.llm.common import content_key, held, small, written
 SAMPLE_ROWS, SAMPLE_CHARS, DISTINCT_CHARS = 300, 5_000, 40_000
 UNKNOWN = "und"
 # Words whose counts a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 150_000
 _WORD = re.compile(r"[^\W\d_]+")
 # Counts of all languages are added as one integer, so many bits for each.
 _LANE = 48

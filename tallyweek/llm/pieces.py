@@ -40,7 +40,7 @@ from tallyweek.llm.common import held
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Longest stretch whose ids are kept, and how many a worker keeps (twice over).
-KEPT_CHARS, KEPT_STRETCHES = 64, 200_000
+KEPT_CHARS, KEPT_STRETCHES = 64, 120_000
 # Paths to the first positions of a run are kept by its opening characters.
 OPENING = 6
 
@@ -91,7 +91,7 @@ class Pieces:
         self.fits: dict[str, dict[str, bool]] = {}
         self.n_fits = 0
         self.kept, self.kept_runs = Kept(self.ids_of), Kept(self._run)
-        self.openings = Kept(self._opening, 100_000)
+        self.openings = Kept(self._opening, KEPT_STRETCHES // 2)
         # Every tail of a piece, and whether it is a piece itself.
         self.tails = {p[i:]: p[i:] in self.ids for p in self.ids for i in range(len(p))}
 
