@@ -121,6 +121,16 @@ def cents(col: Column) -> Column:
     return F.when(~F.isnan(col.cast("double")), F.rint(col * 100).cast("bigint"))
 
 
+def total(col: Column, money: bool = False) -> Column:
+    """Plain sum, or with `money` the sum to the cent."""
+    return money_sum(col) if money else F.sum(col)
+
+
+def mean(col: Column, money: bool = False) -> Column:
+    """Plain mean, or with `money` the mean of amounts in whole cents."""
+    return money_mean(col) if money else F.avg(col)
+
+
 def money_sum(col: Column) -> Column:
     """Sum to the cent, the same however the rows are partitioned."""
     return F.sum(cents(col)) / 100

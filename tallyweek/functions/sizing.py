@@ -1,10 +1,7 @@
-"""Where to put intermediate tables, and when one is small enough to hold."""
+"""Where intermediate tables go."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -12,29 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Rows a table may have to be held as a local relation (and so be broadcast).
-SMALL_ROWS = 100_000
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: the session's `spark.checkpoint.dir`.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if configured:
-        if current is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    if current is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tallyweek-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(folder)
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    """The folder all executors see: `spark.checkpoint.dir`, where unset one beside the session's tables."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -52,15 +30,12 @@ def local_table(spark: SparkSession, rows: Sequence[tuple], fields: str) -> Data
     return spark.createDataFrame(pa.table(arrays, names=schema.names), schema=schema)
 
 
-def pin(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, pa.Table | None]:
-    """Materialise `df`, and give its rows too if they are few.
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, safe from lost executors.
 
-    Up to `max_rows` rows it becomes a local relation, whose size Spark knows,
-    so that joins with it are broadcast without a hint. Beyond that it is
-    checkpointed in the shared folder and joins with it shuffle.
+    Spark knows the size of such a table and decides by it whether joins with it are
+    broadcast.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(head, schema=df.schema), head
-    shared_dir(df.sparkSession)
-    return df.checkpoint(), None
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import is_missing, numeric_columns
 from tallyweek.functions.sizing import local_table
 
+
 def _profile(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[bool, bool]]:
     """For each column: is it constant, has it missing values."""
     aggs = [F.count(F.lit(1))]
@@ -32,33 +34,38 @@ def _vectors(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return to_vector.transform(df.select(*names)).select("v")
 
 
-def _complete_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Correlation of each pair over the rows that have both, NULL if a side is constant there.
+def _complete_pairs(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float | None]:
+    """Correlation of every two columns over the rows that have both, NULL if a side is constant there.
 
-    One narrow aggregation by pair: one `corr` column per pair would be too
-    much code to compile.
+    Each row becomes one vector of its standardised values (0 where missing), their
+    squares and marks of presence. The products of these, summed in one pass, hold
+    counts, sums, squares and cross products of every pair.
     """
-    entries = [
-        F.when(
-            ~is_missing(df, a) & ~is_missing(df, b),
-            F.struct(F.lit(i).alias("i"), F.col(a).cast("double").alias("u"), F.col(b).cast("double").alias("v")),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    u, v = F.col("u"), F.col("v")
-    # corr divides by zero or gives rounding noise if a side is constant, and it
-    # does so before a condition around it is looked at.
-    spread = F.sqrt(F.var_pop(u)) * F.sqrt(F.var_pop(v))
-    moving = (F.min(u) < F.max(u)) & (F.min(v) < F.max(v))
-    found = (
-        df.select(F.explode(F.array(*entries)).alias("e"))
-        .where(F.col("e").isNotNull())
-        .select("e.*")
-        .groupBy("i")
-        .agg(F.when(moving, F.try_divide(F.covar_pop(u, v), spread)).alias("r"))
-    )
-    names = local_table(df.sparkSession, [(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, x string, y string")
-    return names.join(found, "i", "left").select("x", "y", "r")
+    seen = {c: ~is_missing(df, c) for c in names}
+    aggs = [f(F.when(seen[c], F.col(c).cast("double"))) for c in names for f in (F.avg, F.stddev_pop)]
+    row = df.agg(*aggs).first()
+    scale = {c: (row[2 * i] or 0.0, row[2 * i + 1] or 1.0) for i, c in enumerate(names)}
+    z = {c: F.when(seen[c], (F.col(c).cast("double") - m) / s).otherwise(0.0) for c, (m, s) in scale.items()}
+    p = len(names)
+    parts = [z[c].alias(f"z{i}") for i, c in enumerate(names)]
+    parts += [(z[c] * z[c]).alias(f"q{i}") for i, c in enumerate(names)]
+    parts += [seen[c].cast("double").alias(f"m{i}") for i, c in enumerate(names)]
+    to_vector = VectorAssembler(inputCols=[f"{k}{i}" for k in "zqm" for i in range(p)], outputCol="v")
+    rows = to_vector.transform(df.select(*parts)).select("v")
+    moments = rows.agg(Summarizer.metrics("mean", "std", "count").summary(F.col("v")).alias("s")).first()["s"]
+    n, mean, sd = moments["count"], moments["mean"].toArray(), moments["std"].toArray()
+    if n < 2:
+        return {pair: None for pair in combinations(names, 2)}
+    r = np.nan_to_num(Correlation.corr(rows, "v").first()[0].toArray())
+    product = r * np.outer(sd, sd) * (n - 1) + n * np.outer(mean, mean)
+    out: dict[tuple[str, str], float | None] = {}
+    for (i, a), (j, b) in combinations(enumerate(names), 2):
+        both = product[2 * p + i, 2 * p + j]
+        sa, sb, saa, sbb, sab = product[i, 2 * p + j], product[j, 2 * p + i], product[p + i, 2 * p + j], product[p + j, 2 * p + i], product[i, j]
+        va, vb = both * saa - sa * sa, both * sbb - sb * sb
+        flat = both < 1.5 or min(va, vb) <= 1e-9 * both * both
+        out[a, b] = None if flat else float((both * sab - sa * sb) / np.sqrt(va * vb))
+    return out
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, upper: bool = False) -> DataFrame:
@@ -76,11 +83,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, uppe
         r = Correlation.corr(_vectors(df, whole), "v").first()[0].toArray()
         known |= {(a, b): float(r[i, j]) for (i, a), (j, b) in combinations(enumerate(whole), 2)}
     known |= {p: None for p in combinations(names, 2) if constant & set(p)}
-    rows = [(a, b, v) for (a, b), v in known.items()]
-    out = local_table(df.sparkSession, rows, "x string, y string, r double")
     open_pairs = [p for p in combinations(names, 2) if p not in known]
     if open_pairs:
-        out = out.unionByName(_complete_pairs(df, open_pairs))
+        found = _complete_pairs(df, [c for c in names if c not in constant])
+        known |= {p: found[p] for p in open_pairs}
+    rows = [(a, b, v) for (a, b), v in known.items()]
+    out = local_table(df.sparkSession, rows, "x string, y string, r double")
     if upper:
         return out
     mirrored = out.where("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "r")
@@ -111,7 +119,8 @@ def screen_features(
 ) -> DataFrame:
     """Correlation of each column with the target and whether to keep it."""
     names = [c for c in (columns or numeric_columns(df)) if c != target]
-    rows = _complete_pairs(df, [(c, target) for c in names])
+    table = correlation_matrix(df, [*names, target], upper=True)
+    rows = table.where((F.col("y") == target) & (F.col("x") != target))
     return rows.select(
         F.col("x").alias("feature"), "r", F.coalesce(F.abs("r") >= threshold, F.lit(False)).alias("keep")
     )

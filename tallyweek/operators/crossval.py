@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import fixed_text, joined_label, other_columns
-from tallyweek.functions.sizing import local_table
+from tallyweek.functions.sizing import local_table, saved
 from tallyweek.operators import models
 from tallyweek.operators.clean import keep_present
 from tallyweek.operators.metrics import regression_metrics
@@ -46,8 +47,11 @@ class CrossValidation:
 
 
 def choose(scores: Sequence[float]) -> int:
-    """Position of the lowest score; the first one wins a tie."""
-    return min(range(len(scores)), key=lambda i: scores[i])
+    """Position of the lowest score; the first one wins a tie, and a missing or NaN score never does."""
+    known = [i for i, s in enumerate(scores) if s is not None and not math.isnan(s)]
+    if not known:
+        raise ValueError("no grid point has a score")
+    return min(known, key=lambda i: scores[i])
 
 
 def cross_validate(
@@ -62,6 +66,8 @@ def cross_validate(
     select_on: str = "train",
     parallelism: int = 8,
     name: str | None = None,
+    handle_invalid: str = "error",
+    partitions: int = models.PARTITIONS,
 ) -> CrossValidation:
     """Cross-validate one kind of model.
 
@@ -72,8 +78,8 @@ def cross_validate(
     fits on four fifths of them, takes it on the rest, and fits the chosen point
     again on all. The fold's own rows never take part in the choice.
 
-    The rows are turned into vectors once and cached. Fits run side by side,
-    fewer of them the more rows there are.
+    The rows are turned into vectors once and cached; `parallelism` fits run side by
+    side. `handle_invalid` as in `models.fit`. Held-out predictions are saved once.
     """
     if select_on not in ("train", "inner"):
         raise ValueError("select_on must be 'train' or 'inner'")
@@ -83,16 +89,21 @@ def cross_validate(
     names = list(features) if features is not None else other_columns(data, label, fold_column or "")
     rows = data if fold_column else with_fold(data, k, key)
     fold = fold_column or "fold"
-    rows = keep_present(rows, label)
+    rows = models.usable_rows(keep_present(rows, label), names, handle_invalid)
     if select_on == "inner":
         rows = rows.withColumn("_inner", hash_bucket(key or names, 5, seed=1))
     dropped = models.constant_columns(rows, names) if isinstance(make(), LinearRegression) else []
     to_vector = models.vectorizer(rows, label, [c for c in names if c not in dropped])
-    rows = to_vector.transform(rows)
+    rows = to_vector.transform(models.by_content(rows, [label, *names], partitions))
     entries = models.vector_names(rows)
-    cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    rows, workers = models.joined_parts(cached, n), models.side_by_side(n, parallelism)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    found = {r[fold]: r["count"] for r in rows.groupBy(fold).count().collect()}
+    if unknown := [i for i in found if i not in range(1, k + 1)]:
+        rows.unpersist()
+        raise ValueError(f"folds must be 1 to {k}, not {unknown[0]}")
+    if empty := [i for i in range(1, k + 1) if i not in found]:
+        rows.unpersist()
+        raise ValueError(f"fold {empty[0]} has no rows")
     points = [dict(p) for p in grid] if grid else [{}]
 
     def fit_point(train: DataFrame, point: Mapping[str, object]):
@@ -124,7 +135,7 @@ def cross_validate(
     threaded = inheritable_thread_target(spark)
     numbers = range(1, k + 1)
     try:
-        with ThreadPool(workers) as pool:
+        with ThreadPool(max(1, parallelism)) as pool:
             jobs = [(i, point) for i in numbers for point in points]
             tried = pool.map(threaded(attempt), jobs, chunksize=1)
             chosen = []
@@ -133,8 +144,10 @@ def cross_validate(
                 best = choose([e for _, e in own]) if len(points) > 1 else 0
                 chosen.append((i, points[best], *own[best]))
             finished = pool.map(threaded(finish), [c[:3] for c in chosen], chunksize=1)
+        held_out = [part.drop(FEATURES, f"_{label}", "_inner") for _, part, _ in finished]
+        predictions = saved(stack_rows(*held_out), "predictions")
     finally:
-        cached.unpersist()
+        rows.unpersist()
 
     evals = [
         (
@@ -143,19 +156,18 @@ def cross_validate(
         )
         for (i, point, _, select_rmse), (_, _, scores) in zip(chosen, finished)
     ]
-    held_out = [part.drop(FEATURES, f"_{label}", "_inner") for _, part, _ in finished]
     return CrossValidation(
         model=name,
-        fits=[Fit(PipelineModel([to_vector, m]), label, entries, dropped) for m, _, _ in finished],
+        fits=[Fit(PipelineModel([to_vector, m]), label, entries, dropped, [c for c in names if c not in dropped]) for m, _, _ in finished],
         params=[c[1] for c in chosen],
-        predictions=stack_rows(*held_out),
+        predictions=predictions,
         evals=local_table(spark, evals, EVAL_FIELDS),
     )
 
 
 def cv_results(runs: Sequence[CrossValidation]) -> DataFrame:
     """The scores of all models and folds."""
-    return stack_rows(*[r.evals for r in runs]).orderBy("model", "fold")
+    return stack_rows(*[r.evals for r in runs]).replace(MODEL_NAMES, subset="model").orderBy("model", "fold")
 
 
 def cv_long(results: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.functions.columns import money_mean, money_sum
-from tallyweek.functions.sizing import local_table
+from tallyweek.functions.columns import mean, total
+from tallyweek.functions.sizing import local_table, saved
 from tallyweek.operators.clean import clip, keep_present
 from tallyweek.operators.join import attach_stats
 from tallyweek.operators.quantile import named_quantiles
@@ -75,12 +75,17 @@ def density(
     0.9 * min(sd, IQR / 1.34) * n^(-1/5). Rows are first counted in bins of
     1/`fineness` of it, each bin standing at the mean of its rows.
     """
-    rows = clip(keep_present(df, value), value, upper, lower).select(F.col(value).cast("double").alias("x"))
+    kept = keep_present(df, value)
+    if lower is None:  # taken once, as a number, so that later passes do not look for it again
+        lower = kept.agg(F.min(value)).first()[0]
+    if lower is None:
+        return local_table(df.sparkSession, [], "point int, x double, density double")
+    rows = clip(kept, value, upper, float(lower)).select(F.col(value).cast("double").alias("x"))
     n, sd, low = rows.agg(F.count("x"), F.stddev_samp("x"), F.min("x")).first()
     empty = local_table(df.sparkSession, [], "point int, x double, density double")
     if not n or not sd:
         return empty
-    low = low if lower is None else float(lower)
+    low = float(lower)
     q1, q3 = named_quantiles(rows, "x", {"q1": 0.25, "q3": 0.75}).first()
     spread = min(sd, (q3 - q1) / 1.34) or sd
     bandwidth = 0.9 * spread * math.pow(n, -0.2)
@@ -114,12 +119,12 @@ def box_stats(
     """
     rows = keep_present(df, value).select(*group, *entity, F.col(value).cast("double").alias("x"))
     if entity:
-        rows = rows.distinct()
+        rows = saved(rows.distinct(), "entities")
     box = named_quantiles(rows, "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, group, approx)
     fence = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("x").between(F.col("q1") - fence, F.col("q3") + fence)
     return (
-        attach_stats(rows, box, group, pinned=approx is None)
+        attach_stats(rows, box, group)
         .groupBy(*group)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -133,11 +138,11 @@ def box_stats(
 
 
 def binned_scatter(
-    df: DataFrame, x: str, y: str, x_width: float, y_width: float, category: Sequence[str] = ()
+    df: DataFrame, x: str, y: str, x_width: float, y_width: float, category: Sequence[str] = (), money: bool = False
 ) -> DataFrame:
     """Points counted in an x by y grid per category, with their mean y.
 
-    `y` is money; its mean comes from the exact sum.
+    `money` takes the mean of y in whole cents.
     """
     return (
         keep_present(df, x, y)
@@ -146,7 +151,7 @@ def binned_scatter(
             F.floor(F.col(x) / x_width).alias("x_bin"),
             F.floor(F.col(y) / y_width).alias("y_bin"),
         )
-        .agg(F.count(F.lit(1)).alias("n"), money_mean(F.col(y)).alias("avg_sales"))
+        .agg(F.count(F.lit(1)).alias("n"), mean(F.col(y), money).alias("avg_sales"))
         .orderBy(*category, "x_bin", "y_bin")
     )
 
@@ -169,12 +174,13 @@ def band(col: Column, bands: Sequence[tuple[str, float | None, float | None]], r
 
 
 def mean_by_band(
-    df: DataFrame, x: str, y: str, bands: Sequence[tuple[str, float | None, float | None]], category: Sequence[str] = ()
+    df: DataFrame, x: str, y: str, bands: Sequence[tuple[str, float | None, float | None]], category: Sequence[str] = (),
+    money: bool = False,
 ) -> DataFrame:
-    """Rows, total and mean of a money column per band of another."""
+    """Rows, total and mean of a column per band of another."""
     v = F.col(y)
     return (
         df.groupBy(*category, band(F.col(x), bands).alias("band"))
-        .agg(F.count(F.lit(1)).alias("n"), money_sum(v).alias("total_sales"), money_mean(v).alias("avg_sales"))
+        .agg(F.count(F.lit(1)).alias("n"), total(v, money).alias("total_sales"), mean(v, money).alias("avg_sales"))
         .orderBy(*category, "band")
     )

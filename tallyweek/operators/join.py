@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.functions.sizing import pin
-
 
 def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt: int | None = None) -> DataFrame:
     """Inner join on equal keys, which are kept once.
@@ -30,14 +28,11 @@ def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt: int
     return left.withColumn("_salt", spread).join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
-def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], pinned: bool = False) -> DataFrame:
+def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join per-group statistics back to the rows, NULL keys included.
 
-    Few groups travel as a broadcast and the rows stay where they are; many
-    groups are joined by a shuffle. `pinned` says that `stats` has been through
-    `pin` already.
+    Spark broadcasts few groups and joins many by a shuffle.
     """
-    small = stats if pinned else pin(stats)[0]
-    renamed = small.withColumnsRenamed({k: f"_stat_{k}" for k in keys})
+    renamed = stats.withColumnsRenamed({k: f"_stat_{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_stat_{k}")) for k in keys]
     return df.join(renamed, match).drop(*[f"_stat_{k}" for k in keys])

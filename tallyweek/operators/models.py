@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyweek.functions.columns import other_columns
+from tallyweek.functions.columns import is_missing, other_columns
 from tallyweek.functions.sizing import local_table
 from tallyweek.operators.clean import keep_present
 from tallyweek.operators.metrics import metric_columns, regression_metrics
@@ -31,10 +31,10 @@ FEATURES = "features"
 # Fixed value: the seed of the models.
 SEED = 1234
 
-# Small tables are fitted in parts of this many rows, as each costs every tree level a task.
-ROWS_PER_PART = 20_000
-# A fit holds a binned copy of its rows; this bounds the copies held at a time.
-ROWS_AT_ONCE = 2_000_000_000
+# Training rows are dealt by content to this many partitions, so that the draws of a forest
+# do not depend on how the table came; larger clusters give more.
+PARTITIONS = 8
+HANDLE_INVALID = ("error", "skip", "keep")
 
 # The display name of each kind of model.
 MODEL_NAMES = {
@@ -49,16 +49,35 @@ def linear() -> Estimator:
     return LinearRegression(featuresCol=FEATURES)
 
 
-def forest(num_trees: int = 20, max_depth: int = 5, seed: int = SEED) -> Estimator:
-    return RandomForestRegressor(featuresCol=FEATURES, numTrees=num_trees, maxDepth=max_depth, seed=seed)
+def _deep(max_memory: int, cache_node_ids: bool, checkpoint_interval: int) -> dict[str, object]:
+    return {"maxMemoryInMB": max_memory, "cacheNodeIds": cache_node_ids, "checkpointInterval": checkpoint_interval}
 
 
-def gbt(max_iter: int = 20, max_depth: int = 5, seed: int = SEED) -> Estimator:
-    return GBTRegressor(featuresCol=FEATURES, maxIter=max_iter, maxDepth=max_depth, seed=seed)
+def forest(
+    num_trees: int = 20, max_depth: int = 5, seed: int = SEED, bootstrap: bool = True, feature_subset: str = "auto",
+    max_memory: int = 512, cache_node_ids: bool = False, checkpoint_interval: int = 10,
+) -> Estimator:
+    return RandomForestRegressor(
+        featuresCol=FEATURES, numTrees=num_trees, maxDepth=max_depth, seed=seed, bootstrap=bootstrap,
+        featureSubsetStrategy=feature_subset, **_deep(max_memory, cache_node_ids, checkpoint_interval),
+    )
+
 
+def gbt(
+    max_iter: int = 20, max_depth: int = 5, seed: int = SEED,
+    max_memory: int = 512, cache_node_ids: bool = False, checkpoint_interval: int = 10,
+) -> Estimator:
+    return GBTRegressor(
+        featuresCol=FEATURES, maxIter=max_iter, maxDepth=max_depth, seed=seed, **_deep(max_memory, cache_node_ids, checkpoint_interval)
+    )
 
-def tree(max_depth: int = 5, seed: int = SEED) -> Estimator:
-    return DecisionTreeRegressor(featuresCol=FEATURES, maxDepth=max_depth, seed=seed)
+
+def tree(
+    max_depth: int = 5, seed: int = SEED, max_memory: int = 512, cache_node_ids: bool = False, checkpoint_interval: int = 10
+) -> Estimator:
+    return DecisionTreeRegressor(
+        featuresCol=FEATURES, maxDepth=max_depth, seed=seed, **_deep(max_memory, cache_node_ids, checkpoint_interval)
+    )
 
 
 ESTIMATORS: dict[str, Callable[..., Estimator]] = {"linear": linear, "forest": forest, "gbt": gbt, "tree": tree}
@@ -72,6 +91,7 @@ class Fit:
     label: str
     features: list[str]
     dropped: list[str]
+    columns: list[str]
 
     @property
     def model(self) -> Model:
@@ -88,13 +108,20 @@ def vectorizer(df: DataFrame, label: str, features: Sequence[str] | None = None)
     """Turns rows into label and feature vector, as in the formula `label ~ .` (M3).
 
     Numbers enter as they are. Text enters as indicators, which takes a pass to
-    find the levels. Rows with missing features are skipped.
+    find the levels. A missing feature is an error here; see `usable_rows`.
     """
     names = list(features) if features is not None else other_columns(df, label)
     if any(isinstance(df.schema[c].dataType, T.StringType) for c in names):
         formula = f"{label} ~ {' + '.join(names)}"
-        return RFormula(formula=formula, featuresCol=FEATURES, labelCol=f"_{label}", handleInvalid="skip").fit(df)
-    return VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="skip")
+        return RFormula(formula=formula, featuresCol=FEATURES, labelCol=f"_{label}", handleInvalid="error").fit(df)
+    return VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="error")
+
+
+def usable_rows(df: DataFrame, names: Sequence[str], handle_invalid: str) -> DataFrame:
+    """The rows to fit on: all of them, so that a missing feature is an error, or with `skip` the complete ones."""
+    if handle_invalid not in HANDLE_INVALID:
+        raise ValueError(f"handle_invalid must be one of {HANDLE_INVALID}")
+    return df if handle_invalid == "error" else keep_present(df, *names)
 
 
 def formula_columns(df: DataFrame, formula: str) -> tuple[str, list[str]]:
@@ -121,11 +148,15 @@ def fit(
     target: str,
     estimator: str | Estimator | Callable[..., Estimator] = "linear",
     features: Sequence[str] | None = None,
+    handle_invalid: str = "error",
+    partitions: int = PARTITIONS,
     **params: object,
 ) -> Fit:
     """Fit one model (M4-M7). `target` is the label column or a formula; `estimator` is
     a kind, a constructor (X2) or a built estimator.
 
+    A missing feature is an error unless `handle_invalid="skip"` leaves such rows out. Rows are
+    dealt by content to `partitions`, so the fit does not depend on the input's partitioning.
     Constant features are kept out of a linear model, where they would cost it
     its standard errors, and are reported with coefficient 0.
     """
@@ -137,58 +168,86 @@ def fit(
     if "~" in target:
         label, features = formula_columns(train, target)
     names = list(features) if features is not None else other_columns(train, label)
-    dropped: list[str] = []
-    if isinstance(estimator, LinearRegression):
-        dropped = constant_columns(train, names)
-        names = [c for c in names if c not in dropped]
-    to_vector = vectorizer(train, label, names)
-    rows = to_vector.transform(keep_present(train, label))
-    model = estimator.copy({estimator.labelCol: label}).fit(rows.select(label, FEATURES))
-    return Fit(PipelineModel([to_vector, model]), label, vector_names(rows), dropped)
+    train = usable_rows(keep_present(train, label), names, handle_invalid)
+    return _fit_vectors(*_vectors_of(train, label, names, isinstance(estimator, LinearRegression), partitions), label, names, estimator)
+
 
+def _vectors_of(train: DataFrame, label: str, names: Sequence[str], vary: bool, partitions: int) -> tuple[Transformer, DataFrame, list[str]]:
+    """The vectorizer, the rows as vectors in an order of their own, and the constant features left out if all must vary."""
+    dropped = constant_columns(train, names) if vary else []
+    to_vector = vectorizer(train, label, [c for c in names if c not in dropped])
+    return to_vector, to_vector.transform(by_content(train, [label, *names], partitions)), dropped
 
-def side_by_side(n_rows: int, most: int) -> int:
-    """How many fits over `n_rows` rows may run at a time."""
-    return max(1, min(most, ROWS_AT_ONCE // max(1, n_rows)))
+
+def _fit_vectors(to_vector: Transformer, rows: DataFrame, dropped: list[str], label: str, names: Sequence[str], estimator: Estimator) -> Fit:
+    model = estimator.copy({estimator.labelCol: label}).fit(rows.select(label, FEATURES))
+    return Fit(PipelineModel([to_vector, model]), label, vector_names(rows), dropped, [c for c in names if c not in dropped])
 
 
-def joined_parts(df: DataFrame, n_rows: int) -> DataFrame:
-    """The same rows in fewer partitions if these are small; large tables stay as they are."""
-    return df.coalesce(max(1, min(n_rows // ROWS_PER_PART, 1_000_000)))
+def by_content(df: DataFrame, names: Sequence[str], partitions: int) -> DataFrame:
+    """The same rows, dealt to partitions and ordered in them by a hash of the named columns.
+
+    Equal rows land together; a row that is repeated without end is better given a key column.
+    """
+    at = F.xxhash64(*[F.col(c) for c in names])
+    return df.repartition(partitions, at).sortWithinPartitions(at, *names)
 
 
 def fit_all(
-    train: DataFrame, label: str, kinds: Sequence[str] = tuple(ESTIMATORS), parallelism: int = 4
+    train: DataFrame, label: str, kinds: Sequence[str] = tuple(ESTIMATORS), parallelism: int = 4,
+    handle_invalid: str = "error", partitions: int = PARTITIONS, params: Mapping[str, Mapping[str, object]] | None = None,
 ) -> dict[str, Fit]:
-    """One fit per kind with default parameters, side by side on a cached table."""
-    rows = train.persist(StorageLevel.MEMORY_AND_DISK)
+    """One fit per kind, with default parameters or those in `params`, side by side on one cached table of vectors.
+
+    `parallelism` is how many fits may hold a copy of the rows at a time.
+    """
+    names = other_columns(train, label)
+    train = usable_rows(keep_present(train, label), names, handle_invalid)
+    # Only a linear model leaves constant features out, and only then it needs vectors of its own.
+    plain, varying = (_vectors_of(train, label, names, vary, partitions) for vary in (False, True))
+    shared = plain[1].select(label, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def one(kind: str) -> Fit:
+        made = ESTIMATORS[kind](**(params or {}).get(kind, {}))
+        if isinstance(made, LinearRegression) and varying[2]:
+            return _fit_vectors(*varying, label, names, made)
+        return _fit_vectors(plain[0], shared, [], label, names, made)
+
     try:
-        n = rows.count()
-        one = inheritable_thread_target(train.sparkSession)(partial(fit, joined_parts(rows, n), label))
-        with ThreadPool(side_by_side(n, min(parallelism, len(kinds)))) as pool:
-            return dict(zip(kinds, pool.map(one, kinds, chunksize=1)))
+        with ThreadPool(max(1, min(parallelism, len(kinds)))) as pool:
+            return dict(zip(kinds, pool.map(inheritable_thread_target(train.sparkSession)(one), kinds, chunksize=1)))
     finally:
-        rows.unpersist()
+        shared.unpersist()
 
 
-def score(fitted: Fit, df: DataFrame) -> DataFrame:
-    """Rows with their prediction (M9)."""
-    return fitted.pipeline.transform(df).drop(FEATURES, f"_{fitted.label}")
+def score(fitted: Fit, df: DataFrame, handle_invalid: str = "error") -> DataFrame:
+    """Rows with their prediction (M9).
+
+    A missing feature is an error; with `skip` such rows are left out, with
+    `keep` they stay and have no prediction.
+    """
+    rows = fitted.pipeline.transform(usable_rows(df, fitted.columns, handle_invalid)).drop(FEATURES, f"_{fitted.label}")
+    if handle_invalid != "keep":
+        return rows
+    whole = reduce(lambda a, b: a & b, [~is_missing(df, c) for c in fitted.columns])
+    return rows.unionByName(df.where(~whole).withColumn("prediction", F.lit(None).cast("double")))
 
 
-def compute_metrics(fitted: Fit, test: DataFrame) -> DataFrame:
+def compute_metrics(fitted: Fit, test: DataFrame, handle_invalid: str = "error") -> DataFrame:
     """RMSE and R squared on other rows."""
-    return regression_metrics(score(fitted, test), fitted.label)
+    return regression_metrics(score(fitted, test, handle_invalid), fitted.label)
 
 
-def compare_models(fits: Mapping[str, Fit], test: DataFrame) -> DataFrame:
+def compare_models(fits: Mapping[str, Fit], test: DataFrame, handle_invalid: str = "error") -> DataFrame:
     """The metrics of several models, one named row each.
 
     The models score the same rows one after the other, and one pass over the
-    rows gives all metrics. They must share the label.
+    rows gives all metrics. They must share the label. With `skip` the rows are
+    those that have the features of all models.
     """
     label = next(iter(fits.values())).label
-    rows, names = test, []
+    every = list(dict.fromkeys(c for f in fits.values() for c in f.columns))
+    rows, names = usable_rows(test, every, handle_invalid), []
     for kind, f in fits.items():
         names.append(f"prediction_{kind}")
         rows = score(f, rows).withColumnRenamed("prediction", names[-1])
@@ -206,7 +265,9 @@ def linear_summary(fitted: Fit, spark: SparkSession) -> DataFrame:
     values = [*map(float, model.coefficients), float(model.intercept)]
     try:
         errors, t, p = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
-    except Exception:  # not available when the features are collinear
+    except Exception as error:
+        if "available for this LinearRegressionModel" not in str(error):
+            raise  # that message says that the features are collinear
         errors = t = p = [None] * len(terms)
     rows = list(zip(terms, values, errors, t, p)) + [(c, 0.0, None, None, None) for c in fitted.dropped]
     return local_table(

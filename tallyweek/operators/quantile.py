@@ -11,12 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.functions.sizing import pin
+from tallyweek.functions.sizing import saved
 
 # A bucket with at most this many rows is sorted rather than divided again.
 SORT_ROWS = 1_000_000
@@ -64,20 +62,21 @@ def named_quantiles(
 
     Missing values are left out, and so are groups with no other. The exact
     answer takes two passes for buckets up to `sort_rows` rows and one more per
-    further division; it is computed here, not lazily, so a `df` that is costly
-    to compute should be saved or cached first. `approx` gives the accuracy of
+    further division; it is computed here, not lazily, from the two columns, which are cached meanwhile. `approx` gives the accuracy of
     a one-pass estimate instead.
     """
     group, names = list(group), list(probs)
     gs = [f"_g{i}" for i in range(len(group))]
     rows = df.select(*[F.col(g).alias(a) for g, a in zip(group, gs)], F.col(value).cast("double").alias("_x"))
-    rows = rows.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    # Every pass reads these columns again, so they are kept for the call.
+    rows = rows.where(F.col("_x").isNotNull() & ~F.isnan("_x")).persist()
     at = [float(p) for p in probs.values()]
     if approx:
         found = rows.groupBy(*gs).agg(F.percentile_approx("_x", at, approx).alias("_q")).where(F.col("_q").isNotNull())
         columns = [F.col("_q")[i].alias(name) for i, name in enumerate(names)]
     else:
         found = _exact(rows, at, gs, sort_rows, parts)
+        rows.unpersist()
         columns = [F.col(f"_q{i}").alias(name) for i, name in enumerate(names)]
     return found.select(*[F.col(a).alias(g) for g, a in zip(group, gs)], *columns)
 
@@ -98,7 +97,7 @@ def _exact(rows: DataFrame, probs: Sequence[float], gs: list[str], sort_rows: in
     placed = _placed(first, gs, "_b").withColumn("_ranks", F.array_distinct(F.array(*ranks)))
     inside = F.filter("_ranks", lambda r: (r["_rank"] >= F.col("_start")) & (r["_rank"] < F.col("_end")))
     hits = placed.select(*gs, "_n", "_lo", "_hi", F.col("_start").alias("_below"), F.inline(inside))
-    found, held = pin(hits.select(*gs, *state, "_below"))
+    found = saved(hits.select(*gs, *state, "_below"), "ranks")
 
     def look_again(todo: DataFrame, by: Column, measures: list[Column]) -> DataFrame:
         """Count the rows of the buckets in `todo` by a finer key and find the ranks there."""
@@ -115,15 +114,15 @@ def _exact(rows: DataFrame, probs: Sequence[float], gs: list[str], sort_rows: in
     # its group and its range, and holds every row of the group in that range.
     large = (F.col("_n") > sort_rows) & (F.col("_lo") < F.col("_hi"))
     part = F.floor((F.col("_x") - F.col("_l")) / (F.col("_h") - F.col("_l")) * (parts - 1))
-    while _any(found, held, sort_rows):
+    while _any(found, sort_rows):
         hits = look_again(found.where(large), part, stats)
         hits = hits.select(*gs, *state, (F.col("_below") + F.col("_start")).alias("_below"))
-        found, held = pin(found.where(~large).select(*gs, *state, "_below").unionByName(hits))
+        found = saved(found.where(~large).select(*gs, *state, "_below").unionByName(hits), "ranks")
 
     # Sort the rest: distinct values with counts, at most `sort_rows` a bucket.
     ends = found.where(F.col("_lo") == F.col("_hi")).select(*gs, "_prob", "_frac", F.col("_lo").alias("_v"))
     todo = found.where(F.col("_lo") < F.col("_hi"))
-    if _any(found, held, 0):
+    if _any(found, 0):
         hits = look_again(todo, F.col("_x"), [F.count(F.lit(1)).alias("_n")])
         ends = ends.unionByName(hits.select(*gs, "_prob", "_frac", F.col("_b").alias("_v")))
     columns = []
@@ -133,15 +132,12 @@ def _exact(rows: DataFrame, probs: Sequence[float], gs: list[str], sort_rows: in
         columns.append(F.when(low == high, low).otherwise(low + (high - low) * F.max(frac)).alias(f"_q{i}"))
     answer = ends.groupBy(*gs).agg(*columns)
     # Over no rows at all an ungrouped aggregate still gives one.
-    return pin(answer if gs else answer.where(F.col("_q0").isNotNull()))[0]
+    return saved(answer if gs else answer.where(F.col("_q0").isNotNull()), "quantiles")
 
 
-def _any(found: DataFrame, held: pa.Table | None, rows: int) -> bool:
+def _any(found: DataFrame, rows: int) -> bool:
     """Is there a bucket with different values and more than `rows` rows?"""
-    if held is None:
-        return not found.where((F.col("_n") > rows) & (F.col("_lo") < F.col("_hi"))).isEmpty()
-    wide = pc.less(held["_lo"], held["_hi"])
-    return bool(pc.any(pc.and_(wide, pc.greater(held["_n"], rows)), min_count=0).as_py())
+    return not found.where((F.col("_n") > rows) & (F.col("_lo") < F.col("_hi"))).isEmpty()
 
 
 def _within(rows: DataFrame, todo: DataFrame, gs: list[str]) -> DataFrame:

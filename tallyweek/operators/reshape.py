@@ -27,6 +27,6 @@ def to_long(
     return df.unpivot(list(ids), list(values), name, value)
 
 
-def to_wide(df: DataFrame, ids: Sequence[str], name: str, value: str, names: Sequence[object]) -> DataFrame:
-    """One column per entry of `names` (R2); naming them saves a pass over the table."""
-    return df.groupBy(*ids).pivot(name, list(names)).agg(F.first(value, ignorenulls=True))
+def to_wide(df: DataFrame, ids: Sequence[str], name: str, value: str, names: Sequence[object] | None = None) -> DataFrame:
+    """One column per entry of `names`, or per value found (R2); naming them saves a pass over the table."""
+    return df.groupBy(*ids).pivot(name, None if names is None else list(names)).agg(F.first(value, ignorenulls=True))

@@ -9,21 +9,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hash_bucket(key: Sequence[str], buckets: int, seed: int | None = None) -> Column:
-    """Bucket 0..buckets-1 from the md5 of the key; another seed, another split."""
+# The hash of a key takes this many values.
+HASHES = 1 << 32
+
+
+def key_hash(key: Sequence[str], seed: int | None = None) -> Column:
+    """0..HASHES-1 from the md5 of the key; another seed, another order."""
     parts = [F.lit(str(seed))] if seed is not None else []
     text = F.concat_ws("|", *parts, *[F.col(c).cast("string") for c in key])
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_bucket(key: Sequence[str], buckets: int, seed: int | None = None) -> Column:
+    """Bucket 0..buckets-1 by the hash of the key."""
+    return (key_hash(key, seed) % buckets).cast("int")
 
 
 def part_name(weights: Mapping[str, float], key: Sequence[str], seed: int | None = None) -> Column:
-    """Name of the part a row falls in, by the hash of its key in steps of one percent."""
-    ends = [round(100 * e / sum(weights.values())) for e in accumulate(weights.values())]
-    bucket, *names = hash_bucket(key, 100, seed), *weights
-    out = F.when(bucket < ends[0], names[0])
-    for name, end in zip(names[1:], ends[1:]):
-        out = out.when(bucket < end, name)
-    return out
+    """Name of the part a row falls in: its hash against the cumulated weights."""
+    ends = [e / sum(weights.values()) * HASHES for e in accumulate(weights.values())]
+    at, *names = key_hash(key, seed), *weights
+    out = F.when(at < F.lit(ends[0]), names[0])
+    for name, end in zip(names[1:-1], ends[1:-1]):
+        out = out.when(at < F.lit(end), name)
+    return out.otherwise(names[-1]) if len(names) > 1 else F.lit(names[0])
 
 
 def split(

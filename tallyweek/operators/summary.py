@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.functions.columns import cents, money_mean, money_sum, percent
-from tallyweek.functions.sizing import SMALL_ROWS, pin
+from tallyweek.functions.columns import cents, mean, percent, total
+from tallyweek.functions.sizing import saved
 from tallyweek.operators.quantile import named_quantiles
 
 
@@ -21,35 +21,34 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), *keys)
 
 
-def total_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "total_sales") -> DataFrame:
-    """Total per group, largest first (A6). `value` is money, summed to the cent."""
-    return df.groupBy(*keys).agg(money_sum(F.col(value)).alias(name)).orderBy(F.desc(name), *keys)
+def total_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "total_sales", money: bool = False) -> DataFrame:
+    """Total per group, largest first (A6); `money` sums whole cents."""
+    return df.groupBy(*keys).agg(total(F.col(value), money).alias(name)).orderBy(F.desc(name), *keys)
 
 
 def mean_by(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "avg_sales", money: bool = True, by_value: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "avg_sales", money: bool = False, by_value: bool = False
 ) -> DataFrame:
     """Mean per group, missing values ignored.
 
-    Ordered by the keys, or with `by_value` largest mean first. Money means
-    come from exact sums and so do not depend on the partitioning.
+    Ordered by the keys, or with `by_value` largest mean first. With `money`
+    amounts count in whole cents, whose sums do not depend on the partitioning.
     """
-    mean = money_mean(F.col(value)) if money else F.avg(value)
-    out = df.groupBy(*keys).agg(mean.alias(name))
+    out = df.groupBy(*keys).agg(mean(F.col(value), money).alias(name))
     return out.orderBy(F.desc(name), *keys) if by_value else out.orderBy(*keys)
 
 
-def peak_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def peak_by(df: DataFrame, keys: Sequence[str], value: str, money: bool = False) -> DataFrame:
     """Largest value and total per group."""
     return (
         df.groupBy(*keys)
-        .agg(F.max(value).alias("peak_sales"), money_sum(F.col(value)).alias("total_sales"))
+        .agg(F.max(value).alias("peak_sales"), total(F.col(value), money).alias("total_sales"))
         .orderBy(*keys)
     )
 
 
-def six_numbers(df: DataFrame, value: str, approx: int | None = None) -> DataFrame:
-    """Count, minimum, mean, median, maximum and sd of a money column (A3).
+def six_numbers(df: DataFrame, value: str, approx: int | None = None, money: bool = False) -> DataFrame:
+    """Count, minimum, mean, median, maximum and sd of a column (A3).
 
     The median is exact unless `approx` gives an accuracy to be content with.
     """
@@ -58,7 +57,7 @@ def six_numbers(df: DataFrame, value: str, approx: int | None = None) -> DataFra
     return df.agg(
         F.count(F.lit(1)).alias("count_sales"),
         F.min(v).alias("min_sales"),
-        money_mean(v).alias("mean_sales"),
+        mean(v, money).alias("mean_sales"),
         F.max(v).alias("max_sales"),
         F.stddev_samp(v).alias("sd_sales"),
     ).select(
@@ -73,16 +72,20 @@ def share_by(df: DataFrame, *keys: str) -> DataFrame:
     return counts.withColumn("pct", percent(F.col("n"), total)).orderBy(F.desc("n"), *keys)
 
 
-def holiday_lift(df: DataFrame, flag: str, value: str) -> DataFrame:
-    """Share of rows, share of sales and mean ratio of flagged rows."""
-    on, v = F.coalesce(F.col(flag).cast("int"), F.lit(0)) == 1, F.col(value)
-    sums = df.agg(
+def holiday_lift(df: DataFrame, flag: str, value: str, money: bool = False) -> DataFrame:
+    """Share of rows, share of sales and mean ratio of flagged rows.
+
+    Rows whose flag is missing are left out; without a flagged row both shares are 0.
+    """
+    on, v = F.col(flag).cast("int") == 1, F.col(value)
+    seen = cents(v) if money else v
+    sums = df.where(F.col(flag).isNotNull()).agg(
         F.count_if(on).alias("n_holiday"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(on, cents(v))).alias("_n_on"),
-        F.count(F.when(~on, cents(v))).alias("_n_off"),
-        money_sum(F.when(on, v)).alias("_sum_on"),
-        money_sum(F.when(~on, v)).alias("_sum_off"),
+        F.count(F.when(on, seen)).alias("_n_on"),
+        F.count(F.when(~on, seen)).alias("_n_off"),
+        F.coalesce(total(F.when(on, v), money), F.lit(0.0)).alias("_sum_on"),
+        F.coalesce(total(F.when(~on, v), money), F.lit(0.0)).alias("_sum_off"),
     )
     mean_on = F.try_divide(F.col("_sum_on"), F.col("_n_on"))
     mean_off = F.try_divide(F.col("_sum_off"), F.col("_n_off"))
@@ -132,24 +135,15 @@ def category_order(df: DataFrame, category: str) -> DataFrame:
     return rank_rows(levels, [category], "sort_key").orderBy("sort_key")
 
 
-def rank_rows(
-    df: DataFrame, order: Sequence[str], name: str, small_rows: int = SMALL_ROWS, splits: int = 256
-) -> DataFrame:
+def rank_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Number the rows 1.. by `order`, which must identify a row.
 
-    A small table is numbered by one window. A larger one is cut into ordered
-    ranges at keys drawn by hash; each range is numbered by itself and shifted
-    by the row count of the ranges before it.
+    The rows are dealt by ranges of the order to as many partitions as the
+    session shuffles to, and saved with the number of their range; each range
+    is numbered by itself and shifted by the row count of the ranges before it.
     """
-    table, held = pin(df, small_rows)
-    if held is not None:
-        return table.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    key = F.struct(*order)
-    drawn = table.select(*order).orderBy(F.xxhash64(*order), *order).limit(splits - 1).collect()
-    kinds = {c: table.schema[c].dataType for c in order}
-    edges = F.array(*[F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in order]) for row in drawn])
-    ranged = table.withColumn("_range", F.size(F.filter(edges, lambda edge: edge <= key)))
-    counts, _ = pin(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")))
+    ranged = saved(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
     offsets = counts.select("_range", before.alias("_before"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))

@@ -106,14 +106,16 @@ def correlations(pairs, rows: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-def linear(train: str, rows: str = "year_rows", tag: str = "") -> str:
+FEATURES = ["store", "is_holiday", "dept", "store_size", "type_numeric", "week_of_year"]
+
+
+def linear(train: str, rows: str = "year_rows", tag: str = "", xs: list[str] = FEATURES) -> str:
     """CTEs that fit sales on the model features over the rows where `train` holds.
 
     The features are made orthogonal one after the other, which turns the
     multiple regression into single ones. Gives `scored{tag}` with the
     prediction of every row, and the numbers of each step.
     """
-    xs = ["store", "is_holiday", "dept", "store_size", "type_numeric", "week_of_year"]
     out = [f"s0{tag} AS (SELECT *, {train} AS fitted, CAST(weekly_sales AS DOUBLE) AS y FROM {rows})"]
     prev = f"s0{tag}"
     for k, x in enumerate(xs, start=1):
@@ -127,9 +129,9 @@ def linear(train: str, rows: str = "year_rows", tag: str = "") -> str:
         keep = "".join(f", b{k}_{j}" for j in range(1, k))
         out.append(f"s{k}{tag} AS (SELECT p.*, m{k}{keep}, {x} - m{k}{rest} AS z{k} FROM {prev} p, {coef})")
         prev = f"s{k}{tag}"
-    betas = [f"sum(y * z{k}) FILTER (fitted) / sum(z{k} * z{k}) FILTER (fitted) AS g{k}" for k in range(1, 7)]
+    betas = [f"sum(y * z{k}) FILTER (fitted) / sum(z{k} * z{k}) FILTER (fitted) AS g{k}" for k in range(1, len(xs) + 1)]
     out.append(f"beta{tag} AS (SELECT avg(y) FILTER (fitted) AS my, {', '.join(betas)} FROM {prev})")
-    fit = " + ".join(["my", *[f"g{k} * z{k}" for k in range(1, 7)]])
+    fit = " + ".join(["my", *[f"g{k} * z{k}" for k in range(1, len(xs) + 1)]])
     out.append(f"scored{tag} AS (SELECT *, {fit} AS prediction FROM {prev}, beta{tag})")
     return ", ".join(out)
 
@@ -142,9 +144,28 @@ def errors(rows: str, where: str) -> str:
     )
 
 
+def standard_errors() -> str:
+    """Errors and t values: each coefficient is a sum of the orthogonal steps' slopes, whose variances add up."""
+    xs, parts = FEATURES, []
+    for j in range(6, 0, -1):  # c{k}_{j}: how much of step j's slope is in coefficient k
+        parts.append(f"CAST(1 AS DOUBLE) AS c{j}_{j}")
+        for k in range(j - 1, 0, -1):
+            parts.append(f"-({' + '.join(f'b{i}_{k} * c{i}_{j}' for i in range(k + 1, j + 1))}) AS c{k}_{j}")
+    norms = ", ".join(f"sum(z{j} * z{j}) AS n{j}" for j in range(1, 7))
+    sums = f"sums AS (SELECT {norms}, sum((y - prediction) * (y - prediction)) / (count(*) - 7) AS s2 FROM scored WHERE fitted)"
+    shares = f"shares AS (SELECT *, {', '.join(parts)} FROM beta, c1, c2, c3, c4, c5, c6)"
+    rows = [
+        f"SELECT '{x}' AS term, {' + '.join(f'c{k}_{j} * g{j}' for j in range(k, 7))} AS b, "
+        f"sqrt(s2 * ({' + '.join(f'c{k}_{j} * c{k}_{j} / n{j}' for j in range(k, 7))})) AS e FROM shares, sums"
+        for k, x in enumerate(xs, start=1)
+    ]
+    rows.append("SELECT 'year', NULL, NULL")
+    return f", {sums}, {shares} SELECT term, round(e, 4) AS std_error, round(b / e, 5) AS t_value FROM ({' UNION ALL '.join(rows)})"
+
+
 def coefficients() -> str:
     """From the orthogonal steps back to the coefficients of the features, last one first."""
-    xs = ["store", "is_holiday", "dept", "store_size", "type_numeric", "week_of_year"]
+    xs = FEATURES
     steps, prev = [], "beta, c1, c2, c3, c4, c5, c6"
     for k in range(6, 0, -1):
         rest = "".join(f" - k{j} * b{j}_{k}" for j in range(k + 1, 7))
@@ -158,25 +179,25 @@ def coefficients() -> str:
 
 
 YEAR_ROWS = f", year_rows AS (SELECT *, {BUCKET} AS h FROM panel WHERE year = 1998)"
-SPLIT_FIT = f"{YEAR_ROWS}, {linear('h % 100 < 75')}"
-FOLD_ROWS = ", fold_rows AS (SELECT *, CAST(h % 5 + 1 AS INTEGER) AS fold FROM year_rows WHERE h % 100 < 75)"
+SPLIT_FIT = f"{YEAR_ROWS}, {linear('h < 3221225472')}"
+FOLD_ROWS = ", fold_rows AS (SELECT *, CAST(h % 5 + 1 AS INTEGER) AS fold FROM year_rows WHERE h < 3221225472)"
 FOLD_FITS = YEAR_ROWS + FOLD_ROWS + "".join(f", {linear(f'fold <> {i}', 'fold_rows', f'_{i}')}" for i in range(1, 6))
 
 _AUDIT = ["store", "week_date", "temperature", "fuel_price", *MARKS, "cpi", "unemployment", "is_holiday"]
 _NUMBERS = ["store", "temperature", "fuel_price", *MARKS, "cpi", "unemployment"]
 
 
-def _describe() -> str:
+def _describe(rows: str, numbers: list[str]) -> str:
     none_text = "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text"
     parts = [
         f"SELECT '{c}' AS \"column\", count({e}) AS count, round(avg({e}), 5) AS mean, round(stddev_samp({e}), 5) AS stddev, "
-        f"CAST(min({e}) AS DOUBLE) AS min, CAST(max({e}) AS DOUBLE) AS max, {none_text} FROM clean_features"
-        for c, e in [(c, c) for c in _NUMBERS] + [("is_holiday", "CAST(is_holiday AS INTEGER)")]
+        f"CAST(min({e}) AS DOUBLE) AS min, CAST(max({e}) AS DOUBLE) AS max, {none_text} FROM {rows}"
+        for c, e in [(c, c) for c in numbers] + [("is_holiday", "CAST(is_holiday AS INTEGER)")]
     ]
     no = "CAST(NULL AS DOUBLE)"
     parts.append(
         f"SELECT 'week_date', count(week_date), {no}, {no}, {no}, {no}, CAST(min(week_date) AS VARCHAR), "
-        "CAST(max(week_date) AS VARCHAR) FROM clean_features"
+        f"CAST(max(week_date) AS VARCHAR) FROM {rows}"
     )
     return " UNION ALL ".join(parts)
 
@@ -217,7 +238,7 @@ FROM g, b, s GROUP BY point, x"""
 
 _ALL_PAIRS = [(a, b) for a in NUMERIC for b in NUMERIC if a != b]
 _DIAGONAL = " UNION ALL ".join(f"SELECT '{c}' AS x, '{c}' AS y, CAST(1 AS DOUBLE) AS r" for c in NUMERIC)
-_MISSING = ["temperature", "markdown_1", "markdown_2", "markdown_3", "cpi"]
+_MISSING = ["store", "temperature", "fuel_price", *MARKS, "cpi", "unemployment"]
 
 BODIES: dict[str, str] = {
     "src_csv_roundtrip": "SELECT * FROM typed_features",
@@ -227,8 +248,8 @@ BODIES: dict[str, str] = {
         {"tw_listed_sales": ("sales", 5), "tw_listed_stores": ("stores", 3), "tw_listed_features": ("features", 12)},
         "true AS is_temporary,",
     ),
-    "parquet_roundtrip": f"SELECT year, count(*) AS n, {TOTAL} AS total_sales, max(weekly_sales) AS max_sales "
-    "FROM panel WHERE year BETWEEN 1996 AND 1998 GROUP BY year",
+    "parquet_roundtrip": "SELECT * FROM panel",
+    "drop_table": _dims({"tw_dropped_b": ("stores", 3)}),
     "glimpse": _glimpse(),
     "table_dims": _dims(
         {"sales": ("sales", 5), "clean_sales": ("clean_sales", 5), "stores": ("stores", 3), "features": ("features", 12), "panel": ("panel", 20)}
@@ -260,12 +281,17 @@ BODIES: dict[str, str] = {
     "null_audit": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_null, CAST(0 AS BIGINT) AS n_nan FROM typed_features" for c in _AUDIT
     ),
+    "null_audit_sales": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS n_null, CAST(0 AS BIGINT) AS n_nan FROM sales"
+        for c in ("store", "dept", "week_date", "weekly_sales", "is_holiday")
+    ),
+    "describe_sales": _describe("sales", ["store", "dept", "weekly_sales"]),
     "negative_audit": "SELECT count(*) FILTER (weekly_sales < 0) AS n_negative, count(*) FILTER (weekly_sales = 0) AS n_zero, "
     "count(*) AS n_rows, round(count(*) FILTER (weekly_sales < 0) / count(*) * 100, 6) AS pct_negative FROM sales",
     "sales_summary": f"SELECT count(*) AS count_sales, min(weekly_sales) AS min_sales, {MEAN} AS mean_sales, "
     "round(quantile_cont(weekly_sales, 0.5), 4) AS median_sales, max(weekly_sales) AS max_sales, "
     "round(stddev_samp(weekly_sales), 4) AS sd_sales FROM clean_sales",
-    "describe_long": _describe(),
+    "describe_long": _describe("clean_features", _NUMBERS),
     "count_by_type": "SELECT store_type, count(*) AS n FROM stores GROUP BY store_type",
     "total_by_type": f"SELECT store_type, {TOTAL} AS total_sales FROM panel GROUP BY store_type",
     "avg_by_type": means("store_type"),
@@ -329,10 +355,10 @@ BODIES: dict[str, str] = {
     "unpivot_metrics": "SELECT store_type, 'peak_sales' AS metric, max(weekly_sales) AS value FROM panel GROUP BY store_type "
     f"UNION ALL SELECT store_type, 'total_sales', {TOTAL} FROM panel GROUP BY store_type",
     "pivot_stats": f", t AS ({means('store_type, year')}) SELECT store_type, "
-    + ", ".join(f"max(avg_sales) FILTER (year = {y}) AS y{y}" for y in (1996, 1997, 1998))
+    + ", ".join(f"max(avg_sales) FILTER (year = {y}) AS y{y}" for y in range(1995, 2002))
     + " FROM t GROUP BY store_type",
     "model_table": f"SELECT {MODEL_COLUMNS} FROM panel WHERE year = 1998",
-    "split_counts": f"SELECT CASE WHEN {BUCKET} % 100 < 75 THEN 'train' ELSE 'test' END AS part, count(*) AS n, {TOTAL} AS total_sales FROM sales GROUP BY 1",
+    "split_counts": f"SELECT CASE WHEN {BUCKET} < 3221225472 THEN 'train' ELSE 'test' END AS part, count(*) AS n, {TOTAL} AS total_sales FROM sales GROUP BY 1",
     "kfold_counts": f"SELECT CAST({BUCKET} % 5 + 1 AS INTEGER) AS fold, count(*) AS n FROM sales GROUP BY 1",
     "regression_metrics": f", m AS ({means('dept', 'prediction')}), "
     "e AS (SELECT weekly_sales AS y, prediction FROM panel JOIN m USING (dept)) "
@@ -342,6 +368,10 @@ BODIES: dict[str, str] = {
     "round(regr_intercept(weekly_sales, store_size), 3) AS intercept, round(regr_r2(weekly_sales, store_size), 8) AS r_squared FROM panel",
     "ml_linear_metrics": SPLIT_FIT + errors("scored", "NOT fitted"),
     "ml_linear_coefficients": SPLIT_FIT + coefficients(),
+    "ml_linear_errors": SPLIT_FIT + standard_errors(),
+    "ml_linear_formula": f"{YEAR_ROWS}, {linear('h < 3221225472', xs=FEATURES[:-1])}" + errors("scored", "NOT fitted"),
+    "cv_constructor": FOLD_FITS
+    + " UNION ALL ".join(f"SELECT {i} AS fold, * FROM ({errors(f'scored_{i}', 'NOT fitted')})" for i in range(1, 6)),
     "compute_metrics": SPLIT_FIT
     + f"SELECT *, 'train' AS part FROM ({errors('scored', 'fitted')}) UNION ALL SELECT *, 'test' FROM ({errors('scored', 'NOT fitted')})",
     "cv_evals": FOLD_FITS

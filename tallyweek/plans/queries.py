@@ -1,15 +1,12 @@
 """The registered queries: one per operation, on tables derived from the given ones.
 
-As an analyst would, the queries clean and join once per session, keep sales,
-features and panel as Parquet in the shared folder, and read the few columns
-they need from there. Models and cross-validations are likewise run once and reported in
-several tables.
+Models and cross-validations are run once and reported in several tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +32,10 @@ TEMPERATURE_BANDS = [("below 40", None, 40.0), ("40-80", 40.0, 80.0), ("above 80
 UNEMPLOYMENT_BANDS = [("8-10", 8.0, 10.0), ("above 11", 11.0, None)]
 FUEL_BANDS = [("2.75-3.75", 2.75, 3.75), ("above 4.25", 4.25, None)]
 
+# Sales are money: means and totals of them count whole cents.
+mean_by, total_by, peak_by = (partial(f, money=True) for f in (summary.mean_by, summary.total_by, summary.peak_by))
+binned_scatter, mean_by_band = (partial(f, money=True) for f in (distribution.binned_scatter, distribution.mean_by_band))
+
 QUERIES: dict[str, Query] = {}
 _KEPT: dict[tuple, object] = {}
 
@@ -45,42 +46,26 @@ def query(fn: Query) -> Query:
 
 
 def once(fn):
-    """Run once per Spark application and data folder."""
+    """Fit once for all queries on the same Spark application and folder; another folder empties the store."""
 
     @wraps(fn)
     def kept(spark: SparkSession, sf_dir: str):
-        at = (fn.__name__, spark.sparkContext.applicationId, sf_dir)
-        if at not in _KEPT:
-            _KEPT[at] = fn(spark, sf_dir)
-        return _KEPT[at]
+        run = (spark.sparkContext.applicationId, sf_dir)
+        for at in [at for at in _KEPT if at[1:] != run]:
+            del _KEPT[at]
+        if (fn.__name__, *run) not in _KEPT:
+            _KEPT[fn.__name__, *run] = fn(spark, sf_dir)
+        return _KEPT[fn.__name__, *run]
 
     return kept
 
 
-stores = once(standin.stores)
-
-
-@once
-def features(spark, sf_dir) -> DataFrame:
-    return _keep(standin.features(spark, sf_dir), "features")
-
-
-@once
-def sales(spark, sf_dir) -> DataFrame:
-    return _keep(standin.sales(spark, sf_dir), "sales")
+# Tables stay lazy, so that each query's plan reads the columns it needs from the given ones.
+stores, features, sales = standin.stores, standin.features, standin.sales
 
 
-@once
 def panel(spark, sf_dir) -> DataFrame:
-    merged = plans.build_panel(sales(spark, sf_dir), stores(spark, sf_dir), features(spark, sf_dir))
-    return _keep(merged, "panel")
-
-
-def _keep(df: DataFrame, name: str) -> DataFrame:
-    """Save a table for the session; sorted parts let scans skip row groups outside the asked years."""
-    path = scratch_path(df.sparkSession, name)
-    files.save_table(df.sortWithinPartitions("week_date"), path)
-    return files.load_table(df.sparkSession, path, df.schema)
+    return plans.build_panel(sales(spark, sf_dir), stores(spark, sf_dir), features(spark, sf_dir))
 
 
 def good_sales(spark, sf_dir) -> DataFrame:
@@ -112,7 +97,7 @@ def load_named_table(spark, sf_dir):
     """A table loaded under a name, and again over itself."""
     catalog.publish(stores(spark, sf_dir), "tw_sales")
     named = catalog.publish(sales(spark, sf_dir), "tw_sales", overwrite=True)
-    return summary.total_by(named, ["store"], "weekly_sales")
+    return total_by(named, ["store"], "weekly_sales")
 
 
 @query
@@ -141,14 +126,20 @@ def list_tables(spark, sf_dir):
 
 @query
 def parquet_roundtrip(spark, sf_dir):
-    """The panel saved by year and read back for some years."""
+    """The panel saved by year and read back, all rows and columns."""
     path = scratch_path(spark, "panel-by-year")
     files.save_table(panel(spark, sf_dir), path, ["year"])
-    again = files.load_table(spark, path).where(F.col("year").between(*YEARS))
-    v = F.col("weekly_sales")
-    return again.groupBy("year").agg(
-        F.count(F.lit(1)).alias("n"), columns.money_sum(v).alias("total_sales"), F.max(v).alias("max_sales")
-    )
+    return files.load_table(spark, path)
+
+
+@query
+def drop_table(spark, sf_dir):
+    """What is left of two named tables when one is dropped."""
+    for name in ("tw_dropped_a", "tw_dropped_b"):
+        catalog.publish(stores(spark, sf_dir), name)
+    catalog.drop_table(spark, "tw_dropped_a")
+    left = catalog.list_tables(spark, "tw_dropped_*").select(F.col("name").alias("table_name"))
+    return left.join(preview.dims({"tw_dropped_b": spark.table("tw_dropped_b")}), "table_name")
 
 
 @query
@@ -243,7 +234,7 @@ def week_block(spark, sf_dir):
 @query
 def format_labels(spark, sf_dir):
     """P20: rounded and fixed-point labels."""
-    means = summary.mean_by(panel(spark, sf_dir), ["is_holiday"], "weekly_sales")
+    means = mean_by(panel(spark, sf_dir), ["is_holiday"], "weekly_sales")
     return means.select(
         "is_holiday", F.round("avg_sales", 2).alias("rounded"), columns.fixed_text(F.col("avg_sales")).alias("label")
     )
@@ -338,6 +329,18 @@ def null_audit(spark, sf_dir):
     return quality.missing_audit(columns.text_na_to_null(features(spark, sf_dir), types=types))
 
 
+@query
+def null_audit_sales(spark, sf_dir):
+    """A1 on sales."""
+    return quality.missing_audit(sales(spark, sf_dir))
+
+
+@query
+def describe_sales(spark, sf_dir):
+    """A4 on sales."""
+    return rounded(quality.describe(sales(spark, sf_dir)), 5, "mean", "stddev")
+
+
 @query
 def negative_audit(spark, sf_dir):
     """A2."""
@@ -347,7 +350,7 @@ def negative_audit(spark, sf_dir):
 @query
 def sales_summary(spark, sf_dir):
     """A3."""
-    return rounded(summary.six_numbers(good_sales(spark, sf_dir), "weekly_sales"), 4, "median_sales", "sd_sales")
+    return rounded(summary.six_numbers(good_sales(spark, sf_dir), "weekly_sales", money=True), 4, "median_sales", "sd_sales")
 
 
 @query
@@ -365,45 +368,45 @@ def count_by_type(spark, sf_dir):
 @query
 def total_by_type(spark, sf_dir):
     """A6."""
-    return summary.total_by(panel(spark, sf_dir), ["store_type"], "weekly_sales")
+    return total_by(panel(spark, sf_dir), ["store_type"], "weekly_sales")
 
 
 @query
 def avg_by_type(spark, sf_dir):
     """A7."""
-    return summary.mean_by(panel(spark, sf_dir), ["store_type"], "weekly_sales")
+    return mean_by(panel(spark, sf_dir), ["store_type"], "weekly_sales")
 
 
 @query
 def avg_by_dept(spark, sf_dir):
     """A8."""
-    return summary.mean_by(panel(spark, sf_dir), ["dept"], "weekly_sales", by_value=True)
+    return mean_by(panel(spark, sf_dir), ["dept"], "weekly_sales", by_value=True)
 
 
 @query
 def avg_by_store(spark, sf_dir):
     """A9."""
-    return summary.mean_by(panel(spark, sf_dir), ["store"], "weekly_sales", by_value=True)
+    return mean_by(panel(spark, sf_dir), ["store"], "weekly_sales", by_value=True)
 
 
 @query
 def avg_by_month(spark, sf_dir):
     """A10."""
     some = clean.keep_years(panel(spark, sf_dir), "week_date", *YEARS)
-    return summary.mean_by(some, ["year", "month"], "weekly_sales")
+    return mean_by(some, ["year", "month"], "weekly_sales")
 
 
 @query
 def avg_by_week(spark, sf_dir):
     """The week number also as text."""
-    means = summary.mean_by(panel(spark, sf_dir), ["year", "week_of_year"], "weekly_sales")
+    means = mean_by(panel(spark, sf_dir), ["year", "week_of_year"], "weekly_sales")
     return means.withColumn("week_label", F.col("week_of_year").cast("string"))
 
 
 @query
 def avg_by_holiday(spark, sf_dir):
     """A12."""
-    return summary.mean_by(panel(spark, sf_dir), ["is_holiday"], "weekly_sales", "mean_sales")
+    return mean_by(panel(spark, sf_dir), ["is_holiday"], "weekly_sales", "mean_sales")
 
 
 @query
@@ -415,13 +418,13 @@ def count_by_holiday(spark, sf_dir):
 @query
 def holiday_lift(spark, sf_dir):
     """A14."""
-    return rounded(summary.holiday_lift(panel(spark, sf_dir), "is_holiday", "weekly_sales"), 8, "pct_rows", "pct_sales", "lift")
+    return rounded(summary.holiday_lift(panel(spark, sf_dir), "is_holiday", "weekly_sales", money=True), 8, "pct_rows", "pct_sales", "lift")
 
 
 @query
 def peak_by_year_type(spark, sf_dir):
     """A15."""
-    return summary.peak_by(panel(spark, sf_dir), ["year", "store_type"], "weekly_sales")
+    return peak_by(panel(spark, sf_dir), ["year", "store_type"], "weekly_sales")
 
 
 @query
@@ -478,50 +481,50 @@ def boxplot_sales_by_type(spark, sf_dir):
 @query
 def scatter_size(spark, sf_dir):
     """A22."""
-    return distribution.binned_scatter(panel(spark, sf_dir), "store_size", "weekly_sales", 10_000, BIN_WIDTH, ["store_type"])
+    return binned_scatter(panel(spark, sf_dir), "store_size", "weekly_sales", 10_000, BIN_WIDTH, ["store_type"])
 
 
 @query
 def scatter_temperature(spark, sf_dir):
     """A23."""
-    return distribution.binned_scatter(panel(spark, sf_dir), "temperature", "weekly_sales", 5, BIN_WIDTH, ["store_type"])
+    return binned_scatter(panel(spark, sf_dir), "temperature", "weekly_sales", 5, BIN_WIDTH, ["store_type"])
 
 
 @query
 def scatter_unemployment(spark, sf_dir):
     """A23."""
-    return distribution.binned_scatter(panel(spark, sf_dir), "unemployment", "weekly_sales", 0.5, BIN_WIDTH, ["store_type"])
+    return binned_scatter(panel(spark, sf_dir), "unemployment", "weekly_sales", 0.5, BIN_WIDTH, ["store_type"])
 
 
 @query
 def scatter_fuel(spark, sf_dir):
     """A23."""
-    return distribution.binned_scatter(panel(spark, sf_dir), "fuel_price", "weekly_sales", 0.25, BIN_WIDTH, ["store_type"])
+    return binned_scatter(panel(spark, sf_dir), "fuel_price", "weekly_sales", 0.25, BIN_WIDTH, ["store_type"])
 
 
 @query
 def scatter_week(spark, sf_dir):
     """A24."""
     weeks = panel(spark, sf_dir).withColumn("week_block", calendar.week_block(F.col("week_date")))
-    return distribution.binned_scatter(weeks, "week_block", "weekly_sales", 1, BIN_WIDTH, ["store_type"])
+    return binned_scatter(weeks, "week_block", "weekly_sales", 1, BIN_WIDTH, ["store_type"])
 
 
 @query
 def band_temperature(spark, sf_dir):
     """A25."""
-    return distribution.mean_by_band(panel(spark, sf_dir), "temperature", "weekly_sales", TEMPERATURE_BANDS)
+    return mean_by_band(panel(spark, sf_dir), "temperature", "weekly_sales", TEMPERATURE_BANDS)
 
 
 @query
 def band_unemployment(spark, sf_dir):
     """A25."""
-    return distribution.mean_by_band(panel(spark, sf_dir), "unemployment", "weekly_sales", UNEMPLOYMENT_BANDS, ["store_type"])
+    return mean_by_band(panel(spark, sf_dir), "unemployment", "weekly_sales", UNEMPLOYMENT_BANDS, ["store_type"])
 
 
 @query
 def band_fuel(spark, sf_dir):
     """A25."""
-    return distribution.mean_by_band(panel(spark, sf_dir), "fuel_price", "weekly_sales", FUEL_BANDS)
+    return mean_by_band(panel(spark, sf_dir), "fuel_price", "weekly_sales", FUEL_BANDS)
 
 
 @query
@@ -541,8 +544,7 @@ def corr_missing(spark, sf_dir):
     """A26 on features whose missing markdowns are left missing."""
     types = {f"markdown_{i}": "double" for i in range(1, 6)}
     typed = columns.text_na_to_null(features(spark, sf_dir), types=types)
-    names = ["temperature", "markdown_1", "markdown_2", "markdown_3", "cpi"]
-    return rounded(correlation.correlation_matrix(typed, names, upper=True), 6, "r")
+    return rounded(correlation.correlation_matrix(typed, upper=True), 6, "r")
 
 
 @query
@@ -581,14 +583,14 @@ def share_by_type(spark, sf_dir):
 @query
 def peak_week_per_year(spark, sf_dir):
     """W2."""
-    means = summary.mean_by(panel(spark, sf_dir), ["year", "week_of_year"], "weekly_sales")
+    means = mean_by(panel(spark, sf_dir), ["year", "week_of_year"], "weekly_sales")
     return summary.best_in_group(means, ["year"], "week_of_year", "avg_sales")
 
 
 @query
 def low_month_per_year(spark, sf_dir):
     """W3."""
-    means = summary.mean_by(panel(spark, sf_dir), ["year", "month"], "weekly_sales")
+    means = mean_by(panel(spark, sf_dir), ["year", "month"], "weekly_sales")
     return summary.best_in_group(means, ["year"], "month", "avg_sales", lowest=True)
 
 
@@ -601,14 +603,14 @@ def order_by_mean(spark, sf_dir):
 @query
 def top_depts(spark, sf_dir):
     """O4."""
-    means = summary.mean_by(panel(spark, sf_dir), ["dept"], "weekly_sales")
+    means = mean_by(panel(spark, sf_dir), ["dept"], "weekly_sales")
     return summary.top_k(means, "avg_sales", ["dept"])
 
 
 @query
 def top_stores(spark, sf_dir):
     """O4."""
-    means = summary.mean_by(panel(spark, sf_dir), ["store"], "weekly_sales")
+    means = mean_by(panel(spark, sf_dir), ["store"], "weekly_sales")
     return summary.top_k(means, "avg_sales", ["store"])
 
 
@@ -631,8 +633,8 @@ def union_with_id(spark, sf_dir):
     rows = panel(spark, sf_dir)
     return reshape.stack_with_id(
         {
-            "mean": summary.mean_by(rows, ["store_type"], "weekly_sales"),
-            "peak": summary.peak_by(rows, ["store_type"], "weekly_sales"),
+            "mean": mean_by(rows, ["store_type"], "weekly_sales"),
+            "peak": peak_by(rows, ["store_type"], "weekly_sales"),
         }
     )
 
@@ -640,16 +642,15 @@ def union_with_id(spark, sf_dir):
 @query
 def unpivot_metrics(spark, sf_dir):
     """R1."""
-    peaks = summary.peak_by(panel(spark, sf_dir), ["store_type"], "weekly_sales")
+    peaks = peak_by(panel(spark, sf_dir), ["store_type"], "weekly_sales")
     return reshape.to_long(peaks, ["store_type"], ["peak_sales", "total_sales"])
 
 
 @query
 def pivot_stats(spark, sf_dir):
     """R2."""
-    means = summary.mean_by(panel(spark, sf_dir), ["store_type", "year"], "weekly_sales")
-    wide = reshape.to_wide(means, ["store_type"], "year", "avg_sales", [1996, 1997, 1998])
-    return wide.withColumnsRenamed({str(y): f"y{y}" for y in (1996, 1997, 1998)})
+    means = mean_by(panel(spark, sf_dir), ["store_type", "year"], "weekly_sales")
+    return reshape.to_wide(means.withColumn("year", F.format_string("y%d", "year")), ["store_type"], "year", "avg_sales")
 
 
 # Models
@@ -680,7 +681,7 @@ def kfold_counts(spark, sf_dir):
 def regression_metrics(spark, sf_dir):
     """M10 on the predictor that gives each department its mean."""
     rows = panel(spark, sf_dir).select("dept", "weekly_sales")
-    means = summary.mean_by(rows, ["dept"], "weekly_sales", "prediction")
+    means = mean_by(rows, ["dept"], "weekly_sales", "prediction")
     out = metrics.regression_metrics(attach_stats(rows, means, ["dept"]), "weekly_sales")
     return rounded(rounded(out, 4, "rmse"), 8, "r_squared")
 
@@ -734,6 +735,21 @@ def ml_linear_one_feature(spark, sf_dir):
     return rounded(rounded(out, 8, "slope", "r_squared"), 3, "intercept")
 
 
+@query
+def ml_linear_formula(spark, sf_dir):
+    """M3: the model as the formula `y ~ . - a`."""
+    parts = model_parts(spark, sf_dir)
+    f = models.fit(parts["train"], "weekly_sales ~ . - week_of_year")
+    return rounded(rounded(models.compute_metrics(f, parts["test"]), 3, "rmse"), 7, "r_squared")
+
+
+@query
+def ml_linear_errors(spark, sf_dir):
+    """M8: standard errors and t values."""
+    table = models.linear_summary(_fits(spark, sf_dir, "linear")["linear"], spark).where("term != '(intercept)'")
+    return rounded(rounded(table.select("term", "std_error", "t_value"), 4, "std_error"), 5, "t_value")
+
+
 @query
 def ml_linear_summary(spark, sf_dir):
     """M8."""
@@ -844,6 +860,15 @@ def cv_evals(spark, sf_dir):
     return rounded(rounded(out, 3, "rmse"), 7, "r_squared")
 
 
+@query
+def cv_constructor(spark, sf_dir):
+    """Cross-validation that is given the learner itself."""
+    train = model_parts(spark, sf_dir, keep_key=True)["train"]
+    features = columns.other_columns(train, "weekly_sales", "week_date")
+    run = crossval.cross_validate(train, "weekly_sales", models.linear, features, k=5, key=KEY)
+    return rounded(rounded(run.evals.select("fold", "rmse", "r_squared"), 3, "rmse"), 7, "r_squared")
+
+
 @query
 def cv_predictions(spark, sf_dir):
     """Held-out predictions of the linear model, every training row once."""
@@ -898,5 +923,5 @@ def cv_vs_holdout(spark, sf_dir):
     """M24."""
     runs = _runs(spark, sf_dir)
     fits = _fits(spark, sf_dir, *[run.model for run in runs])
-    results = crossval.cv_results(runs).replace(models.MODEL_NAMES, subset="model")
+    results = crossval.cv_results(runs)
     return crossval.cv_vs_holdout(models.compare_models(fits, model_parts(spark, sf_dir)["test"]), results)

@@ -8,7 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tallyweek.functions.sizing import SMALL_ROWS
+
+
+# Rows a client may ask for at a time.
+FETCH_ROWS = 100_000
 
 
 def glimpse(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +38,7 @@ def dims(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def fetch(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row]:
+def fetch(df: DataFrame, max_rows: int = FETCH_ROWS) -> list[Row]:
     """The rows of a result, for the caller's own process.
 
     A result of more than `max_rows` rows is refused rather than cut: it is to

@@ -33,11 +33,7 @@ def test_quantiles_match_brute_force(spark, limits):
     assert alone == {p: got["hot", p] for p in probs}
 
 
-def test_quantiles_of_many_groups_shuffle(spark, monkeypatch):
-    from tallyweek.functions import sizing
-    from tallyweek.operators import quantile
-
-    monkeypatch.setattr(quantile, "pin", lambda df: sizing.pin(df, 5))
+def test_quantiles_of_many_groups(spark):
     df = spark.range(900).selectExpr("id % 30 as g", "cast((id * 7919) % 1009 as double) as x")
     got = {(r["g"], r["prob"]): r["quantile"] for r in quantiles(df, "x", [0.5, 0.9], ["g"], sort_rows=4, parts=4).collect()}
     want = df.groupBy("g").agg(F.percentile("x", [0.5, 0.9]).alias("q")).collect()

@@ -90,10 +90,10 @@ def test_same_seed_same_forest(learnable):
 def test_text_and_missing_features(spark):
     data = [(["r", "s", "t"][i % 3], float(i % 5) if i % 11 else None, float(i % 3) * 4 + i % 5) for i in range(120)]
     df = spark.createDataFrame(data, "kind string, x double, y double")
-    f = models.fit(df, "y", "linear")
+    f = models.fit(df, "y", "linear", handle_invalid="skip")
     assert f.features[-1] == "x" and len(f.features) == 3
-    assert models.compute_metrics(f, df).first()["r_squared"] == pytest.approx(1)
-    assert models.fit(df.where("kind = 'r'"), "y", models.tree, ["x"], max_depth=2).model.depth <= 2
+    assert models.compute_metrics(f, df, "skip").first()["r_squared"] == pytest.approx(1)
+    assert models.fit(df.where("kind = 'r'"), "y", models.tree, ["x"], max_depth=2, handle_invalid="skip").model.depth <= 2
 
 
 def test_formula(learnable):
@@ -105,7 +105,66 @@ def test_formula(learnable):
     assert models.fit(learnable, "y ~ . - id").features == ["a", "b"]
 
 
+def test_small_parts_are_not_empty(spark):
+    df = spark.range(100_000)
+    for weights in ({"a": 0.996, "b": 0.004}, {"a": 0.9, "b": 0.096, "c": 0.004}):
+        sizes = {name: part.count() for name, part in split(df, weights, ["id"]).items()}
+        assert sum(sizes.values()) == 100_000
+        assert all(abs(sizes[name] / 100_000 - w) < 0.004 and sizes[name] > 0 for name, w in weights.items())
+    assert split(df, {"all": 2}, ["id"])["all"].count() == 100_000
+
+
+def test_missing_features_are_an_error_unless_told(spark):
+    data = [(float(i) if i % 4 else None, float(i % 7), 2.0 * i) for i in range(40)]
+    df = spark.createDataFrame(data, "a double, b double, y double")
+    with pytest.raises(Exception):
+        models.fit(df, "y", "tree")
+    f = models.fit(df, "y", "tree", handle_invalid="skip")
+    with pytest.raises(Exception):
+        models.score(f, df).collect()
+    assert models.score(f, df, "skip").count() == 30
+    kept = models.score(f, df, "keep").collect()
+    assert len(kept) == 40 and all((r["prediction"] is None) == (r["a"] is None) for r in kept)
+    with pytest.raises(ValueError):
+        models.score(f, df, "drop")
+    fits = models.fit_all(df, "y", ["tree", "linear"], handle_invalid="skip")
+    assert models.compare_models(fits, df, "skip").count() == 2
+
+
+def test_forest_depends_on_content_only(learnable, spark):
+    df = learnable.select("a", "b", "y")
+    shares = [models.feature_importance(models.fit(df.repartition(n), "y", "forest", num_trees=4), spark).collect() for n in (3, 7)]
+    assert shares[0] == shares[1]
+    trees = [models.fit_all(df.repartition(n), "y", ["forest"])["forest"].model.toDebugString.split("\n")[1:] for n in (2, 5)]
+    assert trees[0] == trees[1]
+
+
+def test_plain_forest_is_the_tree(learnable):
+    df = learnable.select("a", "b", "y")
+    one = models.fit(df, "y", "tree", max_depth=2)
+    same = models.fit(df, "y", "forest", num_trees=3, max_depth=2, bootstrap=False, feature_subset="all")
+    a, b = (sorted(r["prediction"] for r in models.score(f, df).collect()) for f in (one, same))
+    assert a == pytest.approx(b)
+
+
+def test_folds_outside_the_range_are_refused(learnable):
+    data = learnable.select((F.col("id") % 4).alias("part"), "a", "b", "y")
+    with pytest.raises(ValueError, match="folds must be"):
+        crossval.cross_validate(data, "y", "tree", k=5, fold_column="part")
+    with pytest.raises(ValueError, match="has no rows"):
+        crossval.cross_validate(data.withColumn("part", F.col("part") + 1), "y", "tree", k=5, fold_column="part")
+
+
+def test_predictions_are_read_without_the_source(learnable):
+    run = crossval.cross_validate(learnable.drop("c"), "y", "linear", ["a", "b"], k=3, key=["id"])
+    plan = run.predictions._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and run.predictions.count() == 600
+
+
 def test_first_point_wins_a_tie():
+    assert crossval.choose([float("nan"), 1.0]) == 1 and crossval.choose([None, 2.0]) == 1
+    with pytest.raises(ValueError):
+        crossval.choose([None, float("nan")])
     assert crossval.choose([2.0, 1.0, 1.0]) == 1
     assert crossval.choose([1.0, 1.0]) == 0
 
@@ -127,7 +186,7 @@ def test_cross_validation(spark, learnable, select_on):
     one = regression_metrics(models.score(run.fits[1], with_fold(learnable, 3, ["id"]).where("fold = 2")), "y").first()
     assert one["rmse"] == pytest.approx(evals[1]["rmse"])
     long = crossval.cv_long(crossval.cv_results([run])).collect()
-    assert len(long) == 6 and {r["axis"] for r in long} == {"tree.1", "tree.2", "tree.3"}
+    assert len(long) == 6 and {r["axis"] for r in long} == {"Decision Tree.1", "Decision Tree.2", "Decision Tree.3"}
     shares = crossval.cv_importance([run], spark).collect()
     assert len(shares) == 6 and {r["fold"] for r in shares} == {1, 2, 3}
     both = crossval.cv_vs_holdout(spark.createDataFrame([("tree", 1.0, 0.9)], "model string, rmse double, r_squared double"), run.evals)

@@ -10,8 +10,6 @@ import __spark_entry__ as contract
 from tools.check_queries import normal
 
 SQL, QUERIES = contract.oracle_sql(), contract.queries()
-# Full grids take minutes; their machinery is covered in test_models.
-LONG = {"cv_forest", "cv_gbt", "cv_results", "cv_long", "cv_importance", "cv_vs_holdout"}
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +36,7 @@ def test_same_rows_as_sql(spark, db, name):
     assert normal(got) == normal(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_other_queries_give_rows(spark, name):
     assert len(QUERIES[name](spark, SMALL).collect()) > 0
 

@@ -67,14 +67,12 @@ def test_standin_years_lose_nothing(spark, small):
     assert "GreaterThanOrEqual(l_shipdate" in some._jdf.queryExecution().executedPlan().toString()
 
 
-def test_pin_small_and_large(spark):
+def test_saved_tables_are_in_the_shared_folder(spark):
     df = spark.range(100).withColumnRenamed("id", "a")
-    local, held = sizing.pin(df)
-    assert held.num_rows == 100 and "LocalTableScan" in local._jdf.queryExecution().executedPlan().toString()
-    far, none = sizing.pin(df, max_rows=10)
-    assert none is None and far.count() == 100
+    again = sizing.saved(df, "numbers")
+    assert sorted(rows(again)) == sorted(rows(df)) and spark.conf.get("spark.checkpoint.dir") in again.inputFiles()[0]
     dates = spark.createDataFrame([(dt.date(2010, 1, 1), None)], "d date, x decimal(18,2)")
-    assert rows(sizing.pin(dates)[0]) == rows(dates)
+    assert rows(sizing.saved(dates, "dates")) == rows(dates) and sizing.saved(dates.limit(0), "none").count() == 0
 
 
 def test_fetch_refuses_rather_than_cuts(spark):

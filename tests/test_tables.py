@@ -96,17 +96,44 @@ def test_group_summaries(spark):
     assert rows(summary.order_by_mean(df.where("x is not null"), "g", "x")) == [("a", 2.0, 1), ("b", 4.0, 2)]
 
 
+def test_plain_sums_are_not_rounded(spark):
+    df = spark.createDataFrame([("a", True, 0.004), ("a", True, 0.004), ("a", False, 3.4567)], "g string, f boolean, x double")
+    mean = (0.004 + 0.004 + 3.4567) / 3
+    assert rows(summary.mean_by(df, ["g"], "x"))[0][1] == pytest.approx(mean) and rows(summary.total_by(df, ["g"], "x"))[0][1] == pytest.approx(3 * mean)
+    assert rows(summary.peak_by(df, ["g"], "x"))[0][1:] == (3.4567, pytest.approx(3 * mean))
+    assert summary.six_numbers(df, "x").first()["mean_sales"] == pytest.approx(mean)
+    assert summary.holiday_lift(df, "f", "x").first()["mean_holiday"] == pytest.approx(0.004)
+    assert rows(summary.mean_by(df, ["g"], "x", money=True)) == [("a", pytest.approx(3.46 / 3))]
+    endless = spark.createDataFrame([("a", float("inf")), ("a", 1.0)], "g string, x double")
+    assert rows(summary.mean_by(endless, ["g"], "x")) == [("a", float("inf"))] and rows(summary.total_by(endless, ["g"], "x")) == [("a", float("inf"))]
+
+
+def test_holiday_lift_without_flags(spark):
+    none = spark.createDataFrame([(0, 10.0), (0, 20.0), (None, 99.0)], "f int, x double")
+    assert rows(summary.holiday_lift(none, "f", "x")) == [(0, 2, 0.0, 0.0, None, 15.0, None)]
+
+
+def test_pivot_of_all_values(spark):
+    df = spark.createDataFrame([("a", "y1", 1.0), ("a", "y3", 3.0), ("b", "y2", 2.0)], "id string, y string, v double")
+    assert reshape.to_wide(df, ["id"], "y", "v").columns == ["id", "y1", "y2", "y3"]
+
+
 def test_holiday_lift(spark):
     df = spark.createDataFrame([(1, 30.0), (0, 10.0), (0, 10.0), (0, 10.0)], "f int, x double")
     assert rows(summary.holiday_lift(df, "f", "x")) == [(1, 4, 25.0, 50.0, 30.0, 10.0, 3.0)]
 
 
-def test_rank_small_and_large_agree(spark):
-    df = spark.range(500).selectExpr("(id * 37) % 501 as a", "cast(id as string) as s")
-    for order in (["a"], ["s"], ["a", "s"]):
-        small = summary.rank_rows(df, order, "r")
-        large = summary.rank_rows(df, order, "r", small_rows=10, splits=8)
-        assert sorted(rows(small)) == sorted(rows(large.select(*small.columns)))
+def test_ranks_over_many_ranges(spark):
+    df = spark.range(5000).selectExpr("(id * 37) % 5001 as a", "cast(id as string) as s")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "8", "300"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for order in (["a"], ["s"], ["a", "s"]):
+                got = sorted(rows(summary.rank_rows(df, order, "r").select("r", *order)))
+                assert [g[1:] for g in got] == sorted(rows(df.select(*order))) and [g[0] for g in got] == list(range(1, 5001))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert rows(summary.category_order(spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "c string"), "c")) == [("a", 1), ("b", 2)]
 
 
