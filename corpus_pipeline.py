@@ -24,6 +24,9 @@ from tallyweek.llm import decontaminate, language, pieces, simhash, substrings
 from tallyweek.llm.common import written
 from tallyweek.llm.queries import table
 
+# The executors still hold the heap of the shuffling stages; smaller tables leave the piece workers room beside it.
+KEPT_STRETCHES = 30_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs)
@@ -43,7 +46,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.round_trip(docs)
+    return pieces.round_trip(docs, kept=KEPT_STRETCHES)
 
 
 STAGES = [

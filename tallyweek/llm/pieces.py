@@ -48,7 +48,7 @@ OPENING = 6
 class Kept(dict):
     """A table of what `make` gives for a text, with a bound: rarely used entries leave after a while."""
 
-    def __init__(self, make, limit: int = KEPT_STRETCHES):
+    def __init__(self, make, limit: int):
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, text: str):
@@ -66,7 +66,7 @@ class Kept(dict):
 class Pieces:
     """The model, and how to encode and decode with it."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, kept: int = KEPT_STRETCHES):
         library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.ids: dict[str, int] = {}
         self.scores: dict[str, float] = {}
@@ -90,8 +90,8 @@ class Pieces:
         self.runs = re.compile(rf"{SPACE}*(?:[^\W\d_]+|(?:[^\w{SPACE}]|[\d_])+)|{SPACE}+").findall
         self.fits: dict[str, dict[str, bool]] = {}
         self.n_fits = 0
-        self.kept, self.kept_runs = Kept(self.ids_of), Kept(self._run)
-        self.openings = Kept(self._opening, KEPT_STRETCHES // 2)
+        self.kept, self.kept_runs = Kept(self.ids_of, kept), Kept(self._run, kept)
+        self.openings = Kept(self._opening, kept // 2)
         # Every tail of a piece, and whether it is a piece itself.
         self.tails = {p[i:]: p[i:] in self.ids for p in self.ids for i in range(len(p))}
 
@@ -206,9 +206,9 @@ class Pieces:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).removeprefix(b" ").decode("utf-8", "replace")
 
 
-def load(model: bytes) -> Pieces:
-    """One copy per Python worker."""
-    return held(("pieces", hash(model)), lambda: Pieces(model))
+def load(model: bytes, kept: int = KEPT_STRETCHES) -> Pieces:
+    """One copy per Python worker, with tables of `kept` entries."""
+    return held(("pieces", hash(model), kept), lambda: Pieces(model, kept))
 
 
 def _lists(found: list[np.ndarray]) -> pa.Array:
@@ -242,12 +242,15 @@ def decode(rows: DataFrame, id_col: str = "id", ids_col: str = "ids", model: str
     return rows.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, "id long, text string")
 
 
-def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
-    """(doc_id, n_ids, ids, decoded_sha256, same): encoded, decoded from the ids, and compared with the text."""
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, kept: int = KEPT_STRETCHES) -> DataFrame:
+    """(doc_id, n_ids, ids, decoded_sha256, same): encoded, decoded from the ids, and compared with the text.
+
+    A smaller `kept` takes more time and less memory; results are the same.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = load(shared.value)
+        of = load(shared.value, kept)
         for b in batches:
             for part in _parts(b):
                 texts = part.column(1).to_pylist()
