@@ -100,14 +100,18 @@ def links(distinct_fps: DataFrame, max_bits: int = 2, long_list: int = LONG_LIST
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
-    """(id, row_key, fp, component_id): the component's smallest id, over every row."""
+    """(id, row_key, fp, root, component_id) of every row.
+
+    root tells components apart: it is the smallest fingerprint in one. component_id is its
+    smallest id, a label that components share where ids are null or repeated.
+    """
     rows = written(fingerprints(docs, id_col, text_col, width, seed), "fingerprints")
     fps = written(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct_fps")
     nodes = components(links(fps.select("fp"), max_bits))
     rooted = fps.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     roots = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = written(rooted.join(roots, "root").select("fp", "component_id"), "components")
-    return rows.join(named, "fp").select("id", "row_key", "fp", "component_id")
+    named = written(rooted.join(roots, "root").select("fp", "root", "component_id"), "components")
+    return rows.join(named, "fp").select("id", "row_key", "fp", "root", "component_id")
 
 
 def fingerprint_hex(fp: str = "fp"):
@@ -118,7 +122,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """The rows of `docs`, one of each component: that with the smallest id (and row key, among equals)."""
     found = near_duplicates(docs, id_col, text_col, width, max_bits)
     first = F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("first")
-    keep = written(found.groupBy("component_id").agg(first, F.count("*").alias("n")).select("first.row_key", "n"), "kept")
+    keep = written(found.groupBy("root").agg(first).select("first.row_key"), "kept")
     kept = docs.withColumn("_row_key", content_key(id_col, text_col)).join(keep.select(F.col("row_key").alias("_row_key")), "_row_key", "left_semi")
     # Rows repeated with id and text alike share a key; of those one stays.
     return kept.dropDuplicates(["_row_key"]).drop("_row_key") if _repeats(found) else kept.drop("_row_key")

@@ -94,6 +94,14 @@ def test_keep_one(spark):
     assert simhash.keep_one(frame(spark, docs).limit(0)).count() == 0 and kept[0].fp == "x"
 
 
+def test_keep_one_where_ids_do_not_tell_components_apart(spark):
+    docs = [(None, "a b c d e"), (None, "x y z"), (None, "x y z"), (None, "X Y Z"), (1, "one two three"), (1, "quite other words here"), (2, "one two three")]
+    kept = sorted((str(r.doc_id), r.text.lower()) for r in simhash.keep_one(frame(spark, docs)).collect())
+    assert kept == [("1", "one two three"), ("1", "quite other words here"), ("None", "a b c d e"), ("None", "x y z")]
+    found = simhash.near_duplicates(frame(spark, docs)).collect()
+    assert len({r.root for r in found}) == 4 and {r.component_id for r in found} == {None, 1}
+
+
 def chain(n):
     return [(i + 1, i) for i in range(n)]
 
