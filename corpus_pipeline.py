@@ -8,7 +8,7 @@ and read again as the next one's input.
 2. SimHash near-dedup: of each group of near copies the one with the smallest doc_id stays.
 3. suffix-array dedup: strings of 400 bytes that occur more than once are cut out of the
    texts, and n_chars follows.
-4. benchmark decontamination: documents that contain a benchmark item go.
+4. benchmark decontamination: documents that contain a benchmark passage go, whatever its item_id.
 5. SentencePiece: ids of each text, and whether they decode to it.
 
 Cases: every stage takes null ids and texts, repeated rows, empty tables and
@@ -42,7 +42,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, decontaminate.by_passage(table(spark, sf_dir, "benchmark")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ Cases: words are runs of digits, letters and characters beyond ASCII, in lower
 case; null or short texts have no shingles; an item of fewer than five words has
 no shingle and is found nowhere; repeated rows of documents each get their rows,
 repeated item ids count as one item made of all their shingles; rows without item id are left
-out; empty tables give an empty result; other columns are not read.
+out; by_passage() keys each text for itself where ids may be missing or repeated; empty tables give an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -50,6 +50,11 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str, width: int, shar
     return ranked.select("item_id", "n", "gram", "h", (F.col("rank") <= missing + 1).alias("is_minimum"))
 
 
+def by_passage(items: DataFrame, item_text: str = "text") -> DataFrame:
+    """(item_id, text) of every row of `items`, with a hash of the text as id: no passage is left out or merged with another."""
+    return items.select(content_key(item_text).alias("item_id"), F.col(item_text).alias("text"))
+
+
 def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WIDTH, share: float = SHARE) -> DataFrame:
     """(doc_key, doc_id, item_id, n_shingles, n_shared, containment) of every document and item it contains.
 

@@ -50,3 +50,12 @@ def test_edges(spark, small):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "fp"]
         stage(spark, docs.limit(0), small).collect()
     assert {r.doc_id for r in docs.collect()} == {4, 5}
+
+
+def test_benchmark_passages_without_ids_of_their_own(spark, tmp_path):
+    passages = {i: " ".join(f"{c}{k}" for k in range(20)) for i, c in enumerate("abcd")}
+    bench = [(None, passages[0]), (None, passages[1]), (7, passages[2]), (7, passages[3]), (8, None)]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = [(i, f"before it {t} after it") for i, t in passages.items()] + [(10, " ".join(f"e{k}" for k in range(20))), (11, None)]
+    got = corpus_pipeline.drop_benchmark_leaks(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == [10, 11]
