@@ -9,14 +9,15 @@ cross entropy; the language with the smallest sum wins, on ties the smaller name
 Phrases end at the ends of words, so a word has the same counts wherever it stands
 and counts are kept in a table of bounded size per Python worker.
 
-Only the fit reads a sample: about SAMPLE_ROWS rows of each language, chosen by a
-hash of the id, SAMPLE_CHARS characters of each at most, DISTINCT_CHARS of distinct
+Only the fit reads a sample: about SAMPLE_ROWS distinct rows of each language, chosen
+by a hash of id and text, SAMPLE_CHARS characters of each at most, DISTINCT_CHARS of distinct
 words at most per language. It goes through the driver; its size is (number of
 languages) * DISTINCT_CHARS. Prediction reads whole texts of all rows.
 
 Cases: null or letterless texts are `und` with score 0, and so is every text when
-nothing was learned; rows without label are not learned from; repeated rows and
-empty tables need no care; other columns are not read.
+nothing was learned; keep_known goes by letters alone, whatever was learned or is
+labelled `und`; rows without label are not learned from; repeated rows are drawn as
+one; empty tables need no care; other columns are not read.
 """
 
 from __future__ import annotations
@@ -50,6 +51,10 @@ def letters(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+def has_letters(text: str | None) -> bool:
+    return bool(text) and _WORD.search(text) is not None
+
+
 class Automaton:
     """A suffix automaton: the states tell which strings occur in the text."""
 
@@ -126,10 +131,10 @@ class Parser(dict):
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, distinct_chars: int = DISTINCT_CHARS) -> dict[str, str]:
     """Language to sample text: its distinct words, most frequent first, each between spaces."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
-    sizes = written(labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")), "language_sizes")
-    draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 32)) / float(1 << 32)
-    read = labelled.select(F.col(lang_col).alias("lang"), draw.alias("draw"), F.substring(text_col, 1, chars).alias("text"))
-    chosen = read.join(small(sizes), "lang").where(F.col("draw") * F.col("n") < rows).select("lang", "text")
+    read = labelled.select(F.col(lang_col).alias("lang"), content_key(F.lit("sample"), id_col, text_col).alias("key"), F.substring(text_col, 1, chars).alias("text"))
+    sizes = written(read.select("lang", "key").distinct().groupBy("lang").agg(F.count("*").alias("n")), "language_sizes")
+    draw = F.pmod("key", F.lit(1 << 32)) / float(1 << 32)
+    chosen = read.join(small(sizes), "lang").where(draw * F.col("n") < rows).dropDuplicates(["lang", "key"]).select("lang", "text")
     counts: dict[str, dict[str, int]] = {}
     for lang, text in chosen.toLocalIterator():
         of = counts.setdefault(lang, {})
@@ -149,7 +154,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def predict(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row_key, lang_pred, score) of every row."""
+    """(id, row_key, lang_pred, score, has_letters) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,18 +162,19 @@ def predict(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text
         of = held(("language", tuple(sorted(texts.items()))), lambda: Parser(texts))
         for b in batches:
             found = [of.predict(t.as_py()) for t in b.column(2)]
+            lettered = [has_letters(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                ["id", "row_key", "lang_pred", "score"],
+                [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(lettered, pa.bool_())],
+                ["id", "row_key", "lang_pred", "score", "has_letters"],
             )
 
     read = docs.select(F.col(id_col).cast("long").alias("id"), content_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
-    return read.mapInArrow(run, "id long, row_key long, lang_pred string, score double")
+    return read.mapInArrow(run, "id long, row_key long, lang_pred string, score double, has_letters boolean")
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of `docs` whose language can be told; texts that are null or have no letter go."""
+    """The rows of `docs` whose text has a letter; others, and null texts, are in no language and go."""
     texts = learn(docs, id_col, text_col, lang_col)
-    rejected = predict(docs, texts, id_col, text_col).where(F.col("lang_pred") == UNKNOWN).select(F.col("row_key").alias("_row_key")).distinct()
+    rejected = predict(docs, texts, id_col, text_col).where("NOT has_letters").select(F.col("row_key").alias("_row_key")).distinct()
     rejected = small(written(rejected, "rejected"))
     return docs.withColumn("_row_key", content_key(id_col, text_col)).join(rejected, "_row_key", "left_anti").drop("_row_key")

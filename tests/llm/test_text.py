@@ -77,6 +77,22 @@ def test_never_learned_from_held_out_rows(spark):
     assert sorted(language.learn(df)) == ["en"]
 
 
+def test_known_texts_stay_whatever_was_learned(spark):
+    schema = "doc_id long, text string, lang string"
+    docs = [(1, "some words here"), (None, "other words"), (3, "123 !!"), (4, None), (5, "")]
+    for label in (None, language.UNKNOWN):
+        kept = language.keep_known(spark.createDataFrame([(*d, label) for d in docs], schema))
+        assert sorted(r.text for r in kept.collect()) == ["other words", "some words here"]
+
+
+@pytest.mark.parametrize("doc_id", [None, 1, 2, 3])
+def test_sample_is_drawn_by_content(spark, doc_id):
+    words = ["".join("abcdefghij"[int(c)] for c in f"{k:04}") for k in range(2000)]
+    rows = [(doc_id, w, "en") for w in words] + [(doc_id, "kkkk", "fr")] * 2000 + [(doc_id, "llll", "fr")]
+    texts = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=100)
+    assert 50 < len(texts["en"].split()) < 150 and texts["fr"].split() == ["kkkk", "llll"]
+
+
 @pytest.fixture(scope="module")
 def model():
     return open(pieces.MODEL, "rb").read()
