@@ -39,7 +39,9 @@ def _complete_pairs(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str]
 
     Each row becomes one vector of its standardised values (0 where missing), their
     squares and marks of presence. The products of these, summed in one pass, hold
-    counts, sums, squares and cross products of every pair.
+    counts, sums, squares and cross products of every pair. Where a side varies little
+    over the shared rows, next to its whole column, these are too coarse and the pair
+    is computed again.
     """
     seen = {c: ~is_missing(df, c) for c in names}
     aggs = [f(F.when(seen[c], F.col(c).cast("double"))) for c in names for f in (F.avg, F.stddev_pop)]
@@ -59,12 +61,38 @@ def _complete_pairs(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str]
     r = np.nan_to_num(Correlation.corr(rows, "v").first()[0].toArray())
     product = r * np.outer(sd, sd) * (n - 1) + n * np.outer(mean, mean)
     out: dict[tuple[str, str], float | None] = {}
+    narrow = []
     for (i, a), (j, b) in combinations(enumerate(names), 2):
         both = product[2 * p + i, 2 * p + j]
         sa, sb, saa, sbb, sab = product[i, 2 * p + j], product[j, 2 * p + i], product[p + i, 2 * p + j], product[p + j, 2 * p + i], product[i, j]
         va, vb = both * saa - sa * sa, both * sbb - sb * sb
-        flat = both < 1.5 or min(va, vb) <= 1e-9 * both * both
-        out[a, b] = None if flat else float((both * sab - sa * sb) / np.sqrt(va * vb))
+        if both < 1.5:
+            out[a, b] = None
+        elif min(va, vb) <= 1e-9 * both * both:
+            narrow.append((a, b))
+        else:
+            out[a, b] = float((both * sab - sa * sb) / np.sqrt(va * vb))
+    return out | _narrow_pairs(df, narrow)
+
+
+def _narrow_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], at_once: int = 200) -> dict[tuple[str, str], float | None]:
+    """Correlation of the given pairs from the ranges and means of their shared rows, NULL if a side is constant there."""
+    if len(pairs) > at_once:
+        return _narrow_pairs(df, pairs[:at_once], at_once) | _narrow_pairs(df, pairs[at_once:], at_once)
+    if not pairs:
+        return {}
+    sides = []
+    for a, b in pairs:
+        shared = ~is_missing(df, a) & ~is_missing(df, b)
+        sides += [F.when(shared, F.col(c).cast("double")) for c in (a, b)]
+    row = list(df.agg(*[f(v) for v in sides for f in (F.min, F.max, F.avg)]).first())
+    spread = [row[i + 1] - row[i] for i in range(0, len(row), 3)]
+    scaled = [(v - row[3 * i + 2]) / d if 0 < d < float("inf") else None for i, (v, d) in enumerate(zip(sides, spread))]
+    varying = [k for k in range(len(pairs)) if scaled[2 * k] is not None and scaled[2 * k + 1] is not None]
+    out: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
+    if varying:
+        found = df.agg(*[F.corr(scaled[2 * k], scaled[2 * k + 1]) for k in varying]).first()
+        out |= {pairs[k]: r for k, r in zip(varying, found)}
     return out
 
 

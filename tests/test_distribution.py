@@ -141,3 +141,14 @@ def test_first_component_order(spark):
     vector = vector if vector[np.abs(vector).argmax()] > 0 else -vector
     assert [r[1] for r in got] == [n for _, n in sorted(zip(vector, "abc"))]
     assert [r[2] for r in got] == pytest.approx(sorted(vector), abs=1e-9)
+
+
+def test_correlation_beside_an_outlier_in_an_unshared_row(spark):
+    rng = np.random.default_rng(5)
+    x, noise = rng.uniform(0, 100, 300), rng.normal(0, 20, 300)
+    data = [(float(a), float(a + e), 7.0 if i % 2 else None) for i, (a, e) in enumerate(zip(x, noise))] + [(1e9, None, 8.0)]
+    df = spark.createDataFrame(data, "x double, y double, c double")
+    got = {(r["x"], r["y"]): r["r"] for r in correlation.correlation_matrix(df, upper=True).collect()}
+    assert got["x", "y"] == pytest.approx(np.corrcoef(x, x + noise)[0, 1]) and got["y", "c"] is None
+    screen = {r["feature"]: r["keep"] for r in correlation.screen_features(df, "y").collect()}
+    assert screen == {"x": True, "c": False}
