@@ -3,8 +3,8 @@
 Links come from an inverted index over byte positions. Two fingerprints of eight
 bytes that differ in at most d bits agree in at least 8 - d byte positions. So the
 index has a posting list for each choice of 8 - d positions and the bytes there;
-a pair meets in one list at least. How often it meets tells how many positions it
-shares; pairs with the guaranteed number are kept and verified bit by bit.
+a pair meets in one list at least. That guaranteed number is one, so counting how
+often a pair meets would filter nothing: every pair that meets is verified bit by bit.
 
 Lists over single positions would hold 1/256 of all fingerprints each, which grows
 with the square of the input; lists over 8 - d positions hold fingerprints that can
@@ -84,8 +84,7 @@ def links(distinct_fps: DataFrame, max_bits: int = 2, long_list: int = LONG_LIST
 
     short = lists.where(F.size("fps") <= long_list)
     pairs = short.select("fps", F.explode("fps").alias("a")).select("a", F.explode("fps").alias("b")).where("a > b")
-    met = pairs.groupBy("a", "b").agg(F.count("*").alias("met"))
-    verified = met.where("met >= 1").where(near("a", "b")).select("a", "b")
+    verified = pairs.distinct().where(near("a", "b"))
 
     flips = [F.col("fp").bitwiseXOR(F.lit(int(np.uint64(1 << i).astype(np.int64)))) for i in range(8 * BYTES)]
     if max_bits == 2:  # what two share is a neighbour
