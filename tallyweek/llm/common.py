@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +86,19 @@ def blocks(data: bytes, size: int = 1 << 22) -> Iterator[bytes]:
         start = stop
 
 
+def slices(batch, text_at: int, size: int) -> Iterator:
+    """A record batch in parts of about `size` bytes of text; a longer text is a part of its own."""
+    lengths = [0 if x is None else x for x in pc.binary_length(batch.column(text_at)).to_pylist()]
+    start = total = 0
+    for i, n in enumerate(lengths):
+        if i > start and total + n > size:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if start < len(lengths):
+        yield batch.slice(start)
+
+
 _HELD: dict = {}
 
 

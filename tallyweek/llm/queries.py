@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import chat, decontaminate, language, licenses, pieces, sharding, simhash, substrings, topk, warc
+from tallyweek.llm import align, chat, decontaminate, language, licenses, pieces, sharding, simhash, substrings, topk, warc
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -138,3 +138,8 @@ SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
   CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM d
 """
+
+
+@query
+def op11_tokenizer_alignment(spark, sf_dir):
+    return align.align(table(spark, sf_dir, "documents"))
