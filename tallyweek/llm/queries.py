@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import align, chat, decontaminate, language, licenses, pieces, sharding, simhash, substrings, topk, warc
+from tallyweek.llm import align, chat, decontaminate, language, lexical, licenses, pieces, sharding, simhash, substrings, topk, warc
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -143,3 +143,24 @@ FROM d
 @query
 def op11_tokenizer_alignment(spark, sf_dir):
     return align.align(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_bitsliced_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_bitsliced_search"] = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x != '') AS t FROM documents),
+tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(len(t)) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, t, unnest(t) AS term FROM doc) GROUP BY r, term),
+corpus AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS len FROM doc WHERE len(t) > 0),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, corpus GROUP BY term),
+item AS (SELECT item_id, unnest(list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x != '')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // corpus.len))))::BIGINT AS score
+  FROM item JOIN weights USING (term) JOIN tf USING (term), corpus GROUP BY item_id, r, doc_id)
+SELECT item_id, row_number() OVER w::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 10
+"""
