@@ -46,7 +46,7 @@ from tallyweek.llm.common import held, slices, small, written
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 LINKS = ("ends", "overlap", "group")
-# Text bytes that are aligned together, and stretches that are encoded in one call.
+# Text bytes that are aligned together, and stretches that are encoded as one text.
 BATCH_BYTES, CALL = 8 << 20, 4096
 # An id pair as one number: the first id times this, plus the second.
 PAIR = 1 << 20
@@ -138,32 +138,42 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in table]) for table in (self.a_bytes, self.b_bytes))
 
-    def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of each stretch, which are given without the space in front."""
-        a, b = [], []
-        for start in range(0, len(stretches), CALL):
-            part = stretches[start : start + CALL]
-            a += [e.ids for e in self.a.encode_batch([" " + s for s in part], add_special_tokens=False)]
-            b += self.b.encode(part, num_threads=1)
-        return a, b
-
-    def aligned(self, stretches: list[str], kind: str) -> dict[str, object]:
-        """Of each stretch: whether its bytes come back, its tokens, groups, linked id pairs and groups as text."""
-        a, b = self.encode(stretches)
-        whole = [(" " + s).encode("utf-8", "surrogatepass") for s in stretches]
-        good = np.array(
-            [b"".join(map(self.a_bytes.__getitem__, x)) == w == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, w in zip(a, b, whole)], bool
-        )
-        a, b = ([x if ok else [] for x, ok in zip(side, good)] for side in (a, b))
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        a_ids, b_ids = (np.array([i for x in side for i in x], np.int64) for side in (a, b))
+    def encode(self, stretches: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
+        """(whether the bytes come back, A ids, A tokens of each, B ids, B tokens of each) of stretches in a row, which are given without the space in front.
+
+        They are encoded as one text; where that does not come back, its halves are.
+        """
+        text = " " + " ".join(stretches)
+        whole, ends = text.encode("utf-8", "surrogatepass"), np.cumsum([len(s.encode("utf-8", "surrogatepass")) + 1 for s in stretches])
+        ids = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64), np.array(self.b.encode(text[1:]), np.int64)
+        tables = (self.a_bytes, self.a_sizes), (self.b_bytes, self.b_sizes)
+        cut = [np.cumsum(sizes[x]) for x, (_, sizes) in zip(ids, tables)]
+        if all(b"".join(map(table.__getitem__, x.tolist())) == whole and np.isin(ends, c).all() for x, (table, _), c in zip(ids, tables, cut)):
+            a, b = (np.diff(np.searchsorted(c, ends, "right"), prepend=0) for c in cut)
+            yield np.ones(len(stretches), bool), ids[0], a, ids[1], b
+        elif len(stretches) == 1:
+            none = np.empty(0, np.int64)
+            yield np.zeros(1, bool), none, np.zeros(1, np.int64), none, np.zeros(1, np.int64)
+        else:
+            half = len(stretches) // 2
+            yield from self.encode(stretches[:half])
+            yield from self.encode(stretches[half:])
+
+    def aligned(self, stretches: list[str], n_plain: int, kind: str) -> dict[str, object]:
+        """Of each stretch: whether its bytes come back, its tokens, groups, linked id pairs and groups as text.
+
+        Another stretch may stand behind the first n_plain ones; the others stand at the ends of texts.
+        """
+        rows_of = [stretches[i : min(n_plain, i + CALL)] for i in range(0, n_plain, CALL)] + [[s] for s in stretches[n_plain:]]
+        encoded = [part for row in rows_of for part in self.encode(row)]
+        good, a_ids, n_a, b_ids, n_b = (np.concatenate([p[c] for p in encoded] or [np.empty(0, np.int64)]) for c in range(5))
         a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
-        of_a, of_b = (np.repeat(np.arange(len(stretches)), n) for n in (n_a, n_b))
+        of_a = np.repeat(np.arange(len(stretches)), n_a)
         ga, gb = groups(a_ends, b_ends)
         n_groups = np.bincount(of_a[np.flatnonzero(np.diff(ga, append=-1))], minlength=len(stretches))
         rows, columns, _ = links(kind, a_ends, b_ends)
         return {
-            "good": good, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "texts": _written_groups(a_ids, b_ids, ga, gb, n_groups),
+            "good": good.astype(bool), "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "texts": _written_groups(a_ids, b_ids, ga, gb, n_groups),
             "pairs": a_ids[rows] * PAIR + b_ids[columns], "n_links": np.bincount(of_a[rows], minlength=len(stretches)),
         }
 
@@ -207,8 +217,11 @@ def _align_texts(of: Aligner, texts: list[str | None], kind: str) -> list[pa.Arr
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     flat = pa.array([s for p in parts for s in p], pa.string()).dictionary_encode()
     del parts
-    codes = flat.indices.to_numpy().astype(np.int64)
-    found = of.aligned(flat.dictionary.to_pylist(), kind)
+    stretches = flat.dictionary.to_pylist()
+    at_end = np.array([not s or s[-1].isspace() or s[-1] == "▁" for s in stretches], bool)
+    order = np.argsort(at_end, kind="stable")
+    codes = np.argsort(order)[flat.indices.to_numpy()]
+    found = of.aligned([stretches[i] for i in order], int(len(order) - at_end.sum()), kind)
     bad = _per_text((~found["good"]).astype(np.int64), codes, offsets) > 0
     # A text that does not come back as a whole has no stretches.
     codes = codes[~np.repeat(bad, np.diff(offsets))]

@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import align, chat, decontaminate, language, lexical, licenses, pieces, sharding, simhash, substrings, topk, warc
+from tallyweek.llm import align, chat, decontaminate, language, lexical, licenses, pieces, sharding, simhash, substrings, topk, toxicity, warc
 from tallyweek.llm.common import content_key, free_shuffles
 
 QUERIES, ORACLES = {}, {}
@@ -145,6 +145,12 @@ def op11_tokenizer_alignment(spark, sf_dir):
     return align.align(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_toxicity_grammar(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op13_bitsliced_search(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
