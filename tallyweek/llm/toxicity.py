@@ -62,8 +62,8 @@ MATCHES = [*INSULT, THREAT]
 TARGETED, NEGATED, REPORTED = 1.5, 0.2, 0.3
 
 # A learned insult: in at least this share of the toxic rows and so many of them, behind so many different
-# words a row, with a log odds whose lower bound (at two standard errors) is this high.
-MIN_SHARE, MIN_ROWS, MIN_BEFORE, MIN_ODDS = 0.005, 5, 0.3, 2.0
+# words a row or so many in all, with a log odds whose lower bound (at two standard errors) is this high.
+MIN_SHARE, MIN_ROWS, MIN_BEFORE, ENOUGH_BEFORE, MIN_ODDS = 0.005, 5, 0.3, 20, 2.0
 # Lengths of stems, which are written with a star.
 STEMS = range(3, 9)
 # Logarithms of evidence are counted in steps of 1 / STEPS.
@@ -270,7 +270,7 @@ def learn_insults(train: DataFrame) -> dict[str, float]:
     # A pattern counts once for each text: copies of a text are one witness.
     seen = each.groupBy("pattern").agg(F.approx_count_distinct("row", 0.02).alias("n_toxic"), F.approx_count_distinct("before", 0.02).alias("n_before"))
     least = max(MIN_ROWS, MIN_SHARE * n[1])
-    common = written(seen.where((F.col("n_toxic") >= least) & (F.col("n_before") >= MIN_BEFORE * F.col("n_toxic"))), "toxic_patterns")
+    common = written(seen.where((F.col("n_toxic") >= least) & (F.col("n_before") >= F.least(MIN_BEFORE * F.col("n_toxic"), F.lit(float(ENOUGH_BEFORE))))), "toxic_patterns")
     # Of clean rows a stem gets those of all its words, at least as many as hold it.
     clean = train.where("toxic = 0").select(F.explode(F.array_distinct(tokens)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     clean = clean.select("n", F.explode(_patterns(F.col("word"))).alias("pattern"))
