@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -9,7 +10,9 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +34,7 @@ GRIDS: dict[str, list[dict[str, int]]] = {
 
 EVAL_FIELDS = (
     "model string, fold int, rmse double, r_squared double, "
-    "num_trees int, max_iter int, max_depth int, select_rmse double"
+    "num_trees int, max_iter int, max_depth int, reg_param double, select_rmse double"
 )
 
 
@@ -67,9 +70,31 @@ def cross_validate(
     parallelism: int = 8,
     name: str | None = None,
     handle_invalid: str = "error",
-    partitions: int = models.PARTITIONS,
+    partitions: int | None = None,
 ) -> CrossValidation:
-    """Cross-validate one kind of model.
+    """Cross-validate one kind of model (M16-M18), see `cross_validate_all`."""
+    name = name or (estimator if isinstance(estimator, str) else estimator.__name__)
+    runs = cross_validate_all(
+        data, label, {name: estimator}, features, k, {name: grid or []}, key, fold_column, select_on, parallelism, handle_invalid, partitions
+    )
+    return runs[name]
+
+
+def cross_validate_all(
+    data: DataFrame,
+    label: str,
+    estimators: Mapping[str, str | Callable[..., Estimator]],
+    features: Sequence[str] | None = None,
+    k: int = 5,
+    grids: Mapping[str, Sequence[Mapping[str, object]]] | None = None,
+    key: Sequence[str] | None = None,
+    fold_column: str | None = None,
+    select_on: str = "train",
+    parallelism: int = 8,
+    handle_invalid: str = "error",
+    partitions: int | None = None,
+) -> dict[str, CrossValidation]:
+    """Cross-validate several kinds of models on the same folds (M16-M20); `estimators` and `grids` go by name.
 
     Folds 1..k come from `fold_column` or the hash of `key` (all columns if not
     given). For each fold every grid point is fitted on the other folds, the
@@ -78,91 +103,176 @@ def cross_validate(
     fits on four fifths of them, takes it on the rest, and fits the chosen point
     again on all. The fold's own rows never take part in the choice.
 
-    The rows are turned into vectors once and cached; `parallelism` fits run side by
-    side. `handle_invalid` as in `models.fit`. Held-out predictions are saved once.
+    The rows are read once, turned into vectors once and cached. All models, folds and grid points
+    wait in one queue, the longest fits first, of which `parallelism` run side by
+    side; a learner never waits for another one to end. `handle_invalid` and `partitions` as in
+    `models.fit`. Held-out predictions are saved once.
     """
     if select_on not in ("train", "inner"):
         raise ValueError("select_on must be 'train' or 'inner'")
     spark = data.sparkSession
-    make = models.ESTIMATORS[estimator] if isinstance(estimator, str) else estimator
-    name = name or (estimator if isinstance(estimator, str) else estimator.__name__)
+    makers = {n: models.ESTIMATORS[e] if isinstance(e, str) else e for n, e in estimators.items()}
     names = list(features) if features is not None else other_columns(data, label, fold_column or "")
     rows = data if fold_column else with_fold(data, k, key)
     fold = fold_column or "fold"
     rows = models.usable_rows(keep_present(rows, label), names, handle_invalid)
     if select_on == "inner":
         rows = rows.withColumn("_inner", hash_bucket(key or names, 5, seed=1))
-    dropped = models.constant_columns(rows, names) if isinstance(make(), LinearRegression) else []
-    to_vector = models.vectorizer(rows, label, [c for c in names if c not in dropped])
-    rows = to_vector.transform(models.by_content(rows, [label, *names], partitions))
-    entries = models.vector_names(rows)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    found = {r[fold]: r["count"] for r in rows.groupBy(fold).count().collect()}
-    if unknown := [i for i in found if i not in range(1, k + 1)]:
-        rows.unpersist()
-        raise ValueError(f"folds must be 1 to {k}, not {unknown[0]}")
-    if empty := [i for i in range(1, k + 1) if i not in found]:
-        rows.unpersist()
-        raise ValueError(f"fold {empty[0]} has no rows")
-    points = [dict(p) for p in grid] if grid else [{}]
-
-    def fit_point(train: DataFrame, point: Mapping[str, object]):
-        built = make(**point)
-        return built.copy({built.labelCol: label}).fit(train.select(label, FEATURES))
-
-    def rmse(model, part: DataFrame) -> float:
-        return regression_metrics(model.transform(part.select(label, FEATURES)), label).first()["rmse"]
-
-    def attempt(job: tuple[int, dict]):
-        """A model, or None where it has to be fitted again, and the RMSE to choose by."""
-        number, point = job
-        train = rows.where(F.col(fold) != number)
-        if len(points) == 1:
-            return fit_point(train, point), None
-        if select_on == "train":
-            model = fit_point(train, point)
-            return model, rmse(model, train)
-        inner = F.col("_inner") == 0
-        return None, rmse(fit_point(train.where(~inner), point), train.where(inner))
-
-    def finish(job: tuple[int, dict, object]):
-        number, point, model = job
-        if model is None:
-            model = fit_point(rows.where(F.col(fold) != number), point)
-        held_out = model.transform(rows.where(F.col(fold) == number))
-        return model, held_out, regression_metrics(held_out, label).first()
-
-    threaded = inheritable_thread_target(spark)
-    numbers = range(1, k + 1)
+    points = {n: [dict(p) for p in (grids or {}).get(n) or [{}]] for n in makers}
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return kept[-1]
+
     try:
+        rows = keep(rows)
+        found = {r[fold]: r["count"] for r in rows.groupBy(fold).count().collect()}
+        if unknown := [i for i in found if i not in range(1, k + 1)]:
+            raise ValueError(f"folds must be 1 to {k}, not {unknown[0]}")
+        if empty := [i for i in range(1, k + 1) if i not in found]:
+            raise ValueError(f"fold {empty[0]} has no rows")
+        partitions = partitions or models.partitions_for(sum(found.values()))
+        vary = {n for n, make in makers.items() if isinstance(make(), LinearRegression)}
+        constant = models.constant_columns(rows, names) if vary else []
+        dropped = {n: constant if n in vary else [] for n in makers}
+        tables: dict[tuple[str, ...], tuple] = {}
+        for out in dropped.values():
+            if tuple(out) not in tables:
+                to_vector = models.vectorizer(rows, label, [c for c in names if c not in out])
+                vectors = to_vector.transform(models.by_content(rows, [label, *names], partitions))
+                tables[tuple(out)] = (to_vector, keep(vectors), models.vector_names(vectors))
+        of = {n: tables[tuple(dropped[n])] for n in makers}
+        for table in tables.values():
+            table[1].count()
+        kept.pop(0).unpersist()  # the vectors hold all columns
+
+        def fit_point(n: str, train: DataFrame, point: Mapping[str, object]):
+            built = makers[n](**point)
+            return built.copy({built.labelCol: label}).fit(train.select(label, FEATURES))
+
+        def rmse(model, part: DataFrame) -> float:
+            return regression_metrics(model.transform(part.select(label, FEATURES)), label).first()["rmse"]
+
+        def attempt(job: tuple[str, int, dict]):
+            """A model, or None where it has to be fitted again, and the RMSE to choose by."""
+            n, number, point = job
+            train = of[n][1].where(F.col(fold) != number)
+            if len(points[n]) == 1:
+                return fit_point(n, train, point), None
+            if select_on == "train":
+                model = fit_point(n, train, point)
+                return model, rmse(model, train)
+            inner = F.col("_inner") == 0
+            return None, rmse(fit_point(n, train.where(~inner), point), train.where(inner))
+
+        def finish(job: tuple[str, int, dict, object]):
+            n, number, point, model = job
+            if model is None:
+                model = fit_point(n, of[n][1].where(F.col(fold) != number), point)
+            held_out = model.transform(of[n][1].where(F.col(fold) == number))
+            return model, held_out, regression_metrics(held_out, label).first()
+
+        threaded = inheritable_thread_target(spark)
+
+        def run(fn, jobs: list[tuple]) -> list:
+            """The results in the order of the jobs, which start with the longest."""
+            order = sorted(range(len(jobs)), key=lambda i: -_effort(jobs[i][2]))
+            done = dict(zip(order, pool.map(threaded(fn), [jobs[i] for i in order], chunksize=1)))
+            return [done[i] for i in range(len(jobs))]
+
         with ThreadPool(max(1, parallelism)) as pool:
-            jobs = [(i, point) for i in numbers for point in points]
-            tried = pool.map(threaded(attempt), jobs, chunksize=1)
+            jobs = [(n, i, point) for n in makers for i in range(1, k + 1) for point in points[n]]
+            tried = dict(zip(((n, i, str(p)) for n, i, p in jobs), run(attempt, jobs)))
             chosen = []
-            for i in numbers:
-                own = tried[(i - 1) * len(points) : i * len(points)]
-                best = choose([e for _, e in own]) if len(points) > 1 else 0
-                chosen.append((i, points[best], *own[best]))
-            finished = pool.map(threaded(finish), [c[:3] for c in chosen], chunksize=1)
-        held_out = [part.drop(FEATURES, f"_{label}", "_inner") for _, part, _ in finished]
-        predictions = saved(stack_rows(*held_out), "predictions")
+            for n in makers:
+                for i in range(1, k + 1):
+                    own = [tried[n, i, str(p)] for p in points[n]]
+                    best = choose([e for _, e in own]) if len(own) > 1 else 0
+                    chosen.append((n, i, points[n][best], *own[best]))
+            finished = run(finish, [c[:4] for c in chosen])
+        out = {}
+        for n in makers:
+            own = [(c, f) for c, f in zip(chosen, finished) if c[0] == n]
+            held_out = [part.drop(FEATURES, f"_{label}", "_inner") for _, (_, part, _) in own]
+            evals = [
+                (
+                    n, i, scores["rmse"], scores["r_squared"],
+                    point.get("num_trees"), point.get("max_iter"), point.get("max_depth"), point.get("reg_param"), select_rmse,
+                )
+                for (_, i, point, _, select_rmse), (_, _, scores) in own
+            ]
+            used = [c for c in names if c not in dropped[n]]
+            out[n] = CrossValidation(
+                model=n,
+                fits=[Fit(PipelineModel([of[n][0], m]), label, of[n][2], dropped[n], used) for _, (m, _, _) in own],
+                params=[c[2] for c, _ in own],
+                predictions=saved(stack_rows(*held_out), "predictions"),
+                evals=local_table(spark, evals, EVAL_FIELDS),
+            )
+        return out
     finally:
-        rows.unpersist()
+        for df in kept:
+            df.unpersist()
+
+
+def _effort(point: Mapping[str, object]) -> float:
+    """How long a fit takes next to others: trees grown one after the other count in full."""
+    return (point.get("max_iter", 0) + 0.1 * point.get("num_trees", 1)) * point.get("max_depth", 1)
+
+
+def native_scores(
+    data: DataFrame, label: str, estimator: str | Callable[..., Estimator], features: Sequence[str] | None = None, k: int = 5,
+    grid: Sequence[Mapping[str, object]] | None = None, key: Sequence[str] | None = None, parallelism: int = 8, partitions: int | None = None,
+) -> DataFrame:
+    """RMSE and R squared of every grid point on every fold (M17) by Spark's own CrossValidator: fold, point, rmse, r_squared.
 
-    evals = [
-        (
-            name, i, scores["rmse"], scores["r_squared"],
-            point.get("num_trees"), point.get("max_iter"), point.get("max_depth"), select_rmse,
+    It takes the folds from a column and keeps the models of all folds. It compares points by their mean
+    over the folds, so there is no choice inside a fold; for that see `cross_validate`. `grid` holds parameters
+    by Spark's names.
+    """
+    names = list(features) if features is not None else other_columns(data, label)
+    rows = with_fold(keep_present(data, label), k, key).persist(StorageLevel.MEMORY_AND_DISK)
+    built = (models.ESTIMATORS[estimator] if isinstance(estimator, str) else estimator)()
+    built = built.copy({built.labelCol: label})
+    try:
+        dropped = models.constant_columns(rows, names) if isinstance(built, LinearRegression) else []
+        to_vector = models.vectorizer(rows, label, [c for c in names if c not in dropped])
+        vectors = to_vector.transform(models.by_content(rows, [label, *names], partitions or models.partitions_for(rows.count())))
+        vectors = vectors.select(label, FEATURES, (F.col("fold") - 1).alias("fold")).persist(StorageLevel.MEMORY_AND_DISK)
+        points = [{built.getParam(n): v for n, v in p.items()} for p in grid or [{}]]
+        judge = RegressionEvaluator(labelCol=label, metricName="rmse")
+        search = CrossValidator(
+            estimator=built, estimatorParamMaps=points, evaluator=judge, numFolds=k, foldCol="fold", parallelism=parallelism, collectSubModels=True
         )
-        for (i, point, _, select_rmse), (_, _, scores) in zip(chosen, finished)
-    ]
-    return CrossValidation(
-        model=name,
-        fits=[Fit(PipelineModel([to_vector, m]), label, entries, dropped, [c for c in names if c not in dropped]) for m, _, _ in finished],
-        params=[c[1] for c in chosen],
-        predictions=predictions,
-        evals=local_table(spark, evals, EVAL_FIELDS),
-    )
+        found = search.fit(vectors)
+        scored = [
+            (i + 1, j, *regression_metrics(model.transform(vectors.where(F.col("fold") == i)), label).first())
+            for i, of_fold in enumerate(found.subModels)
+            for j, model in enumerate(of_fold)
+        ]
+        vectors.unpersist()
+    finally:
+        rows.unpersist()
+    return local_table(data.sparkSession, scored, "fold int, point int, rmse double, r_squared double")
+
+
+def save_run(run: CrossValidation, path: str) -> None:
+    """Keep a cross-validation for later sessions (S6): the model of every fold, predictions and scores."""
+    spark = run.evals.sparkSession
+    for i, fitted in enumerate(run.fits, start=1):
+        models.save_fit(fitted, f"{path}/fold{i}")
+    run.predictions.write.mode("overwrite").parquet(f"{path}/predictions")
+    run.evals.coalesce(1).write.mode("overwrite").parquet(f"{path}/evals")
+    about = json.dumps({"model": run.model, "params": run.params})
+    local_table(spark, [(about,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_run(spark: SparkSession, path: str) -> CrossValidation:
+    """A cross-validation that `save_run` kept."""
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    fits = [models.load_fit(spark, f"{path}/fold{i}") for i in range(1, len(about["params"]) + 1)]
+    return CrossValidation(about["model"], fits, about["params"], spark.read.parquet(f"{path}/predictions"), spark.read.parquet(f"{path}/evals"))
 
 
 def cv_results(runs: Sequence[CrossValidation]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -31,9 +32,9 @@ FEATURES = "features"
 # Fixed value: the seed of the models.
 SEED = 1234
 
-# Training rows are dealt by content to this many partitions, so that the draws of a forest
-# do not depend on how the table came; larger clusters give more.
-PARTITIONS = 8
+# Training rows are dealt by content to partitions of about this many rows, so that the draws of a forest
+# do not depend on how the table came, and tasks are as many as a table of any size needs.
+PARTITION_ROWS = 20_000
 HANDLE_INVALID = ("error", "skip", "keep")
 
 # The display name of each kind of model.
@@ -49,6 +50,11 @@ def linear() -> Estimator:
     return LinearRegression(featuresCol=FEATURES)
 
 
+def ridge(reg_param: float = 0.0) -> Estimator:
+    """Linear regression whose coefficients are held back, solved by normal equations."""
+    return LinearRegression(featuresCol=FEATURES, regParam=reg_param, elasticNetParam=0.0, solver="normal")
+
+
 def _deep(max_memory: int, cache_node_ids: bool, checkpoint_interval: int) -> dict[str, object]:
     return {"maxMemoryInMB": max_memory, "cacheNodeIds": cache_node_ids, "checkpointInterval": checkpoint_interval}
 
@@ -149,14 +155,15 @@ def fit(
     estimator: str | Estimator | Callable[..., Estimator] = "linear",
     features: Sequence[str] | None = None,
     handle_invalid: str = "error",
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
     **params: object,
 ) -> Fit:
     """Fit one model (M4-M7). `target` is the label column or a formula; `estimator` is
     a kind, a constructor (X2) or a built estimator.
 
     A missing feature is an error unless `handle_invalid="skip"` leaves such rows out. Rows are
-    dealt by content to `partitions`, so the fit does not depend on the input's partitioning.
+    dealt by content to `partitions`, or to as many as PARTITION_ROWS asks for, so the fit does not
+    depend on the input's partitioning.
     Constant features are kept out of a linear model, where they would cost it
     its standard errors, and are reported with coefficient 0.
     """
@@ -168,14 +175,22 @@ def fit(
     if "~" in target:
         label, features = formula_columns(train, target)
     names = list(features) if features is not None else other_columns(train, label)
-    train = usable_rows(keep_present(train, label), names, handle_invalid)
-    return _fit_vectors(*_vectors_of(train, label, names, isinstance(estimator, LinearRegression), partitions), label, names, estimator)
+    train = usable_rows(keep_present(train, label), names, handle_invalid).select(label, *names).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_vectors(*_vectors_of(train, label, names, isinstance(estimator, LinearRegression), partitions), label, names, estimator)
+    finally:
+        train.unpersist()
 
 
-def _vectors_of(train: DataFrame, label: str, names: Sequence[str], vary: bool, partitions: int) -> tuple[Transformer, DataFrame, list[str]]:
+def partitions_for(n_rows: int) -> int:
+    return max(1, -(-n_rows // PARTITION_ROWS))
+
+
+def _vectors_of(train: DataFrame, label: str, names: Sequence[str], vary: bool, partitions: int | None) -> tuple[Transformer, DataFrame, list[str]]:
     """The vectorizer, the rows as vectors in an order of their own, and the constant features left out if all must vary."""
     dropped = constant_columns(train, names) if vary else []
     to_vector = vectorizer(train, label, [c for c in names if c not in dropped])
+    partitions = partitions or partitions_for(train.count())
     return to_vector, to_vector.transform(by_content(train, [label, *names], partitions)), dropped
 
 
@@ -195,29 +210,32 @@ def by_content(df: DataFrame, names: Sequence[str], partitions: int) -> DataFram
 
 def fit_all(
     train: DataFrame, label: str, kinds: Sequence[str] = tuple(ESTIMATORS), parallelism: int = 4,
-    handle_invalid: str = "error", partitions: int = PARTITIONS, params: Mapping[str, Mapping[str, object]] | None = None,
+    handle_invalid: str = "error", partitions: int | None = None, params: Mapping[str, Mapping[str, object]] | None = None,
 ) -> dict[str, Fit]:
     """One fit per kind, with default parameters or those in `params`, side by side on one cached table of vectors.
 
     `parallelism` is how many fits may hold a copy of the rows at a time.
     """
     names = other_columns(train, label)
-    train = usable_rows(keep_present(train, label), names, handle_invalid)
+    train = usable_rows(keep_present(train, label), names, handle_invalid).select(label, *names).persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = partitions or partitions_for(train.count())
     # Only a linear model leaves constant features out, and only then it needs vectors of its own.
     plain, varying = (_vectors_of(train, label, names, vary, partitions) for vary in (False, True))
     shared = plain[1].select(label, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = varying[0], varying[1].select(label, FEATURES).persist(StorageLevel.MEMORY_AND_DISK), varying[2]
 
     def one(kind: str) -> Fit:
         made = ESTIMATORS[kind](**(params or {}).get(kind, {}))
         if isinstance(made, LinearRegression) and varying[2]:
-            return _fit_vectors(*varying, label, names, made)
+            return _fit_vectors(*narrow, label, names, made)
         return _fit_vectors(plain[0], shared, [], label, names, made)
 
     try:
         with ThreadPool(max(1, min(parallelism, len(kinds)))) as pool:
             return dict(zip(kinds, pool.map(inheritable_thread_target(train.sparkSession)(one), kinds, chunksize=1)))
     finally:
-        shared.unpersist()
+        for df in (train, shared, narrow[1]):
+            df.unpersist()
 
 
 def score(fitted: Fit, df: DataFrame, handle_invalid: str = "error") -> DataFrame:
@@ -297,6 +315,39 @@ def feature_importance(fitted: Fit, spark: SparkSession) -> DataFrame:
     return local_table(spark, rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def tree_nodes(fitted: Fit, spark: SparkSession) -> DataFrame:
+    """The nodes of a decision tree (M8): the root is 1, the children of n are 2n and 2n + 1, and `feature <= threshold` goes to the first."""
+    lines = [line.strip() for line in fitted.model.toDebugString.splitlines()]
+    rules = [line for line in lines if line.startswith(("If", "Predict"))]  # in preorder
+    rows = []
+
+    def read(node: int) -> None:
+        line = rules.pop(0)
+        if line.startswith("Predict"):
+            rows.append((node, None, None, float(line.split(":")[1])))
+            return
+        number, threshold = re.search(r"feature (\d+) <= (\S+?)\)", line).groups()
+        rows.append((node, fitted.features[int(number)], float(threshold), None))
+        read(2 * node)
+        read(2 * node + 1)
+
+    read(1)
+    return local_table(spark, rows, "node bigint, feature string, threshold double, prediction double")
+
+
+def save_fit(fitted: Fit, path: str) -> None:
+    """Keep a fitted model for later sessions (S6): the pipeline beside what `Fit` knows of its columns."""
+    spark = SparkSession.active()
+    fitted.pipeline.write().overwrite().save(f"{path}/pipeline")
+    about = {"label": fitted.label, "features": fitted.features, "dropped": fitted.dropped, "columns": fitted.columns}
+    local_table(spark, [(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_fit(spark: SparkSession, path: str) -> Fit:
+    """A model that `save_fit` kept."""
+    return Fit(PipelineModel.load(f"{path}/pipeline"), **json.loads(spark.read.text(f"{path}/about").first()["value"]))
+
+
 def compare_importance(fits: Mapping[str, Fit], spark: SparkSession) -> DataFrame:
     """Importances of several tree models, features ordered by their mean."""
     parts = [

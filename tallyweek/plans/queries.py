@@ -550,7 +550,7 @@ def corr_missing(spark, sf_dir):
 @query
 def corr_fpc_order(spark, sf_dir):
     """A28."""
-    return correlation.first_component_order(panel(spark, sf_dir))
+    return rounded(correlation.first_component_order(panel(spark, sf_dir)), 5, "loading")
 
 
 @query
@@ -834,23 +834,23 @@ def _cv_linear(spark, sf_dir):
     return _cross_validate(spark, sf_dir, "linear")
 
 
-@once
-def _cv_forest(spark, sf_dir):
-    return _cross_validate(spark, sf_dir, "forest")
-
-
-@once
-def _cv_gbt(spark, sf_dir):
-    return _cross_validate(spark, sf_dir, "gbt")
+def _trees(spark, sf_dir, *kinds: str) -> list[crossval.CrossValidation]:
+    """The asked tree learners, those not run yet in one queue on one table of vectors."""
+    done = _cv_done(spark, sf_dir)
+    if missing := [k for k in kinds if k not in done]:
+        train = model_parts(spark, sf_dir, keep_key=True)["train"]
+        features = columns.other_columns(train, "weekly_sales", "week_date")
+        done |= crossval.cross_validate_all(train, "weekly_sales", {k: k for k in missing}, features, k=5, grids=crossval.GRIDS, key=KEY)
+    return [done[k] for k in kinds]
 
 
 @once
-def _cv_tree(spark, sf_dir):
-    return _cross_validate(spark, sf_dir, "tree")
+def _cv_done(spark, sf_dir) -> dict[str, crossval.CrossValidation]:
+    return {}
 
 
 def _runs(spark, sf_dir):
-    return [run(spark, sf_dir) for run in (_cv_forest, _cv_gbt, _cv_tree)]
+    return _trees(spark, sf_dir, "forest", "gbt", "tree")
 
 
 @query
@@ -879,19 +879,19 @@ def cv_predictions(spark, sf_dir):
 @query
 def cv_forest(spark, sf_dir):
     """M20."""
-    return _cv_forest(spark, sf_dir).evals
+    return _trees(spark, sf_dir, "forest")[0].evals
 
 
 @query
 def cv_gbt(spark, sf_dir):
     """M20."""
-    return _cv_gbt(spark, sf_dir).evals
+    return _trees(spark, sf_dir, "gbt")[0].evals
 
 
 @query
 def cv_tree(spark, sf_dir):
     """M20."""
-    return _cv_tree(spark, sf_dir).evals
+    return _trees(spark, sf_dir, "tree")[0].evals
 
 
 @query
