@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from tallyweek.plans.oracles import BODIES as ORIGINALS
 from tallyweek.plans.oracles import BASE, FOLD_ROWS, NUMERIC, YEAR_ROWS, errors, linear
 
-SMALL = ["is_holiday", "dept", "store_size", "type_numeric"]
+SMALL = ["is_holiday", "dept", "store_size"]
 INNER = "CAST(('0x' || substr(md5(concat_ws('|', '1', store, dept, week_date)), 1, 8)) AS BIGINT) % 5 = 0"
 
 
