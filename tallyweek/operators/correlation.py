@@ -137,7 +137,8 @@ def first_component_order(df: DataFrame, columns: Sequence[str] | None = None) -
     component = PCA(k=1, inputCol="_z", outputCol="_p").fit(scaler.transform(rows)).pc.toArray()[:, 0]
     if component[abs(component).argmax()] < 0:
         component = -component
-    loads = sorted(zip(varying, map(float, component)), key=lambda t: (t[1], t[0]))
+    # Columns that go together in full have equal loadings but for rounding; they go by name.
+    loads = sorted(zip(varying, map(float, component)), key=lambda t: (round(t[1], 9), t[0]))
     table = [(i, c, v) for i, (c, v) in enumerate(loads, start=1)]
     return local_table(df.sparkSession, table, "position int, column string, loading double")
 

@@ -174,7 +174,7 @@ power AS (
     SELECT k, list_transform(r, lambda a: list_dot_product(a, v)) AS w FROM power, m WHERE k < 3000)),
 last AS (SELECT v, list_reduce(v, lambda a, b: CASE WHEN abs(b) > abs(a) THEN b ELSE a END) AS top FROM power WHERE k = 3000),
 loads AS (SELECT unnest([{names}]) AS "column", unnest(v) * sign(top) AS loading FROM last)
-SELECT CAST(row_number() OVER (ORDER BY loading, "column") AS INTEGER) AS position, "column", round(loading, 5) AS loading FROM loads"""
+SELECT CAST(row_number() OVER (ORDER BY round(loading, 9), "column") AS INTEGER) AS position, "column", round(loading, 5) AS loading FROM loads"""
 
 
 def _bags() -> str:
