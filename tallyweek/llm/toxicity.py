@@ -64,6 +64,8 @@ TARGETED, NEGATED, REPORTED = 1.5, 0.2, 0.3
 # A learned insult: in at least this share of the toxic rows and so many of them, behind so many different
 # words a row or so many in all, with a log odds whose lower bound (at two standard errors) is this high.
 MIN_SHARE, MIN_ROWS, MIN_BEFORE, ENOUGH_BEFORE, MIN_ODDS = 0.005, 5, 0.3, 20, 2.0
+# A table of at most this many labels (12 bytes each) is broadcast to the texts; beyond, both are shuffled.
+LABEL_ROWS = 2_000_000
 # Lengths of stems, which are written with a star.
 STEMS = range(3, 9)
 # Logarithms of evidence are counted in steps of 1 / STEPS.
@@ -244,7 +246,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """(text, toxic) of labelled rows that are not held out."""
     marks = labels.select(F.col(label_id).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).where("toxic IN (0, 1)")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return texts.where(~held_out(F.col("id"))).join(marks.where(~held_out(F.col("id"))), "id").select("text", "toxic")
+    kept = written(marks.where(~held_out(F.col("id"))), "toxic_labels")
+    return texts.where(~held_out(F.col("id"))).join(small(kept, LABEL_ROWS), "id").select("text", "toxic")
 
 
 def _words(text: Column) -> Column:
@@ -263,22 +266,22 @@ def learn_insults(train: DataFrame) -> dict[str, float]:
     if not n.get(0) or not n.get(1):
         return {}
     tokens = _words(F.col("text"))
-    toxic = train.where("toxic = 1").select(tokens.alias("w"), F.xxhash64("text").alias("row"))
-    pairs = F.arrays_zip(F.col("w").alias("word"), F.concat(F.array(F.lit("")), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))).alias("before"))
-    each = toxic.where("size(w) > 0").select("row", F.inline(pairs)).distinct()
-    each = each.select("row", "before", F.explode(_patterns(F.col("word"))).alias("pattern"))
+    distinct_patterns = F.array_distinct(F.flatten(F.transform(F.array_distinct(tokens), _patterns)))
     # A pattern counts once for each text: copies of a text are one witness.
-    seen = each.groupBy("pattern").agg(F.approx_count_distinct("row", 0.02).alias("n_toxic"), F.approx_count_distinct("before", 0.02).alias("n_before"))
+    toxic = written(train.where("toxic = 1").groupBy(F.xxhash64("text")).agg(F.first("text").alias("text")).select("text"), "toxic_texts")
     least = max(MIN_ROWS, MIN_SHARE * n[1])
-    common = written(seen.where((F.col("n_toxic") >= least) & (F.col("n_before") >= F.least(MIN_BEFORE * F.col("n_toxic"), F.lit(float(ENOUGH_BEFORE))))), "toxic_patterns")
-    # Of clean rows a stem gets those of all its words, at least as many as hold it.
-    clean = train.where("toxic = 0").select(F.explode(F.array_distinct(tokens)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    clean = clean.select("n", F.explode(_patterns(F.col("word"))).alias("pattern"))
-    held_by = clean.join(small(common.select("pattern")), "pattern").groupBy("pattern").agg(F.sum("n").alias("n_clean"))
-    rows = common.join(held_by, "pattern", "left").select("pattern", F.least("n_toxic", F.lit(n[1])).alias("a"), F.coalesce("n_clean", F.lit(0)).alias("c"))
+    seen = toxic.select(F.explode(distinct_patterns).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("a"))
+    common = written(seen.where(F.col("a") >= least), "toxic_patterns")
+    clean = train.where("toxic = 0").select(F.explode(distinct_patterns).alias("pattern")).join(small(common.select("pattern")), "pattern")
+    rows = common.join(clean.groupBy("pattern").agg(F.count("*").alias("c")), "pattern", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     odds = F.log((F.col("a") + 0.5) / (n[1] + 1)) - F.log((F.col("c") + 0.5) / (n[0] + 1))
     bound = odds - 2 * F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("c") + 0.5))
-    found = rows.select("pattern", odds.alias("odds"), bound.alias("bound")).where(F.col("bound") >= MIN_ODDS)
+    marks = written(rows.select("pattern", "a", odds.alias("odds"), bound.alias("bound")).where(F.col("bound") >= MIN_ODDS), "toxic_marks")
+    pairs = F.arrays_zip(F.col("w").alias("word"), F.concat(F.array(F.lit("")), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))).alias("before"))
+    each = toxic.select(tokens.alias("w")).where("size(w) > 0").select(F.explode(F.array_distinct(pairs)).alias("p"))
+    each = each.select("p.before", F.explode(_patterns(F.col("p.word"))).alias("pattern")).join(small(marks.select("pattern")), "pattern")
+    varied = each.distinct().groupBy("pattern").agg(F.count("*").alias("n_before"))
+    found = marks.join(varied, "pattern").where(F.col("n_before") >= F.least(MIN_BEFORE * F.col("a"), F.lit(float(ENOUGH_BEFORE))))
     learned = {r["pattern"]: r["odds"] for r in found.collect()}  # no more than rows are long, over MIN_SHARE
     return {w: v for w, v in learned.items() if not any(learned.get(w[:k] + "*", -1) >= v for k in STEMS if k < len(w.rstrip("*")))}
 
