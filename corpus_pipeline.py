@@ -6,8 +6,8 @@ and read again as the next one's input.
 
 1. language ID: texts without a letter, or null, go.
 2. SimHash near-dedup: of each group of near copies the one with the smallest doc_id stays.
-3. suffix-array dedup: strings of 400 bytes that occur more than once are cut out of the
-   texts, and n_chars follows.
+3. suffix-array dedup: strings of CUT_BYTES bytes that occur more than once are cut out of the
+   texts, and n_chars follows. A passage of over 50 words is longer than that, even where its words are short.
 4. benchmark decontamination: documents that contain a benchmark passage go, whatever its item_id.
 5. SentencePiece: ids of each text, and whether they decode to it.
 
@@ -26,6 +26,8 @@ from tallyweek.llm.queries import table
 
 # The executors still hold the heap of the shuffling stages; smaller tables leave the piece workers room beside it.
 KEPT_STRETCHES = 30_000
+# Repeated strings of this many bytes go: 50 words of 4.8 bytes, spaces counted.
+CUT_BYTES = 240
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substrings.without_repeats(docs)
+    cut = substrings.without_repeats(docs, length=CUT_BYTES)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
