@@ -27,7 +27,7 @@ def test_stages_follow_their_operators(spark, small):
 
     docs = stages["suffix_array_dedup"](spark, docs, small)
     got = {r.doc_id: r for r in docs.collect()}
-    for i, (n, cut, _, _) in zip(sorted(after), brute([after[i].encode() for i in sorted(after)], 400)):
+    for i, (n, cut, _, _) in zip(sorted(after), brute([after[i].encode() for i in sorted(after)], corpus_pipeline.CUT_BYTES)):
         assert n - cut - 6 <= len(got[i].text.encode()) <= n - cut and got[i].n_chars == len(got[i].text)
     assert set(got) == set(after) and docs.columns == columns
 
