@@ -1,5 +1,7 @@
 """The stages of the corpus pipeline, each on its own input."""
 
+import random
+
 import corpus_pipeline
 from tallyweek.llm import simhash
 
@@ -59,3 +61,16 @@ def test_benchmark_passages_without_ids_of_their_own(spark, tmp_path):
     docs = [(i, f"before it {t} after it") for i, t in passages.items()] + [(10, " ".join(f"e{k}" for k in range(20))), (11, None)]
     got = corpus_pipeline.drop_benchmark_leaks(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path))
     assert sorted(r.doc_id for r in got.collect()) == [10, 11]
+
+
+def test_planted_passages_go_and_clean_documents_stay(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("aeinorstlu", k=r.choice((2, 3, 4, 5, 6, 7, 8))))
+    passages = [" ".join(word() for _ in range(51 + i)) for i in range(6)]
+    texts = [" ".join(word() for _ in range(60)) for _ in range(60)]
+    planted = [f"{t} {passages[i % 6]} {word()}" for i, t in enumerate(texts[:24])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(planted + texts[24:])], "doc_id long, text string")
+    got = {row.doc_id: row.text for row in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    assert not any(p[len(p) // 2 :][:40] in got[i] for i in range(24) for p in passages)
+    # What stands beside a passage goes with it where it happens to be alike.
+    assert all(got[i].startswith(texts[i][:-9]) for i in range(24)) and all(got[i] == texts[i] for i in range(24, 60))
