@@ -58,6 +58,14 @@ def content_key(*columns: Column | str) -> Column:
     return F.xxhash64(*columns)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is; null as empty text."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import content_key, small, word_grams, words, written
+from tallyweek.llm.common import content_key, free_name, small, word_grams, words, written
 
 WIDTH, SHARE = 5, 0.8
 
@@ -76,5 +76,6 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", d
 
 def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", **options) -> DataFrame:
     """The rows of `docs` that contain no item."""
-    bad = written(contained_items(docs, items, doc_id, doc_text, **options).select(F.col("doc_key").alias("_doc_key")).distinct(), "contaminated")
-    return docs.withColumn("_doc_key", content_key(doc_id, doc_text)).join(small(bad), "_doc_key", "left_anti").drop("_doc_key")
+    key = free_name(docs, "_doc_key")
+    bad = written(contained_items(docs, items, doc_id, doc_text, **options).select(F.col("doc_key").alias(key)).distinct(), "contaminated")
+    return docs.withColumn(key, content_key(doc_id, doc_text)).join(small(bad), key, "left_anti").select(docs.columns)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import content_key, held, small, written
+from tallyweek.llm.common import content_key, free_name, held, small, written
 
 SAMPLE_ROWS, SAMPLE_CHARS, DISTINCT_CHARS = 300, 5_000, 40_000
 UNKNOWN = "und"
@@ -175,6 +175,7 @@ def predict(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of `docs` whose text has a letter; others, and null texts, are in no language and go."""
     texts = learn(docs, id_col, text_col, lang_col)
-    rejected = predict(docs, texts, id_col, text_col).where("NOT has_letters").select(F.col("row_key").alias("_row_key")).distinct()
+    key = free_name(docs, "_row_key")
+    rejected = predict(docs, texts, id_col, text_col).where("NOT has_letters").select(F.col("row_key").alias(key)).distinct()
     rejected = small(written(rejected, "rejected"))
-    return docs.withColumn("_row_key", content_key(id_col, text_col)).join(rejected, "_row_key", "left_anti").drop("_row_key")
+    return docs.withColumn(key, content_key(id_col, text_col)).join(rejected, key, "left_anti").select(docs.columns)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import blocks, components, content_key, held, written
+from tallyweek.llm.common import blocks, components, content_key, free_name, held, written
 
 BYTES = 8
 # Beyond this length a posting list is linked by shared neighbours.
@@ -122,9 +122,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     found = near_duplicates(docs, id_col, text_col, width, max_bits)
     first = F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("first")
     keep = written(found.groupBy("root").agg(first).select("first.row_key"), "kept")
-    kept = docs.withColumn("_row_key", content_key(id_col, text_col)).join(keep.select(F.col("row_key").alias("_row_key")), "_row_key", "left_semi")
+    key = free_name(docs, "_row_key")
+    kept = docs.withColumn(key, content_key(id_col, text_col)).join(keep.select(F.col("row_key").alias(key)), key, "left_semi")
     # Rows repeated with id and text alike share a key; of those one stays.
-    return kept.dropDuplicates(["_row_key"]).drop("_row_key") if _repeats(found) else kept.drop("_row_key")
+    return (kept.dropDuplicates([key]) if _repeats(found) else kept).select(docs.columns)
 
 
 def _repeats(found: DataFrame) -> bool:

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import content_key, discard, held, written
+from tallyweek.llm.common import content_key, discard, free_name, held, written
 
 LENGTH = 400
 WIDTH = 8
@@ -271,14 +271,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A character of which a cut leaves only some bytes is dropped; null stays null.
     """
-    found = repeats(docs, id_col, text_col, length).select(F.col("doc_key").alias("_doc_key"), F.col("starts").alias("_starts"))
+    key, cuts = free_name(docs, "_doc_key"), free_name(docs, "_starts")
+    found = repeats(docs, id_col, text_col, length).select(F.col("doc_key").alias(key), F.col("starts").alias(cuts))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, starts: pd.Series) -> pd.Series:
         return pd.Series([_cut(t, s.tolist(), length) for t, s in zip(text, starts)])
 
-    joined = docs.withColumn("_doc_key", content_key(id_col, text_col)).join(found, "_doc_key", "left")
-    text = F.when(F.col("_starts").isNull(), F.col(text_col)).otherwise(cut(F.coalesce(text_col, F.lit("")), F.coalesce("_starts", F.array().cast("array<int>"))))
+    joined = docs.withColumn(key, content_key(id_col, text_col)).join(found, key, "left")
+    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(cut(F.coalesce(text_col, F.lit("")), F.coalesce(cuts, F.array().cast("array<int>"))))
     return joined.withColumn(text_col, text).select(docs.columns)
 
 

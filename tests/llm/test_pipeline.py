@@ -74,3 +74,12 @@ def test_planted_passages_go_and_clean_documents_stay(spark):
     assert not any(p[len(p) // 2 :][:40] in got[i] for i in range(24) for p in passages)
     # What stands beside a passage goes with it where it happens to be alike.
     assert all(got[i].startswith(texts[i][:-9]) for i in range(24)) and all(got[i] == texts[i] for i in range(24, 60))
+
+
+def test_columns_named_like_helpers_stay(spark, small):
+    rows = [(i, f"words of text number {i} and {i * 7} stand here for {i * i}", "en", 7, 8, 9) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _row_key int, _Doc_Key int, _starts int")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = simhash.written(stage(spark, docs, small), "named")
+        assert docs.columns == ["doc_id", "text", "lang", "_row_key", "_Doc_Key", "_starts"]
+    assert all(tuple(r)[3:] == (7, 8, 9) for r in docs.collect()) and docs.count() == 6
