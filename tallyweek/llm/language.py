@@ -1,30 +1,31 @@
 """Language identification by cross-parsing against suffix automata.
 
-For each language a suffix automaton holds labelled text. A word is parsed against
-it into the longest pieces that occur in the text; the fewer pieces, the nearer the
-language. A text's pieces are summed over its words, each count weighted
-with the logarithm of the automaton's text length, which is the usual estimate of
-cross entropy; the language with the smallest sum wins, on ties the smaller name.
-
-Phrases end at the ends of words, so a word has the same counts wherever it stands
-and counts are kept in a table of bounded size per Python worker.
-
-Only the fit reads a sample: about SAMPLE_ROWS distinct rows of each language, chosen
-by a hash of id and text, SAMPLE_CHARS characters of each at most, DISTINCT_CHARS of distinct
-words at most per language. It goes through the driver; its size is (number of
-languages) * DISTINCT_CHARS. Prediction reads whole texts of all rows.
-
-Cases: null or letterless texts are `und` with score 0, and so is every text when
-nothing was learned; keep_known goes by letters alone, whatever was learned or is
-labelled `und`; rows without label are not learned from; repeated rows are drawn as
-one; empty tables need no care; other columns are not read.
+For each language a suffix automaton holds labelled text. A text is parsed against
+it into the longest pieces that occur there, across the ends of words; the fewer pieces,
+the nearer the language. The number of pieces is weighted with the logarithm of the
+automaton's text length, which is the usual estimate of cross entropy; the language
+with the smallest product wins, on ties the smaller name. Texts are read as their words
+(runs of letters) in lower case with a space between.
+
+Only the fit reads a sample: the texts of all labelled rows are cut into passages of
+PASSAGE_CHARS characters, of which a hash of id, text and place draws about PASSAGES of each
+language, wherever in a text they stand. They go through the driver, at most
+LANGUAGES * PASSAGES * PASSAGE_CHARS characters or so; more languages are refused. Prediction
+reads whole texts of all rows.
+
+Cases: null or letterless texts (no character of the Unicode categories L) are `und` with
+score 0, and so is every text when nothing was learned; keep_known rejects by letters and,
+where languages are asked for, by what was learned; rows without label are not learned
+from; repeated rows are drawn as one; empty tables need no care; other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Iterator, Sequence
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,13 +33,15 @@ from pyspark.sql import functions as F
 
 from tallyweek.llm.common import content_key, free_name, held, small, written
 
-SAMPLE_ROWS, SAMPLE_CHARS, DISTINCT_CHARS = 300, 5_000, 40_000
+PASSAGES, PASSAGE_CHARS, LANGUAGES = 60, 800, 64
 UNKNOWN = "und"
-# Words whose counts a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 150_000
-_WORD = re.compile(r"[^\W\d_]+")
-# Counts of all languages are added as one integer, so many bits for each.
-_LANE = 48
+
+
+@cache
+def _not_letters() -> re.Pattern:
+    """Runs of what is no letter; `\\w` has numerals of all kinds besides letters."""
+    numerals = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+    return re.compile(rf"[\W_{numerals}]+")
 
 
 def held_out(id_col: Column) -> Column:
@@ -46,111 +49,102 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")), F.lit(0)) % 4 == 2
 
 
-def letters(text: str | None) -> list[str]:
-    """The words of a text: runs of letters, in lower case."""
-    return _WORD.findall(text.lower()) if text else []
-
-
-def has_letters(text: str | None) -> bool:
-    return bool(text) and _WORD.search(text) is not None
+def letters(text: str | None) -> str:
+    """The words of a text, runs of letters in lower case, with one space between; empty without a letter."""
+    return _not_letters().sub(" ", text.lower()).strip() if text else ""
 
 
 class Automaton:
-    """A suffix automaton: the states tell which strings occur in the text."""
+    """A suffix automaton: from the root, states (letter to next state) lead along the strings that occur in the text."""
 
     def __init__(self, text: str):
-        self.next: list[dict[str, int]] = [{}]
         self.size = len(text)
         link, length, last = [-1], [0], 0
+        steps: list[dict] = [{}]
         for c in text:
-            here = len(self.next)
-            self.next.append({})
+            here = len(steps)
+            steps.append({})
             link.append(0)
             length.append(length[last] + 1)
             p = last
-            while p >= 0 and c not in self.next[p]:
-                self.next[p][c] = here
+            while p >= 0 and c not in steps[p]:
+                steps[p][c] = here
                 p = link[p]
             if p >= 0:
-                q = self.next[p][c]
+                q = steps[p][c]
                 if length[p] + 1 == length[q]:
                     link[here] = q
                 else:
-                    clone = len(self.next)
-                    self.next.append(dict(self.next[q]))
+                    clone = len(steps)
+                    steps.append(dict(steps[q]))
                     link.append(link[q])
                     length.append(length[p] + 1)
-                    while p >= 0 and self.next[p].get(c) == q:
-                        self.next[p][c] = clone
+                    while p >= 0 and steps[p].get(c) == q:
+                        steps[p][c] = clone
                         p = link[p]
                     link[q] = link[here] = clone
             last = here
-
-    def phrases(self, word: str) -> int:
-        """Number of longest matches, one after the other, that make up the word."""
-        state, n = 0, 0
-        for c in word:
-            following = self.next[state].get(c)
-            if following is None:
-                n += state > 0
-                following = self.next[0].get(c)
-                if following is None:
-                    n, following = n + 1, 0
-            state = following
-        return n + (state > 0)
+        # States point at each other, which saves a look-up for each letter parsed.
+        for state in steps:
+            for c, following in state.items():
+                state[c] = steps[following]
+        self.root = steps[0]
+
+    def phrases(self, text: str) -> int:
+        """Number of longest matches, one after the other, that make up the text."""
+        root = state = self.root
+        n = 0
+        for c in text:
+            if c in state:
+                state = state[c]
+            else:
+                n += state is not root
+                if c in root:
+                    state = root[c]
+                else:
+                    n, state = n + 1, root
+        return n + (state is not root)
 
 
-class Parser(dict):
-    """Word to its packed counts, one lane for each language."""
+class Parser:
+    """Automata of all languages."""
 
     def __init__(self, texts: dict[str, str]):
         self.names = sorted(texts)
         self.automata = [Automaton(texts[name]) for name in self.names]
         self.weights = [math.log2(a.size + 2) for a in self.automata]
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        framed = f" {word} "
-        found = sum(a.phrases(framed) << _LANE * i for i, a in enumerate(self.automata))
-        if len(word) <= 64:
-            self[word] = found
-        return found
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        tokens = letters(text)
-        if not tokens or not self.names:
+    def predict(self, words: str) -> tuple[str, float]:
+        """Language and score of a text as `letters` gives it."""
+        if not words or not self.names:
             return UNKNOWN, 0.0
-        total = sum(map(self.__getitem__, tokens))
-        costs = [(total >> _LANE * i & (1 << _LANE) - 1) * w for i, w in enumerate(self.weights)]
+        framed = f" {words} "
+        costs = [a.phrases(framed) * w for a, w in zip(self.automata, self.weights)]
         order = sorted(range(len(costs)), key=lambda i: (costs[i], self.names[i]))
         best = costs[order[0]]
         return self.names[order[0]], 1 - best / costs[order[1]] if len(order) > 1 else 1.0
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, distinct_chars: int = DISTINCT_CHARS) -> dict[str, str]:
-    """Language to sample text: its distinct words, most frequent first, each between spaces."""
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
-    read = labelled.select(F.col(lang_col).alias("lang"), content_key(F.lit("sample"), id_col, text_col).alias("key"), F.substring(text_col, 1, chars).alias("text"))
-    sizes = written(read.select("lang", "key").distinct().groupBy("lang").agg(F.count("*").alias("n")), "language_sizes")
-    draw = F.pmod("key", F.lit(1 << 32)) / float(1 << 32)
-    chosen = read.join(small(sizes), "lang").where(draw * F.col("n") < rows).dropDuplicates(["lang", "key"]).select("lang", "text")
-    counts: dict[str, dict[str, int]] = {}
-    for lang, text in chosen.toLocalIterator():
-        of = counts.setdefault(lang, {})
-        for word in letters(text):
-            of[word] = of.get(word, 0) + 1
-    out = {}
-    for lang, of in counts.items():
-        picked, size = [], 0
-        for word in sorted(of, key=lambda w: (-of[w], w)):
-            if size + len(word) + 1 > distinct_chars:
-                break
-            picked.append(word)
-            size += len(word) + 1
-        if picked:
-            out[lang] = f" {' '.join(picked)} "
-    return out
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", passages: int = PASSAGES, chars: int = PASSAGE_CHARS, languages: int = LANGUAGES) -> dict[str, str]:
+    """Language to its drawn passages, read as running text."""
+    labelled = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0) & ~held_out(F.col(id_col)))
+    n_parts = F.ceil(F.length(text_col) / F.lit(chars)).cast("long").alias("n_parts")
+    read = labelled.select(F.col(lang_col).alias("lang"), content_key(F.lit("sample"), id_col, text_col).alias("key"), n_parts, F.col(text_col).alias("text"))
+    sizes = written(read.select("lang", "key", "n_parts").distinct().groupBy("lang").agg(F.sum("n_parts").alias("n")), "language_sizes")
+    if (n := sizes.count()) > languages:
+        raise ValueError(f"{n} languages, more than {languages}")
+
+    def drawn(part: Column) -> Column:
+        return F.pmod(F.xxhash64("key", part), F.lit(1 << 32)) / float(1 << 32) * F.col("n") < passages
+
+    picked = read.join(small(sizes), "lang").withColumn("parts", F.filter(F.sequence(F.lit(0).cast("long"), F.col("n_parts") - 1), drawn)).where(F.size("parts") > 0)
+    passage = F.transform("parts", lambda i: F.substr("text", (i * chars + 1).cast("int"), F.lit(chars)))
+    chosen = picked.dropDuplicates(["lang", "key"]).select("lang", "key", F.posexplode(passage).alias("part", "passage"))
+    texts: dict[str, list[str]] = {}
+    for lang, _, _, passage in sorted(map(tuple, chosen.toLocalIterator())):
+        texts.setdefault(lang, []).append(passage)
+    running = {lang: letters(" ".join(of)) for lang, of in texts.items()}
+    return {lang: f" {words} " for lang, words in running.items() if words}
 
 
 def predict(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,10 +155,9 @@ def predict(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text
         texts = shared.value
         of = held(("language", tuple(sorted(texts.items()))), lambda: Parser(texts))
         for b in batches:
-            found = [of.predict(t.as_py()) for t in b.column(2)]
-            lettered = [has_letters(t.as_py()) for t in b.column(2)]
+            found = [(*of.predict(words), bool(words)) for words in (letters(t.as_py()) for t in b.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(lettered, pa.bool_())],
+                [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
                 ["id", "row_key", "lang_pred", "score", "has_letters"],
             )
 
@@ -172,10 +165,18 @@ def predict(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text
     return read.mapInArrow(run, "id long, row_key long, lang_pred string, score double, has_letters boolean")
 
 
-def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of `docs` whose text has a letter; others, and null texts, are in no language and go."""
-    texts = learn(docs, id_col, text_col, lang_col)
-    key = free_name(docs, "_row_key")
-    rejected = predict(docs, texts, id_col, text_col).where("NOT has_letters").select(F.col("row_key").alias(key)).distinct()
-    rejected = small(written(rejected, "rejected"))
-    return docs.withColumn(key, content_key(id_col, text_col)).join(rejected, key, "left_anti").select(docs.columns)
+def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: Sequence[str] | None = None) -> DataFrame:
+    """The rows of `docs` in a known language; a null label becomes the predicted language.
+
+    Texts without a letter go, and those predicted in another language than `languages`, if
+    given. Where nothing was learned, texts with letters stay as they are.
+    """
+    key, guess = free_name(docs, "_row_key"), free_name(docs, "_lang_pred")
+    found = predict(docs, learn(docs, id_col, text_col, lang_col), id_col, text_col)
+    found = written(found.select(F.col("row_key").alias(key), F.nullif("lang_pred", F.lit(UNKNOWN)).alias(guess), "has_letters"), "languages")
+    foreign = F.lit(False) if languages is None else F.coalesce(~F.col(guess).isin(*languages), F.lit(False))
+    rejected = small(written(found.where(~F.col("has_letters") | foreign).select(key).distinct(), "rejected"))
+    kept = docs.withColumn(key, content_key(id_col, text_col)).join(rejected, key, "left_anti")
+    named, unnamed = kept.where(F.col(lang_col).isNotNull()), kept.where(F.col(lang_col).isNull())
+    filled = unnamed.join(found.select(key, guess).distinct(), key, "left").withColumn(lang_col, F.col(guess))
+    return named.select(docs.columns).union(filled.select(docs.columns))
