@@ -1,16 +1,17 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked within a bit distance.
 
 Links come from an inverted index over byte positions. Two fingerprints of eight
-bytes that differ in at most d bits agree in at least 8 - d byte positions. So the
-index has a posting list for each choice of 8 - d positions and the bytes there;
-a pair meets in one list at least. That guaranteed number is one, so counting how
-often a pair meets would filter nothing: every pair that meets is verified bit by bit.
+bytes that differ in at most d bits agree in at least 8 - d byte positions. The index has
+a posting list for each choice of POSITIONS of them and the bytes there. How often
+a pair meets is tallied; a near pair meets in C(8 - d, POSITIONS) lists at least (15 for
+two bits and four positions), so pairs with fewer meetings are dropped and the others are verified bit by bit.
 
 Lists over single positions would hold 1/256 of all fingerprints each, which grows
-with the square of the input; lists over 8 - d positions hold fingerprints that can
-differ in d given bytes only. A list that is still long (a ball of near copies) is
-linked in linear work instead of by pairs: fingerprints at most two bits apart are
-those that share a neighbour at most one bit away.
+with the square of the input. A list that is long all the same (a ball of near copies, or
+bytes that many texts have) is never gathered: its members are
+linked in linear work instead of by pairs, as fingerprints at most two bits apart are
+those that share a neighbour at most one bit away. A pair that shares no such list
+has all its meetings in short ones, so its tally is whole.
 
 Cases: null or wordless texts have fingerprint zero, linked like any other; fewer
 words than the width make one shingle; repeated rows and equal texts share a
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.common import blocks, components, content_key, free_name, held, written
+from tallyweek.llm.common import blocks, components, content_key, free_name, held, small, written
 
-BYTES = 8
+BYTES, POSITIONS = 8, 4
 # Beyond this length a posting list is linked by shared neighbours.
 LONG_LIST = 64
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -70,28 +72,32 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return read.mapInArrow(run, "id long, row_key long, fp long")
 
 
-def links(distinct_fps: DataFrame, max_bits: int = 2, long_list: int = LONG_LIST) -> DataFrame:
+def met_pairs(short: DataFrame, max_bits: int, positions: int = POSITIONS) -> DataFrame:
+    """(a, b), a > b, that meet in as many of the gathered lists as near pairs are bound to."""
+    pairs = short.select("fps", F.explode("fps").alias("a")).select("a", F.explode("fps").alias("b")).where("a > b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("met")).where(F.col("met") >= comb(BYTES - max_bits, positions)).select("a", "b")
+
+
+def links(distinct_fps: DataFrame, max_bits: int = 2, long_list: int = LONG_LIST, positions: int = POSITIONS) -> DataFrame:
     """Edges (a, b), a > b, whose components are those of all pairs within `max_bits` (1 or 2) bits."""
-    if max_bits not in (1, 2):
-        raise ValueError("max_bits must be 1 or 2")
-    masks = [sum(0xFF << 8 * i for i in kept) for kept in combinations(range(BYTES), BYTES - max_bits)]
+    if max_bits not in (1, 2) or not 1 <= positions <= BYTES - max_bits:
+        raise ValueError("max_bits must be 1 or 2, positions at most 8 less max_bits")
+    masks = [sum(0xFF << 8 * i for i in kept) for kept in combinations(range(BYTES), positions)]
     keys = [F.col("fp").bitwiseAND(F.lit(int(np.uint64(m).astype(np.int64)))) for m in masks]
     postings = distinct_fps.select("fp", F.posexplode(F.array(*keys)).alias("positions", "shared"))
-    # A list holds distinct values of max_bits bytes, 65,536 at most.
-    lists = postings.groupBy("positions", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    lists = written(lists, "postings")
-    near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
-
-    short = lists.where(F.size("fps") <= long_list)
-    pairs = short.select("fps", F.explode("fps").alias("a")).select("a", F.explode("fps").alias("b")).where("a > b")
-    verified = pairs.distinct().where(near("a", "b"))
+    key = ["positions", "shared"]
+    long = written(postings.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > long_list).select(*key), "long_lists")
+    # What is left of the lists holds at most long_list fingerprints each.
+    short = postings.join(small(long), key, "left_anti").groupBy(*key).agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    verified = met_pairs(short, max_bits, positions).where(near)
 
     flips = [F.col("fp").bitwiseXOR(F.lit(int(np.uint64(1 << i).astype(np.int64)))) for i in range(8 * BYTES)]
     if max_bits == 2:  # what two share is a neighbour
         shared = F.array(F.col("fp"), *flips)
     else:  # what two share is the edge between them
         shared = F.array(*[F.struct(F.least("fp", f).alias("lo"), F.greatest("fp", f).alias("hi")) for f in flips])
-    members = lists.where(F.size("fps") > long_list).select(F.explode("fps").alias("fp")).distinct()
+    members = written(postings.join(small(long), key, "left_semi").select("fp").distinct(), "members")
     around = members.select("fp", F.explode(shared).alias("z"))
     centres = around.groupBy("z").agg(F.min("fp").alias("b"))
     far = around.join(centres, "z").where("fp != b").select(F.col("fp").alias("a"), "b")
