@@ -109,17 +109,18 @@ def op9_benchmark_decontamination(spark, sf_dir):
 
 ORACLES["op9_benchmark_decontamination"] = r"""
 WITH item_words AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM benchmark
+  SELECT item_id, text, list_filter(regexp_split_to_array(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM benchmark
 ), doc_words AS (
   SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM documents
 ), item_grams AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM item_words WHERE len(w) >= 5
+  SELECT DISTINCT item_id, text, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM item_words WHERE len(w) > 0
+), widths AS (SELECT DISTINCT least(len(w), 5) AS k FROM item_words WHERE len(w) > 0
 ), doc_grams AS (
-  SELECT DISTINCT doc_id, text, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM doc_words WHERE len(w) >= 5
-), sizes AS (SELECT item_id, count(*) AS n FROM item_grams GROUP BY 1)
-SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*)::DOUBLE / n AS containment
-FROM doc_grams JOIN item_grams USING (g) JOIN sizes USING (item_id)
-GROUP BY doc_id, text, item_id, n HAVING count(*) >= 0.8 * n - 1e-9
+  SELECT DISTINCT doc_id, text, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS g FROM doc_words, widths WHERE len(w) >= k
+), sizes AS (SELECT item_id, text, count(*) AS n FROM item_grams GROUP BY 1, 2)
+SELECT d.doc_id, i.item_id, n AS n_shingles, count(*) AS n_shared, count(*)::DOUBLE / n AS containment
+FROM doc_grams d JOIN item_grams i USING (g) JOIN sizes s ON s.item_id IS NOT DISTINCT FROM i.item_id AND s.text = i.text
+GROUP BY d.doc_id, d.text, i.item_id, i.text, n HAVING count(*) >= 0.8 * n - 1e-9
 """
 
 

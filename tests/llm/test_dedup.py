@@ -81,6 +81,20 @@ def test_links_of_a_ball(spark, bits, long_list):
     assert got == {p: min(s) for s in sets.values() if len(s) > 1 for p in s}
 
 
+def test_tally_drops_pairs_before_they_are_verified(spark):
+    base = random.Random(8).getrandbits(64)
+    near, far = base ^ 0b1 ^ (1 << 60), base ^ int("ff" * 3, 16)
+    fps = [signed(p) for p in (base, near, far)]
+    pairs = lambda count: [(max(x, fps[0]), min(x, fps[0])) for x in fps[1 : 1 + count]]
+    lists = spark.createDataFrame([([fps[0], fps[1]],)] * 15 + [([fps[0], fps[2]],)] * 5, "fps array<long>")
+    assert [tuple(r) for r in simhash.met_pairs(lists, 2).collect()] == pairs(1)
+    table = spark.createDataFrame([(f,) for f in fps], "fp long")
+    assert [tuple(r) for r in simhash.links(table).collect()] == pairs(1)
+    for bad in ({"max_bits": 3}, {"positions": 7}):
+        with pytest.raises(ValueError):
+            simhash.links(table, **bad)
+
+
 def test_long_texts_in_blocks():
     text = "word " * 100 + "other\tword\n" * 50
     blocks = list(common.blocks(text.encode(), 37))
@@ -179,16 +193,28 @@ def test_contained_items_same_as_sql(spark, small):
     assert sorted(map(tuple, got)) == sorted(want) and want
 
 
+def word_list(text):
+    return "".join(c if c.isalnum() or ord(c) > 127 else " " for c in (text or "").lower()).split()
+
+
 def grams(text):
-    w = [x for x in "".join(c if c.isalnum() or ord(c) > 127 else " " for c in (text or "").lower()).split()]
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    """Five-word shingles, of fewer words the whole sequence."""
+    w = word_list(text)
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} - {()}
+
+
+def shared(item, text):
+    """How many of the item's shingles the text has."""
+    w, n = word_list(text), grams(item)
+    width = len(next(iter(n), ()))
+    return len(n & {tuple(w[i : i + width]) for i in range(len(w) - width + 1)})
 
 
 def test_containment_edges(spark):
     r = random.Random(2)
     word = lambda: r.choice("abcdefghij") + r.choice("klmnop") + str(r.randrange(20))
-    items = [(i, " ".join(word() for _ in range(r.randrange(1, 60)))) for i in range(40)] + [(100, None), (101, ""), (102, "four words are few"), (None, "one two three four five six")]
-    docs = [(0, None), (1, ""), (2, "tiny"), (3, "one two three four five six")]
+    items = [(i, " ".join(word() for _ in range(r.randrange(1, 60)))) for i in range(40)] + [(100, None), (101, ""), (102, "four words are few"), (None, "one two three four five six"), (None, "seven eight nine ten eleven twelve"), (5, "another text under an id that is taken"), (5, "another text under an id that is taken")]
+    docs = [(0, None), (1, ""), (2, "tiny"), (3, "one two three four five six"), (4, "well: Four words are few."), (5, "seven eight nine ten eleven twelve another text under an id that is taken")]
     for k in range(60):
         w = items[k % 40][1].split()
         for _ in range(r.randrange(4)):
@@ -197,19 +223,31 @@ def test_containment_edges(spark):
     docs += [docs[10], docs[10], (10, docs[11][1])]
     want = set()
     for i, t in set(docs):
-        for j, u in items:
-            n = grams(u)
-            if j is not None and n and len(n & grams(t)) / len(n) >= 0.8:
-                want.add((i, t, j, len(n), len(n & grams(t))))
+        for j, u in set(items):
+            n = len(grams(u))
+            if n and shared(u, t) / n >= 0.8:
+                want.add((i, t, j, u, n, shared(u, t)))
     df, bench = frame(spark, docs), spark.createDataFrame([(j, u, 1) for j, u in items], "item_id long, text string, h int")
     got = decontaminate.contained_items(df, bench).collect()
-    assert sorted((x.doc_id, x.item_id, x.n_shingles, x.n_shared) for x in got) == sorted((i, j, n, m) for i, _, j, n, m in want)
+    assert sorted(repr((x.doc_id, x.item_id, x.n_shingles, x.n_shared)) for x in got) == sorted(repr((i, j, n, m)) for i, _, j, _, n, m in want)
+    assert {w[2] for w in want} >= {None, 5, 102}
     bad = {(i, t) for i, t, *_ in want}
     clean = decontaminate.clean(df, bench).collect()
     assert sorted(map(repr, ((x.doc_id, x.text) for x in clean))) == sorted(map(repr, (d for d in docs if d not in bad)))
     assert decontaminate.contained_items(df.limit(0), bench).collect() == [] == decontaminate.contained_items(df, bench.limit(0)).collect()
 
 
+def test_a_shared_opening_names_no_candidates(spark):
+    opening = "read the passage below and answer the question that follows it"
+    items = [(i, f"{opening} " + " ".join(f"w{i}x{k}" for k in range(40))) for i in range(300)]
+    found = decontaminate.item_shingles(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 5, 0.8).where("is_minimum")
+    most = found.groupBy("h").count().orderBy("count", ascending=False).first()["count"]
+    assert most == 1 and found.select("item_key").distinct().count() == 300
+    docs = spark.createDataFrame([(1, f"{opening} nothing else"), (2, "so: " + items[7][1])], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.contained_items(docs, bench).collect()] == [(2, 7)]
+
+
 def test_shuffled_where_the_items_are_many(spark, small, monkeypatch):
     plain = sorted(map(tuple, QUERIES["op9_benchmark_decontamination"](spark, small).collect()))
     monkeypatch.setattr(decontaminate, "small", lambda df: df)
