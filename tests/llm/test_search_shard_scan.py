@@ -110,3 +110,26 @@ def test_license_labels_of_the_method(spark):
     assert [got[i][0] for i in range(5)] == ["gpl-3", "gpl-3", "gpl-3", "", ""]
     assert got[0][2] == 1.0 and 0.8 <= got[2][2] < 1 and got[3][2] == 0.0 and all(g[1] == "" for g in got.values())
     assert licenses.scan(df.limit(0)).collect() == []
+
+
+def test_templates_of_any_length(spark, monkeypatch):
+    texts = [text for text, _ in licenses.TEMPLATES if len(text.split()) > licenses.CHUNK]
+    assert len(texts) >= 4 and max(len(t.split()) for t in texts) > 3 * licenses.CHUNK
+    w = texts[0].split()
+    cut, broken = w[:40] + ["added", "words"] + w[40:], w[:50] + w[100:]
+    docs = [(0, " ".join(w)), (1, "before " * 70 + ", ".join(cut)), (2, " ".join(broken)), (3, " ".join(w[100:])), (4, " ".join(w)), (4, " ".join(w))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    own = [(texts[0], "whole")]
+    got = sorted((r.doc_id, r.labels, round(r.score, 4)) for r in licenses.scan(df, templates=own).collect())
+    # What an added word tears apart is on neighbouring diagonals and counts together.
+    assert got == [(0, "whole", 1.0), (1, "whole", 1.0), (2, "", 0.0), (3, "", 0.0), (4, "whole", 1.0), (4, "whole", 1.0)]
+    monkeypatch.setattr(licenses, "COPIES", 1)
+    assert sorted((r.doc_id, r.labels) for r in licenses.scan(df, templates=own).collect()) == [(i, label) for i, label, _ in got]
+    found = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found == {0: "mit", 1: "apache-2", 2: "bsd,bsd-3", 3: "isc"}
+
+
+@pytest.mark.parametrize("first,n", [(0, 3), (58, 3), (59, 3), (119, 2), (0, 130)])
+def test_bits_of(first, n):
+    got = [c * licenses.CHUNK + i for c, bits in licenses.bits_of(first, n) for i in range(licenses.CHUNK) if bits >> i & 1]
+    assert got == list(range(first, first + n))
