@@ -4,7 +4,8 @@ A stage takes (spark, docs, sf_dir) and returns a table: all but the last return
 columns of documents, the last one token ids. Each result is written as Parquet
 and read again as the next one's input.
 
-1. language ID: texts without a letter, or null, go.
+1. language ID: texts without a letter, or null, go, and those predicted in another language than
+   LANGUAGES; a null lang becomes the predicted one.
 2. SimHash near-dedup: of each group of near copies the one with the smallest doc_id stays.
 3. suffix-array dedup: strings of CUT_BYTES bytes that occur more than once are cut out of the
    texts, and n_chars follows. A passage of over 50 words is longer than that, even where its words are short.
@@ -24,6 +25,8 @@ from tallyweek.llm import decontaminate, language, pieces, simhash, substrings
 from tallyweek.llm.common import written
 from tallyweek.llm.queries import table
 
+# Languages of the corpus.
+LANGUAGES = ["de", "en", "es", "fr"]
 # The executors still hold the heap of the shuffling stages; smaller tables leave the piece workers room beside it.
 KEPT_STRETCHES = 30_000
 # Repeated strings of this many bytes go: 50 words of 4.8 bytes, spaces counted.
@@ -31,7 +34,7 @@ CUT_BYTES = 240
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.keep_known(docs)
+    return language.keep_known(docs, languages=LANGUAGES)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
