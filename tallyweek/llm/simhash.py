@@ -35,7 +35,7 @@ from tallyweek.llm.common import blocks, components, content_key, free_name, hel
 
 BYTES, POSITIONS = 8, 4
 # Beyond this length a posting list is linked by shared neighbours.
-LONG_LIST = 64
+LONG_LIST = 8
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
