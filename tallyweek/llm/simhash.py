@@ -86,19 +86,22 @@ def links(distinct_fps: DataFrame, max_bits: int = 2, long_list: int = LONG_LIST
     keys = [F.col("fp").bitwiseAND(F.lit(int(np.uint64(m).astype(np.int64)))) for m in masks]
     postings = distinct_fps.select("fp", F.posexplode(F.array(*keys)).alias("positions", "shared"))
     key = ["positions", "shared"]
-    long = written(postings.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > long_list).select(*key), "long_lists")
-    # What is left of the lists holds at most long_list fingerprints each.
-    short = postings.join(small(long), key, "left_anti").groupBy(*key).agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    # Nearly all lists have one member and link nothing; only the keys of the others are looked up again.
+    shared = written(postings.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), "shared_lists")
+    long = shared.where(F.col("n") > long_list).select(*key)
+    few = shared.where(F.col("n") <= long_list).select(*key)
+    # These lists hold at most long_list fingerprints each.
+    short = postings.join(small(few), key, "left_semi").groupBy(*key).agg(F.collect_list("fp").alias("fps"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     verified = met_pairs(short, max_bits, positions).where(near)
 
     flips = [F.col("fp").bitwiseXOR(F.lit(int(np.uint64(1 << i).astype(np.int64)))) for i in range(8 * BYTES)]
     if max_bits == 2:  # what two share is a neighbour
-        shared = F.array(F.col("fp"), *flips)
+        around_fp = F.array(F.col("fp"), *flips)
     else:  # what two share is the edge between them
-        shared = F.array(*[F.struct(F.least("fp", f).alias("lo"), F.greatest("fp", f).alias("hi")) for f in flips])
+        around_fp = F.array(*[F.struct(F.least("fp", f).alias("lo"), F.greatest("fp", f).alias("hi")) for f in flips])
     members = written(postings.join(small(long), key, "left_semi").select("fp").distinct(), "members")
-    around = members.select("fp", F.explode(shared).alias("z"))
+    around = members.select("fp", F.explode(around_fp).alias("z"))
     centres = around.groupBy("z").agg(F.min("fp").alias("b"))
     far = around.join(centres, "z").where("fp != b").select(F.col("fp").alias("a"), "b")
     return written(verified.union(far).distinct(), "links")
