@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -51,6 +52,8 @@ LENGTH = 400
 WIDTH = 8
 # Starts of a unit that are looked at together where its cover is not repeated.
 STEP = 8
+# Units that a task holds before it hands them on, however long a text is.
+UNITS_HELD = 50_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 1 << 20
 
@@ -97,12 +100,15 @@ def units(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, in
     lows = np.maximum(np.append(0, at[:-1] - reach + 1), 0)
     highs = np.minimum(at - reach, last)
     firsts = np.maximum(lows, at - (length - core))
-    for t, low, first, high in zip(at.tolist(), lows.tolist(), firsts.tolist(), highs.tolist()):
-        for s in range(low, min(first, high + 1)):
-            bare = view[s : s + length]
-            yield s, 1, _signed(xxh(bare, 1)), _signed(xxh(bare, 2))
-        if first <= high:
-            yield first, t - reach - first + 1, _signed(xxh(view[t : t + core])), _signed(xxh(view[first : high + length]))
+    # A text of equal bytes has as many triggers as bytes, so they become Python numbers by blocks.
+    for i in range(0, len(at), _BLOCK >> 4):
+        block = (column[i : i + (_BLOCK >> 4)].tolist() for column in (at, lows, firsts, highs))
+        for t, low, first, high in zip(*block):
+            for s in range(low, min(first, high + 1)):
+                bare = view[s : s + length]
+                yield s, 1, _signed(xxh(bare, 1)), _signed(xxh(bare, 2))
+            if first <= high:
+                yield first, t - reach - first + 1, _signed(xxh(view[t : t + core])), _signed(xxh(view[first : high + length]))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
@@ -115,12 +121,13 @@ def _units_of(texts: DataFrame, length: int) -> DataFrame:
         for b in batches:
             keys, rows = [], []
             for key, data in zip(b.column(0), b.column(1)):
-                before = len(rows)
-                rows.extend(units(data.as_py(), length))
-                keys.extend([key.as_py()] * (len(rows) - before))
-                if len(rows) > 50_000:
-                    yield batch(keys, rows)
-                    keys, rows = [], []
+                key, found = key.as_py(), units(data.as_py(), length)
+                while some := list(islice(found, UNITS_HELD)):
+                    rows.extend(some)
+                    keys.extend([key] * len(some))
+                    if len(rows) >= UNITS_HELD:
+                        yield batch(keys, rows)
+                        keys, rows = [], []
             yield batch(keys, rows)
 
     def batch(keys, rows):

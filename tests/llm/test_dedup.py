@@ -175,6 +175,14 @@ def test_repeats_of_given_table(spark, small):
     assert substrings.digests(frame(spark, []), "doc_id").collect() == []
 
 
+def test_units_in_blocks(monkeypatch):
+    data = b"a" * 3000 + bytes(range(256)) * 4
+    whole = list(substrings.units(data, 40))
+    monkeypatch.setattr(substrings, "_BLOCK", 1 << 10)
+    monkeypatch.setattr(substrings, "triggers", lambda d, r, at=substrings.triggers(data, 4): at)
+    assert len(whole) > 2000 and list(substrings.units(data, 40)) == whole
+
+
 def test_triggers_in_blocks(monkeypatch):
     data = random.Random(1).randbytes(5000) + b"ab" * 400 + b"\0" * 300
     whole = substrings.triggers(data, 10).tolist()
