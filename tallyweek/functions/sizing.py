@@ -20,6 +20,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows in the same partitions, kept in the shared folder: later tasks do not carry the plan that made them.
+
+    Where the application has no checkpoint folder, it gets one in the shared folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def local_table(spark: SparkSession, rows: Sequence[tuple], fields: str) -> DataFrame:
     """A handful of rows as a table whose size Spark knows."""
     schema = T.StructType.fromDDL(fields)

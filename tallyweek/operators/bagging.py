@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import other_columns
 from tallyweek.operators.clean import keep_present
-from tallyweek.operators.models import FEATURES, SEED, Fit, partitions_for, usable_rows
+from tallyweek.operators.models import FEATURES, SEED, Fit, fit_partitions, usable_rows
 from tallyweek.operators.quantile import named_quantiles
 from tallyweek.operators.split import HASHES, key_hash
 
@@ -102,7 +102,7 @@ def content_forest(
     """Fit a forest (M5) that is the same however the rows are partitioned.
 
     `key` names a row in the draws; where it is not given, all columns do, and rows alike in all are drawn
-    alike. A task works on PARTITION_ROWS rows, or the table goes to `partitions`; either
+    alike. A task works on as many rows as `fit_partitions` gives it, or the table goes to `partitions`; either
     way the forest stays the same. Trees are fitted side by side on one cached table of bin numbers.
     """
     names = list(features) if features is not None else other_columns(train, label, *(key or []))
@@ -110,7 +110,7 @@ def content_forest(
     rows = usable_rows(keep_present(train, label), names, handle_invalid).select(*dict.fromkeys([label, *names, *key]))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     to_vector = binner(names, split_points(rows, names, max_bins))
-    partitions = partitions or partitions_for(rows.count())
+    partitions = partitions or fit_partitions(rows.count())
     # Money in whole cents: sums of labels are then the same in any order.
     cents = F.round(F.col(label).cast("double") * 100)
     table = to_vector.transform(rows.repartition(partitions)).select(cents.alias("_y"), FEATURES, *[F.col(c).alias(f"_key_{c}") for c in key])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweek.functions.columns import is_missing, other_columns
-from tallyweek.functions.sizing import local_table
+from tallyweek.functions.sizing import checkpointed, local_table
 from tallyweek.operators.clean import keep_present
 from tallyweek.operators.metrics import metric_columns, regression_metrics
 from tallyweek.operators.reshape import stack_rows
@@ -35,6 +35,10 @@ SEED = 1234
 # Training rows are dealt by content to partitions of about this many rows, so that the draws of a forest
 # do not depend on how the table came, and tasks are as many as a table of any size needs.
 PARTITION_ROWS = 20_000
+# From FEW_PARTITIONS on partitions grow up to LARGE_PARTITION_ROWS before there are more of them: every task of a fit sends
+# its histograms on and its figures to the driver, however few rows it has.
+FEW_PARTITIONS = 12
+LARGE_PARTITION_ROWS = 250_000
 HANDLE_INVALID = ("error", "skip", "keep")
 
 # The display name of each kind of model.
@@ -71,8 +75,9 @@ def forest(
 
 def gbt(
     max_iter: int = 20, max_depth: int = 5, seed: int = SEED,
-    max_memory: int = 512, cache_node_ids: bool = False, checkpoint_interval: int = 10,
+    max_memory: int = 512, cache_node_ids: bool = False, checkpoint_interval: int = 3,
 ) -> Estimator:
+    """Boosted trees. Each task carries the trees grown since the last checkpoint, so that is made often; results do not depend on it."""
     return GBTRegressor(
         featuresCol=FEATURES, maxIter=max_iter, maxDepth=max_depth, seed=seed, **_deep(max_memory, cache_node_ids, checkpoint_interval)
     )
@@ -186,11 +191,16 @@ def partitions_for(n_rows: int) -> int:
     return max(1, -(-n_rows // PARTITION_ROWS))
 
 
+def fit_partitions(n_rows: int) -> int:
+    """How many partitions the fits work on: those of `partitions_for` while they are few, of a large table fewer and larger ones."""
+    return min(partitions_for(n_rows), max(FEW_PARTITIONS, -(-n_rows // LARGE_PARTITION_ROWS)))
+
+
 def _vectors_of(train: DataFrame, label: str, names: Sequence[str], vary: bool, partitions: int | None) -> tuple[Transformer, DataFrame, list[str]]:
     """The vectorizer, the rows as vectors in an order of their own, and the constant features left out if all must vary."""
     dropped = constant_columns(train, names) if vary else []
     to_vector = vectorizer(train, label, [c for c in names if c not in dropped])
-    partitions = partitions or partitions_for(train.count())
+    partitions = partitions or fit_partitions(train.count())
     return to_vector, to_vector.transform(by_content(train, [label, *names], partitions)), dropped
 
 
@@ -212,30 +222,32 @@ def fit_all(
     train: DataFrame, label: str, kinds: Sequence[str] = tuple(ESTIMATORS), parallelism: int = 4,
     handle_invalid: str = "error", partitions: int | None = None, params: Mapping[str, Mapping[str, object]] | None = None,
 ) -> dict[str, Fit]:
-    """One fit per kind, with default parameters or those in `params`, side by side on one cached table of vectors.
+    """One fit per kind, with default parameters or those in `params`, side by side on one kept table of vectors.
 
     `parallelism` is how many fits may hold a copy of the rows at a time.
     """
     names = other_columns(train, label)
     train = usable_rows(keep_present(train, label), names, handle_invalid).select(label, *names).persist(StorageLevel.MEMORY_AND_DISK)
-    partitions = partitions or partitions_for(train.count())
-    # Only a linear model leaves constant features out, and only then it needs vectors of its own.
-    plain, varying = (_vectors_of(train, label, names, vary, partitions) for vary in (False, True))
-    shared = plain[1].select(label, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    narrow = varying[0], varying[1].select(label, FEATURES).persist(StorageLevel.MEMORY_AND_DISK), varying[2]
+    partitions = partitions or fit_partitions(train.count())
+    made = {kind: ESTIMATORS[kind](**(params or {}).get(kind, {})) for kind in kinds}
+
+    def vectors(vary: bool) -> tuple[Transformer, DataFrame, list[str]]:
+        to_vector, rows, dropped = _vectors_of(train, label, names, vary, partitions)
+        return to_vector, checkpointed(rows.select(label, FEATURES)), dropped
 
     def one(kind: str) -> Fit:
-        made = ESTIMATORS[kind](**(params or {}).get(kind, {}))
-        if isinstance(made, LinearRegression) and varying[2]:
-            return _fit_vectors(*narrow, label, names, made)
-        return _fit_vectors(plain[0], shared, [], label, names, made)
+        # Only a linear model leaves constant features out, and only then it needs vectors of its own.
+        return _fit_vectors(*(narrow if isinstance(made[kind], LinearRegression) else plain), label, names, made[kind])
 
     try:
+        linear_asked = any(isinstance(m, LinearRegression) for m in made.values())
+        plain = narrow = vectors(False)
+        if linear_asked and constant_columns(train, names):
+            narrow = vectors(True)
         with ThreadPool(max(1, min(parallelism, len(kinds)))) as pool:
             return dict(zip(kinds, pool.map(inheritable_thread_target(train.sparkSession)(one), kinds, chunksize=1)))
     finally:
-        for df in (train, shared, narrow[1]):
-            df.unpersist()
+        train.unpersist()
 
 
 def score(fitted: Fit, df: DataFrame, handle_invalid: str = "error") -> DataFrame:

@@ -110,3 +110,19 @@ def test_native_scores(table):
 
 def test_partitions_follow_the_rows():
     assert [models.partitions_for(n) for n in (0, 1, 20_000, 20_001, 10**9)] == [1, 1, 1, 2, 50_000]
+
+
+def test_fits_of_large_tables_take_few_tasks():
+    assert [models.fit_partitions(n) for n in (0, 1, 38_700, 240_000, 2_300_000, 14_400_000, 10**9)] == [1, 1, 2, 12, 12, 58, 4000]
+
+
+def test_fits_do_not_carry_the_plan_of_their_rows(spark, table):
+    f = models.fit_all(table.select("a", "b", "y"), "y", ["linear", "tree"])["linear"]
+    plan = f.model.summary.predictions._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan and "Exchange" not in plan and "InMemory" not in plan
+    assert spark.sparkContext.getCheckpointDir()
+
+
+def test_checkpoints_do_not_change_boosted_trees(table):
+    seen = [models.fit(table, "y", "gbt", ["a", "b", "c"], max_iter=5, max_depth=3, checkpoint_interval=i).model.toDebugString.split("\n")[1:] for i in (1, 3, 10)]
+    assert seen[0] == seen[1] == seen[2] and models.gbt().getCheckpointInterval() == 3
