@@ -11,14 +11,16 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyweek.functions.columns import fixed_text, joined_label, other_columns
 from tallyweek.functions.sizing import checkpointed, local_table, saved
-from tallyweek.operators import models
+from tallyweek.operators import bagging, models
 from tallyweek.operators.clean import keep_present
 from tallyweek.operators.metrics import regression_metrics
 from tallyweek.operators.models import FEATURES, MODEL_NAMES, Fit
@@ -32,6 +34,10 @@ GRIDS: dict[str, list[dict[str, int]]] = {
     "tree": [{"max_depth": 5}, {"max_depth": 10}],
 }
 
+# From this many rows on, trees without draws are fitted on cells: the rows that fall in the same bins of all features.
+CELL_ROWS = 500_000
+WEIGHT = "_weight"
+
 EVAL_FIELDS = (
     "model string, fold int, rmse double, r_squared double, "
     "num_trees int, max_iter int, max_depth int, reg_param double, select_rmse double"
@@ -57,6 +63,30 @@ def choose(scores: Sequence[float]) -> int:
     return min(known, key=lambda i: scores[i])
 
 
+def _cell_bins(built: Sequence[Estimator]) -> int | None:
+    """The bins of learners for which a cell's mean and weight say all its rows say; None if there is one for which they do not.
+
+    That holds for squared error without draws: within a cell no split parts the rows, and each of them is predicted alike.
+    """
+    for m in built:
+        if not isinstance(m, (DecisionTreeRegressor, GBTRegressor)) or m.getMinInstancesPerNode() > 1:
+            return None
+        if isinstance(m, GBTRegressor) and (m.getSubsamplingRate() < 1 or m.getFeatureSubsetStrategy() != "all" or m.getLossType() != "squared"):
+            return None
+    return built[0].getMaxBins() if len({m.getMaxBins() for m in built}) == 1 else None
+
+
+def cells(rows: DataFrame, label: str, names: Sequence[str]) -> DataFrame:
+    """Binned rows as one row per cell: the mean label, the weight and the vector of bins."""
+    bins = [f"_bin_{c}" for c in names]
+    # Bins come marked as categories; as numbers they keep their order, and a split lies between two of them.
+    met = rows.groupBy(*[F.col(c).cast("int").alias(c) for c in bins]).agg(F.avg(label).alias(label), F.count(F.lit(1)).cast("double").alias(WEIGHT)).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = models.by_content(met, bins, models.fit_partitions(met.count()))
+    out = checkpointed(VectorAssembler(inputCols=bins, outputCol=FEATURES).transform(dealt).select(label, WEIGHT, FEATURES))
+    met.unpersist()
+    return out
+
+
 def cross_validate(
     data: DataFrame,
     label: str,
@@ -107,6 +137,9 @@ def cross_validate_all(
     wait in one queue, the longest fits first, of which `parallelism` run side by
     side; a learner never waits for another one to end. `handle_invalid` and `partitions` as in
     `models.fit`. Held-out predictions are saved once.
+
+    From CELL_ROWS rows on, single and boosted trees on numbers are fitted on `cells`, of which there are at most as many as rows.
+    Where a feature may be split is then set by the feature's values in all rows, and not by a sample of them.
     """
     if select_on not in ("train", "inner"):
         raise ValueError("select_on must be 'train' or 'inner'")
@@ -131,18 +164,33 @@ def cross_validate_all(
         vary = {n for n, make in makers.items() if isinstance(make(), LinearRegression)}
         constant = models.constant_columns(rows, names) if vary else []
         dropped = {n: constant if n in vary else [] for n in makers}
-        tables: dict[tuple[str, ...], tuple] = {}
-        for out in dropped.values():
+        numbers = all(isinstance(rows.schema[c].dataType, T.NumericType) for c in names)
+        large = numbers and sum(found.values()) >= CELL_ROWS
+        bins = {n: _cell_bins([make(**p) for p in points[n]]) if large else None for n, make in makers.items()}
+        tables: dict[tuple[str, ...] | int, tuple] = {}
+        for most in {b for b in bins.values() if b}:
+            to_bins = bagging.binner(names, bagging.split_points(rows, names, most))
+            tables[most] = (to_bins, checkpointed(to_bins.transform(models.by_content(rows, [label, *names], partitions))), names)
+        for out in [dropped[n] for n in makers if not bins[n]]:
             if tuple(out) not in tables:
                 to_vector = models.vectorizer(rows, label, [c for c in names if c not in out])
                 vectors = to_vector.transform(models.by_content(rows, [label, *names], partitions))
                 tables[tuple(out)] = (to_vector, checkpointed(vectors), models.vector_names(vectors))
-        of = {n: tables[tuple(dropped[n])] for n in makers}
+        of = {n: tables[bins[n] or tuple(dropped[n])] for n in makers}
         rows.unpersist()  # the vectors hold all columns
 
-        def fit_point(n: str, train: DataFrame, point: Mapping[str, object]):
+        inner = F.col("_inner") == 0
+
+        def training(n: str, number: int, whole: bool) -> DataFrame:
+            """The rows outside the fold, all of them or those the candidates of an inner choice are fitted on."""
+            train = of[n][1].where(F.col(fold) != number)
+            return train if whole else train.where(~inner)
+
+        def fit_point(n: str, number: int, point: Mapping[str, object], whole: bool = True):
             built = makers[n](**point)
-            return built.copy({built.labelCol: label}).fit(train.select(label, FEATURES))
+            if bins[n]:
+                return built.copy({built.labelCol: label, built.weightCol: WEIGHT}).fit(merged[bins[n], number, whole])
+            return built.copy({built.labelCol: label}).fit(training(n, number, whole).select(label, FEATURES))
 
         def rmse(model, part: DataFrame) -> float:
             return regression_metrics(model.transform(part.select(label, FEATURES)), label).first()["rmse"]
@@ -150,19 +198,18 @@ def cross_validate_all(
         def attempt(job: tuple[str, int, dict]):
             """A model, or None where it has to be fitted again, and the RMSE to choose by."""
             n, number, point = job
-            train = of[n][1].where(F.col(fold) != number)
+            train = training(n, number, True)
             if len(points[n]) == 1:
-                return fit_point(n, train, point), None
+                return fit_point(n, number, point), None
             if select_on == "train":
-                model = fit_point(n, train, point)
+                model = fit_point(n, number, point)
                 return model, rmse(model, train)
-            inner = F.col("_inner") == 0
-            return None, rmse(fit_point(n, train.where(~inner), point), train.where(inner))
+            return None, rmse(fit_point(n, number, point, whole=False), train.where(inner))
 
         def finish(job: tuple[str, int, dict, object]):
             n, number, point, model = job
             if model is None:
-                model = fit_point(n, of[n][1].where(F.col(fold) != number), point)
+                model = fit_point(n, number, point)
             held_out = model.transform(of[n][1].where(F.col(fold) == number))
             return model, held_out, regression_metrics(held_out, label).first()
 
@@ -175,6 +222,13 @@ def cross_validate_all(
             return [done[i] for i in range(len(jobs))]
 
         with ThreadPool(max(1, parallelism)) as pool:
+            asked = {
+                (bins[n], i, whole): n
+                for n in makers if bins[n]
+                for i in range(1, k + 1) for whole in ([True, False] if select_on == "inner" and len(points[n]) > 1 else [True])
+            }
+            made = pool.map(threaded(lambda at: cells(training(asked[at], *at[1:]), label, names)), list(asked), chunksize=1)
+            merged = dict(zip(asked, made))
             jobs = [(n, i, point) for n in makers for i in range(1, k + 1) for point in points[n]]
             tried = dict(zip(((n, i, str(p)) for n, i, p in jobs), run(attempt, jobs)))
             chosen = []
@@ -187,7 +241,7 @@ def cross_validate_all(
         out = {}
         for n in makers:
             own = [(c, f) for c, f in zip(chosen, finished) if c[0] == n]
-            held_out = [part.drop(FEATURES, f"_{label}", "_inner") for _, (_, part, _) in own]
+            held_out = [part.drop(FEATURES, f"_{label}", "_inner", *[f"_bin_{c}" for c in names]) for _, (_, part, _) in own]
             evals = [
                 (
                     n, i, scores["rmse"], scores["r_squared"],

@@ -256,7 +256,7 @@ def score(fitted: Fit, df: DataFrame, handle_invalid: str = "error") -> DataFram
     A missing feature is an error; with `skip` such rows are left out, with
     `keep` they stay and have no prediction.
     """
-    rows = fitted.pipeline.transform(usable_rows(df, fitted.columns, handle_invalid)).drop(FEATURES, f"_{fitted.label}")
+    rows = fitted.pipeline.transform(usable_rows(df, fitted.columns, handle_invalid)).drop(FEATURES, f"_{fitted.label}", *[f"_bin_{c}" for c in fitted.columns])
     if handle_invalid != "keep":
         return rows
     whole = reduce(lambda a, b: a & b, [~is_missing(df, c) for c in fitted.columns])

@@ -126,3 +126,30 @@ def test_fits_do_not_carry_the_plan_of_their_rows(spark, table):
 def test_checkpoints_do_not_change_boosted_trees(table):
     seen = [models.fit(table, "y", "gbt", ["a", "b", "c"], max_iter=5, max_depth=3, checkpoint_interval=i).model.toDebugString.split("\n")[1:] for i in (1, 3, 10)]
     assert seen[0] == seen[1] == seen[2] and models.gbt().getCheckpointInterval() == 3
+
+
+@pytest.mark.parametrize("select_on", ["train", "inner"])
+def test_fits_on_cells_are_those_on_rows(table, monkeypatch, select_on):
+    grids = {"tree": [{"max_depth": 1}, {"max_depth": 3}], "gbt": [{"max_iter": 2, "max_depth": 1}, {"max_iter": 4, "max_depth": 2}]}
+    seen = []
+    for least in (10**9, 0):
+        monkeypatch.setattr(crossval, "CELL_ROWS", least)
+        runs = crossval.cross_validate_all(table, "y", {"gbt": "gbt", "tree": "tree"}, ["b", "c"], k=3, grids=grids, key=["id"], select_on=select_on)
+        seen.append(runs)
+    for kind in grids:
+        on_rows, on_cells = (run[kind] for run in seen)
+        assert on_rows.params == on_cells.params and on_rows.predictions.columns == on_cells.predictions.columns
+        for one, other in zip(rows(on_rows.evals, "fold"), rows(on_cells.evals, "fold")):
+            assert [x for x in other if isinstance(x, float)] == pytest.approx([x for x in one if isinstance(x, float)], rel=1e-9)
+        one, other = (rows(run.predictions.select("id", "prediction"), "id") for run in (on_rows, on_cells))
+        assert [r[1] for r in other] == pytest.approx([r[1] for r in one], rel=1e-9)
+        again = models.score(on_cells.fits[0], table)
+        assert again.columns == [*table.columns, "prediction"] and on_cells.fits[0].features == ["b", "c"]
+
+
+def test_rows_of_a_cell_are_counted_once(table):
+    binned = bagging.binner(["a", "b"], bagging.split_points(table, ["a", "b"], 8)).transform(table)
+    met = crossval.cells(binned, "y", ["a", "b"])
+    assert met.count() == binned.select("_bin_a", "_bin_b").distinct().count() <= 48
+    assert met.agg(F.sum("_weight")).first()[0] == 700
+    assert met.agg(F.sum(F.col("_weight") * F.col("y"))).first()[0] == pytest.approx(table.agg(F.sum("y")).first()[0])
