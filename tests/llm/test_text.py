@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import duckdb
@@ -97,6 +98,40 @@ def test_phrases_run_across_words():
     assert automaton.phrases(" one two ") == 1 and automaton.phrases(" two one ") == 2
 
 
+@pytest.mark.parametrize("block, stretch, cells", [(1, 1, 0), (7, 3, 1 << 22), (64, 16, 0), (1000, 256, 1 << 22), (1 << 20, 256, 1 << 22)])
+def test_texts_parsed_at_once_are_parsed_as_one_by_one(monkeypatch, block, stretch, cells):
+    r = random.Random(5)
+    for name, value in (("BLOCK", block), ("STRETCH", stretch), ("DENSE_CELLS", cells)):
+        monkeypatch.setattr(language, name, value)
+    learned = {"a": " ab abba baab aab ", "b": " " + "".join(r.choices("ab漢字 ", k=200)) + " "}
+    parser = language.Parser(learned)
+    texts = [" " + "".join(r.choices("abz漢 ", k=r.randrange(1, 40))) + " " for _ in range(40)] + [" aba " * 30, "ab" * 100, "z" * 70, "a", " "]
+    assert parser.phrases(texts).tolist() == [[occurs(learned[name], t) for name in parser.names] for t in texts]
+    assert parser.predict(["", "ab ba", ""])[::2] == [("und", 0.0)] * 2 and parser.predict([]) == []
+
+
+def test_parsing_takes_less_than_some_plain_loops_over_the_text():
+    r = random.Random(6)
+    words = {name: ["".join(r.choices(letters, k=r.randrange(2, 9))) for _ in range(3000)] for name, letters in (("x", "abcdefghiê"), ("y", "efghijklmn"), ("z", "ijklmnopqß"), ("w", "mnopqrstuv"))}
+    parser = language.Parser({name: f" {' '.join(of)} " for name, of in words.items()})
+    texts = [", ".join(r.choices(of, k=200)) for of in words.values() for _ in range(100)]
+    language.letters("a")
+
+    def seconds(run):
+        start = time.process_time()
+        run()
+        return time.process_time() - start
+
+    def loop():
+        for text in texts * len(words):
+            for c in text:
+                c in words  # noqa: B015
+
+    found = min(seconds(lambda: parser.predict([language.letters(t) for t in texts])) for _ in range(3))
+    assert found < 5 * min(seconds(loop) for _ in range(3))
+    assert [lang for lang, _ in parser.predict(texts)] == [name for name in words for _ in range(100)]
+
+
 def test_passages_are_drawn_from_whole_texts(spark):
     text = " ".join("abcdefghij"[k % 10] * 3 + "klmnopqrst"[k // 10 % 10] * 4 for k in range(100)) * 100
     texts = language.learn(spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string"), passages=20, chars=50)
