@@ -228,7 +228,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     passage = F.transform("parts", lambda i: F.substr("text", (i * chars + 1).cast("int"), F.lit(chars)))
     chosen = picked.dropDuplicates(["lang", "key"]).select("lang", "key", F.posexplode(passage).alias("part", "passage"))
     texts: dict[str, list[str]] = {}
-    for lang, _, _, passage in sorted(map(tuple, chosen.toLocalIterator())):
+    for lang, passage in sorted((r.lang, r.passage) for r in chosen.toLocalIterator()):
         texts.setdefault(lang, []).append(passage)
     running = {lang: letters(" ".join(of)) for lang, of in texts.items()}
     return {lang: f" {words} " for lang, words in running.items() if words}
