@@ -196,6 +196,34 @@ def test_pieces_with_tiny_tables_and_windows(model):
         assert list(own.viterbi("▁" + text.replace(" ", "▁"))) == own.merged("▁" + text.replace(" ", "▁")) or len(text) > 600
 
 
+def test_pieces_with_little_kept_of_reading_and_boundaries(model, monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    for name in ("KEPT_ENDS", "KEPT_FITS"):
+        monkeypatch.setattr(pieces, name, 5)
+    own = pieces.Pieces(model, 3)
+    assert all(own.encode(text).tolist() == library.encode(text) for text in hard_texts())
+
+
+def test_boundaries_are_told_without_merging_anew(model, monkeypatch):
+    own, r = pieces.Pieces(model), random.Random(8)
+    some = r.sample(sorted(own.ids), 300) + list("aeé漢😀▁.0") + ["qzx"]
+    pairs = [(a, b) for a in some for b in r.sample(some, 20)] + [(a[:i], a[i:]) for a in some for i in range(1, len(a))]
+    held = [own.parted(a, b) for a, b in pairs]
+    assert held == [own.merged(a + b) == [a, b] for a, b in pairs] and 0 < sum(held) < len(held)
+    # A piece whose merge scores better than one that it needs.
+    own.scores = {"ab": -5.0, "abc": -1.0, "cd": -2.0, "bc": -5.0, "cc": -5.0}
+    own.known_edges.clear()
+    strings = ["".join(r.choices("abcd", k=r.randrange(1, 4))) for _ in range(200)]
+    assert all(own.parted(a, b) == (own.merged(a + b) == [a, b]) for a in strings for b in strings[:50])
+    # Words that nobody has seen are encoded without merging every pair of neighbours.
+    fresh, calls = pieces.Pieces(model), []
+    monkeypatch.setattr(fresh, "merged", lambda text: calls.append(text) or own.merged(text))
+    own = pieces.Pieces(model)
+    for _ in range(500):
+        fresh.encode("".join(r.choices("aeinorstlu", k=12)))
+    assert len(calls) == len(set(calls)) and all(text in own.ids for text in calls)
+
+
 def test_pieces_edges(spark):
     docs = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x"), (4, "▁"), (5, "long " * 100_000)]
     df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, ids string")
