@@ -13,6 +13,7 @@ import math
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import Bucketizer, VectorAssembler
@@ -29,6 +30,8 @@ from tallyweek.operators.split import HASHES, key_hash
 
 # The largest weight a row can have in a tree: the chance of a higher one is under the hash's resolution.
 MOST = 12
+# Columns with about so many values at most are counted value by value.
+COUNTED_VALUES = 200_000
 
 
 def bag_weight(key: Sequence[str], tree: int, seed: int = SEED) -> Column:
@@ -43,19 +46,37 @@ def bag_weight(key: Sequence[str], tree: int, seed: int = SEED) -> Column:
 
 def split_points(df: DataFrame, names: Sequence[str], max_bins: int = 32) -> dict[str, list[float]]:
     """Where each column may be split: between all values if there are at most `max_bins`, else at quantiles of all rows."""
-    few = df.agg(*[F.count_distinct(F.col(c).cast("double")).alias(c) for c in names]).first()
+    values = {c: F.col(c).cast("double") for c in names}
+    about = df.agg(*[F.approx_count_distinct(v).alias(c) for c, v in values.items()]).first()
+    counted = [c for c in names if about[c] <= COUNTED_VALUES]
+    probs = {f"_q{i}": i / max_bins for i in range(1, max_bins)}
     out = {}
     for c in names:
-        if few[c] <= max_bins:
-            values = sorted(r[0] for r in df.select(F.col(c).cast("double")).distinct().collect())  # max_bins rows at most
-            out[c] = [(a + b) / 2 for a, b in zip(values, values[1:])]
-        else:
-            probs = {f"_q{i}": i / max_bins for i in range(1, max_bins)}
-            row = named_quantiles(df.select(F.col(c).cast("double").alias(c)), c, probs).first()
+        if c not in counted:
+            row = named_quantiles(df.select(values[c].alias(c)), c, probs).first()
             out[c] = sorted({row[q] for q in probs})
+    if counted:
+        # One pass counts the values of all these columns.
+        pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("at"), values[c].alias("v")) for i, c in enumerate(counted)])))
+        met = pairs.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("at", "v").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("v")
+        for i, c in enumerate(counted):
+            own = met[met["at"] == i]
+            found = own["v"].to_numpy()
+            if len(found) <= max_bins:
+                out[c] = ((found[:-1] + found[1:]) / 2).tolist()
+            else:
+                out[c] = sorted(set(_quantiles(found, own["n"].to_numpy(), list(probs.values()))))
     return out
 
 
+def _quantiles(values: np.ndarray, counts: np.ndarray, probs: Sequence[float]) -> list[float]:
+    """Interpolated quantiles, as `named_quantiles` has them, of ordered values that occur so often."""
+    ends = counts.cumsum()
+    at = np.array(probs) * (ends[-1] - 1)
+    low, high = (values[np.searchsorted(ends, f(at), side="right")] for f in (np.floor, np.ceil))
+    return np.where(low == high, low, low + (high - low) * (at - np.floor(at))).tolist()
+
+
 def binner(names: Sequence[str], cuts: Mapping[str, Sequence[float]]) -> Transformer:
     """Rows to vectors of bin numbers."""
     bins = Bucketizer(

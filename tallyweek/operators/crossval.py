@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tallyweek.functions.columns import fixed_text, joined_label, other_columns
 from tallyweek.functions.sizing import checkpointed, local_table, saved
-from tallyweek.operators import bagging, models
+from tallyweek.operators import bagging, grown, models
 from tallyweek.operators.clean import keep_present
 from tallyweek.operators.metrics import regression_metrics
 from tallyweek.operators.models import FEATURES, MODEL_NAMES, Fit
@@ -34,7 +34,7 @@ GRIDS: dict[str, list[dict[str, int]]] = {
     "tree": [{"max_depth": 5}, {"max_depth": 10}],
 }
 
-# From this many rows on, trees without draws are fitted on cells: the rows that fall in the same bins of all features.
+# From this many rows on, trees are fitted on cells: the rows that fall in the same bins of all features.
 CELL_ROWS = 500_000
 WEIGHT = "_weight"
 
@@ -138,8 +138,9 @@ def cross_validate_all(
     side; a learner never waits for another one to end. `handle_invalid` and `partitions` as in
     `models.fit`. Held-out predictions are saved once.
 
-    From CELL_ROWS rows on, single and boosted trees on numbers are fitted on `cells`, of which there are at most as many as rows.
-    Where a feature may be split is then set by the feature's values in all rows, and not by a sample of them.
+    From CELL_ROWS rows on, trees, forests and boosted trees on numbers are grown on cells (`grown`), as long as the cells fit in a
+    task's memory. With more of them single and boosted trees are still fitted on `cells` and forests on rows, by Spark.
+    Where a feature may be split is set by its values in all rows, where there are cells, and not by a sample of them.
     """
     if select_on not in ("train", "inner"):
         raise ValueError("select_on must be 'train' or 'inner'")
@@ -160,12 +161,18 @@ def cross_validate_all(
             raise ValueError(f"folds must be 1 to {k}, not {unknown[0]}")
         if empty := [i for i in range(1, k + 1) if i not in found]:
             raise ValueError(f"fold {empty[0]} has no rows")
+        numbers = all(isinstance(rows.schema[c].dataType, T.NumericType) for c in names)
+        large = numbers and sum(found.values()) >= CELL_ROWS
+        runs: dict[str, CrossValidation] = {}
+        for most, which in (_growing(makers, points) if large else {}).items():
+            runs |= _on_cells(rows, label, names, {n: makers[n] for n in which}, points, k, fold, key, select_on == "inner", most, sum(found.values()), parallelism) or {}
+        asked_for, makers = list(makers), {n: make for n, make in makers.items() if n not in runs}
+        if not makers:
+            return {n: runs[n] for n in asked_for}
         partitions = partitions or models.fit_partitions(sum(found.values()))
         vary = {n for n, make in makers.items() if isinstance(make(), LinearRegression)}
         constant = models.constant_columns(rows, names) if vary else []
         dropped = {n: constant if n in vary else [] for n in makers}
-        numbers = all(isinstance(rows.schema[c].dataType, T.NumericType) for c in names)
-        large = numbers and sum(found.values()) >= CELL_ROWS
         bins = {n: _cell_bins([make(**p) for p in points[n]]) if large else None for n, make in makers.items()}
         tables: dict[tuple[str, ...] | int, tuple] = {}
         for most in {b for b in bins.values() if b}:
@@ -238,30 +245,86 @@ def cross_validate_all(
                     best = choose([e for _, e in own]) if len(own) > 1 else 0
                     chosen.append((n, i, points[n][best], *own[best]))
             finished = run(finish, [c[:4] for c in chosen])
-        out = {}
         for n in makers:
             own = [(c, f) for c, f in zip(chosen, finished) if c[0] == n]
             held_out = [part.drop(FEATURES, f"_{label}", "_inner", *[f"_bin_{c}" for c in names]) for _, (_, part, _) in own]
-            evals = [
-                (
-                    n, i, scores["rmse"], scores["r_squared"],
-                    point.get("num_trees"), point.get("max_iter"), point.get("max_depth"), point.get("reg_param"), select_rmse,
-                )
-                for (_, i, point, _, select_rmse), (_, _, scores) in own
-            ]
+            evals = [_eval_row(n, i, scores["rmse"], scores["r_squared"], point, select_rmse) for (_, i, point, _, select_rmse), (_, _, scores) in own]
             used = [c for c in names if c not in dropped[n]]
-            out[n] = CrossValidation(
+            runs[n] = CrossValidation(
                 model=n,
                 fits=[Fit(PipelineModel([of[n][0], m]), label, of[n][2], dropped[n], used) for _, (m, _, _) in own],
                 params=[c[2] for c, _ in own],
                 predictions=saved(stack_rows(*held_out), "predictions"),
                 evals=local_table(spark, evals, EVAL_FIELDS),
             )
-        return out
+        return {n: runs[n] for n in asked_for}
     finally:
         rows.unpersist()
 
 
+def _eval_row(name: str, fold: int, rmse: float, r_squared: float | None, point: Mapping[str, object], select_rmse: float | None) -> tuple:
+    return (name, fold, rmse, r_squared, point.get("num_trees"), point.get("max_iter"), point.get("max_depth"), point.get("reg_param"), select_rmse)
+
+
+def _growing(makers: Mapping[str, Callable[..., Estimator]], points: Mapping[str, Sequence[Mapping]]) -> dict[int, list[str]]:
+    """The learners that can be grown on cells at all their grid points, by how many bins they want."""
+    out: dict[int, list[str]] = {}
+    for n, make in makers.items():
+        built = [make(**p) for p in points[n]]
+        if all(grown.learner(b) for b in built) and len({b.getMaxBins() for b in built}) == 1:
+            out.setdefault(built[0].getMaxBins(), []).append(n)
+    return out
+
+
+def _on_cells(
+    rows: DataFrame, label: str, names: Sequence[str], makers: Mapping[str, Callable[..., Estimator]], points: Mapping[str, Sequence[Mapping]],
+    k: int, fold: str, key: Sequence[str] | None, inner: bool, most: int, n_rows: int, parallelism: int,
+) -> dict[str, CrossValidation] | None:
+    """The cross-validations of trees that are grown on cells, or None where there are too many cells."""
+    cuts = bagging.split_points(rows, names, most)
+    if math.prod(len(cuts[c]) + 2 for c in names) >= 1 << 62:
+        return None
+    table, n_bins = grown.cell_rows(rows, names, cuts, label, key, n_rows)
+    built = {(n, j): make(**p) for n, make in makers.items() for j, p in enumerate(points[n])}
+    learners = {at: grown.learner(b) for at, b in built.items()}
+    bags = sorted({(h.seed, i) for h in learners.values() if h.bootstrap for i in range(h.trees)})
+    packed = grown.groups(table, label, fold, "_inner" if inner else None, bags)
+    if packed.agg(F.sum("size")).first()[0] > grown.MOST_GROUPS:
+        return None
+    tasks = [(n, j, i, not inner or len(points[n]) == 1) for n, j in built for i in range(1, k + 1)]
+    fits, trees = grown.fit(packed, tasks, learners, n_bins, bags)
+    own_trees = {t: trees.where(F.col("task") == i) for i, t in enumerate(tasks)}
+    scored = grown.scores(packed, fits, learners, n_bins)
+    chosen = []
+    for n in makers:
+        for i in range(1, k + 1):
+            own = [t for t in tasks if t[0] == n and t[2] == i]
+            best = own[choose([scored[t][0] for t in own]) if len(own) > 1 else 0]
+            chosen.append(((*best[:3], True), scored[best][0] if len(own) > 1 else None))
+    if again := [t for t, _ in chosen if t not in fits]:
+        more, trees = grown.fit(packed, again, learners, n_bins, bags)
+        fits |= more
+        own_trees |= {t: trees.where(F.col("task") == i) for i, t in enumerate(again)}
+        scored |= grown.scores(packed, {t: fits[t] for t in again}, learners, n_bins)
+    best_fits = {t: fits[t] for t, _ in chosen}
+    held_out = grown.predictions(table, fold, best_fits, learners, n_bins)
+    shaped = grown.shaped(rows.sparkSession, {t: built[t[:2]] for t in best_fits}, own_trees, label, len(names), parallelism)
+    to_bins = bagging.binner(names, cuts)
+    out = {}
+    for place, n in enumerate(makers):
+        own = [(t, e) for t, e in chosen if t[0] == n]
+        evals = [_eval_row(n, t[2], *scored[t][1:], points[n][t[1]], e) for t, e in own]
+        kept = [c for c in rows.columns if c != "_inner"]
+        out[n] = CrossValidation(
+            model=n,
+            fits=[Fit(PipelineModel([to_bins, shaped[t]]), label, list(names), [], list(names)) for t, _ in own],
+            params=[points[n][t[1]] for t, _ in own],
+            predictions=held_out.select(*kept, F.col(f"_prediction_{place}").alias("prediction")),
+            evals=local_table(rows.sparkSession, evals, EVAL_FIELDS),
+        )
+    return out
+
+
 def _effort(point: Mapping[str, object]) -> float:
     """How long a fit takes next to others: trees grown one after the other count in full."""
     return (point.get("max_iter", 0) + 0.1 * point.get("num_trees", 1)) * point.get("max_depth", 1)
