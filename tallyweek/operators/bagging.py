@@ -10,10 +10,12 @@ is left to chance are the features a node may use, drawn on the driver from the
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import Bucketizer, VectorAssembler
@@ -32,6 +34,10 @@ from tallyweek.operators.split import HASHES, key_hash
 MOST = 12
 # Columns with about so many values at most are counted value by value.
 COUNTED_VALUES = 200_000
+# So many of the lowest hashes tell about how many values a column has.
+LOWEST = 1024
+# Values are put in order so many rows at a time.
+CHUNK = 262_144
 
 
 def bag_weight(key: Sequence[str], tree: int, seed: int = SEED) -> Column:
@@ -46,9 +52,11 @@ def bag_weight(key: Sequence[str], tree: int, seed: int = SEED) -> Column:
 
 def split_points(df: DataFrame, names: Sequence[str], max_bins: int = 32) -> dict[str, list[float]]:
     """Where each column may be split: between all values if there are at most `max_bins`, else at quantiles of all rows."""
+    # Where the driver has this package, executors have it too.
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     values = {c: F.col(c).cast("double") for c in names}
-    about = df.agg(*[F.approx_count_distinct(v).alias(c) for c, v in values.items()]).first()
-    counted = [c for c in names if about[c] <= COUNTED_VALUES]
+    about = _about_distinct(df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())]))
+    counted = [c for c, n in zip(names, about) if n <= max(COUNTED_VALUES, max_bins)]
     probs = {f"_q{i}": i / max_bins for i in range(1, max_bins)}
     out = {}
     for c in names:
@@ -57,8 +65,8 @@ def split_points(df: DataFrame, names: Sequence[str], max_bins: int = 32) -> dic
             out[c] = sorted({row[q] for q in probs})
     if counted:
         # One pass counts the values of all these columns.
-        pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("at"), values[c].alias("v")) for i, c in enumerate(counted)])))
-        met = pairs.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("at", "v").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("v")
+        pairs = df.select(*[values[c].alias(f"v{i}") for i, c in enumerate(counted)]).mapInArrow(_counts, "at int, v double, n bigint")
+        met = pairs.groupBy("at", "v").agg(F.sum("n").alias("n")).toPandas().sort_values("v")
         for i, c in enumerate(counted):
             own = met[met["at"] == i]
             found = own["v"].to_numpy()
@@ -69,6 +77,67 @@ def split_points(df: DataFrame, names: Sequence[str], max_bins: int = 32) -> dic
     return out
 
 
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per column the values present in some of the batches, with their counts."""
+    held, n = [], 0
+
+    def met() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        table = pa.Table.from_batches(held)
+        for i in range(table.num_columns):
+            x = table.column(i).to_numpy()
+            yield i, *np.unique(x[~np.isnan(x)] + 0.0, return_counts=True)  # missing values come as NaN, and -0.0 becomes 0.0
+
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= CHUNK:
+            yield from met()
+            held, n = [], 0
+    if n:
+        yield from met()
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for i, values, counts in _found(batches):
+        yield pa.RecordBatch.from_pydict({"at": np.full(len(values), i, np.int32), "v": values, "n": counts.astype(np.int64)})
+
+
+def _lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept: dict[int, np.ndarray] = {}
+    for i, values, _ in _found(batches):
+        kept[i] = np.union1d(kept.get(i, np.empty(0, np.uint64)), _spread(values))[:LOWEST]
+    yield _packed(kept)
+
+
+def _lowest_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept: dict[int, np.ndarray] = {}
+    for b in batches:
+        for i, low in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            kept[i] = np.union1d(kept.get(i, np.empty(0, np.uint64)), np.frombuffer(low, np.uint64))[:LOWEST]
+    yield _packed(kept)
+
+
+def _packed(kept: Mapping[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"at": pa.array(list(kept), pa.int32()), "low": pa.array([v.tobytes() for v in kept.values()], pa.binary())})
+
+
+def _spread(values: np.ndarray) -> np.ndarray:
+    """Numbers to 64 bits that look independent of them."""
+    x = values.view(np.uint64)
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(30))
+
+
+def _about_distinct(df: DataFrame) -> list[float]:
+    """About how many values each column has, by the lowest of their hashes; exact up to LOWEST."""
+    kept = [np.empty(0, np.uint64) for _ in df.columns]
+    parts = df.mapInArrow(_lowest, "at int, low binary")
+    for r in parts.repartition(len(kept), "at").mapInArrow(_lowest_of, "at int, low binary").collect():
+        kept[r["at"]] = np.frombuffer(r["low"], np.uint64)
+    return [len(x) if len(x) < LOWEST else (LOWEST - 1) / (float(x[-1]) / 2.0**64) for x in kept]
+
+
 def _quantiles(values: np.ndarray, counts: np.ndarray, probs: Sequence[float]) -> list[float]:
     """Interpolated quantiles, as `named_quantiles` has them, of ordered values that occur so often."""
     ends = counts.cumsum()

@@ -34,8 +34,8 @@ GRIDS: dict[str, list[dict[str, int]]] = {
     "tree": [{"max_depth": 5}, {"max_depth": 10}],
 }
 
-# From this many rows on, trees are fitted on cells: the rows that fall in the same bins of all features.
-CELL_ROWS = 500_000
+# From this many rows on, trees are fitted on cells.
+CELL_ROWS = models.CELL_ROWS
 WEIGHT = "_weight"
 
 EVAL_FIELDS = (
@@ -282,14 +282,15 @@ def _on_cells(
 ) -> dict[str, CrossValidation] | None:
     """The cross-validations of trees that are grown on cells, or None where there are too many cells."""
     cuts = bagging.split_points(rows, names, most)
-    if math.prod(len(cuts[c]) + 2 for c in names) >= 1 << 62:
+    if not grown.countable(cuts):
         return None
     table, n_bins = grown.cell_rows(rows, names, cuts, label, key, n_rows)
+    table = saved(table, "rows_by_cell")
     built = {(n, j): make(**p) for n, make in makers.items() for j, p in enumerate(points[n])}
     learners = {at: grown.learner(b) for at, b in built.items()}
-    bags = sorted({(h.seed, i) for h in learners.values() if h.bootstrap for i in range(h.trees)})
+    bags = grown.bags(learners)
     packed = grown.groups(table, label, fold, "_inner" if inner else None, bags)
-    if packed.agg(F.sum("size")).first()[0] > grown.MOST_GROUPS:
+    if packed is None:
         return None
     tasks = [(n, j, i, not inner or len(points[n]) == 1) for n, j in built for i in range(1, k + 1)]
     fits, trees = grown.fit(packed, tasks, learners, n_bins, bags)

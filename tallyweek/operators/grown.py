@@ -1,4 +1,4 @@
-"""Trees of a cross-validation grown on cells, each forest block and each boosted ensemble in one task.
+"""Trees of large tables grown on cells, each forest block and each boosted ensemble in one task.
 
 A cell holds the rows that fall in the same bins of all features. To a tree a cell is its weight and its sum of labels, so a
 large table shrinks to as many numbers as its features have combinations of bins, and a level of a tree is a few counts
@@ -16,12 +16,11 @@ import pickle
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, inheritable_thread_target
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor,
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyweek.functions.sizing import local_table, saved, scratch_path
 from tallyweek.operators import bagging
-from tallyweek.operators.models import FEATURES, fit_partitions
+from tallyweek.operators.models import FEATURES, Fit, fit_partitions
 
 CELL, DRAW = "_cell", "_draw"
 # So many groups of a cell's rows by fold fit in the memory of a task (about 100 bytes each); with more, Spark's own learners do the work.
@@ -286,16 +285,24 @@ def cell_rows(rows: DataFrame, names: Sequence[str], cuts: Mapping[str, Sequence
         cell = cell * F.lit(n).cast("bigint") + F.col(f"_bin_{c}").cast("bigint")
     cell = F.coalesce(cell, F.raise_error(F.lit("a feature is missing")).cast("bigint"))
     out = binned.withColumns({CELL: cell, DRAW: F.xxhash64(*[F.col(c) for c in key or [label, *names]])}).drop(*[f"_bin_{c}" for c in names])
-    # Where the driver has this package, executors have it too.
-    rows.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     out = out.repartitionByRange(2 * fit_partitions(n_rows), CELL, DRAW).sortWithinPartitions(CELL)
-    return saved(out, "rows_by_cell"), n_bins
+    return out, n_bins
 
 
-def groups(table: DataFrame, label: str, fold: str, inner: str | None, bags: Sequence[tuple[int, int]]) -> DataFrame:
+def countable(cuts: Mapping[str, Sequence[float]]) -> bool:
+    """Can a cell have a number of 64 bits?"""
+    return math.prod(len(c) + 2 for c in cuts.values()) < 1 << 62
+
+
+def bags(learners: Mapping[object, Learner]) -> list[tuple[int, int]]:
+    """The draws that forests need: seed and number of the tree."""
+    return sorted({(h.seed, i) for h in learners.values() if h.bootstrap for i in range(h.trees)})
+
+
+def groups(table: DataFrame, label: str, fold: str, inner: str | None, bags: Sequence[tuple[int, int]]) -> DataFrame | None:
     """Rows summed up by cell, fold and inner part, in packed arrays: block -1 holds count, mean and squared deviations, block i the draws of BLOCK trees.
 
-    A group may come in several pieces, as the rows of a cell may lie in several chunks.
+    None if there are more than MOST_GROUPS groups. A group may come in several pieces, as the rows of a cell may lie in several chunks.
     """
     shown = [F.col(CELL), F.col(fold).cast("int").alias("fold"), (F.col(inner) == 0 if inner else F.lit(False)).alias("inner"), F.col(label).cast("double").alias("y"), F.col(DRAW)]
 
@@ -321,7 +328,8 @@ def groups(table: DataFrame, label: str, fold: str, inner: str | None, bags: Seq
                 "size": pa.array([len(at)] + [0] * (len(packed) - 1), pa.int64()), "data": pa.array([pickle.dumps(p, 5) for p in packed], pa.binary()),
             })
 
-    return saved(table.select(*shown).mapInArrow(sums, "chunk bigint, block int, size bigint, data binary"), "groups")
+    packed = saved(table.select(*shown).mapInArrow(sums, "chunk bigint, block int, size bigint, data binary"), "groups")
+    return packed if (packed.agg(F.sum("size")).first()[0] or 0) <= MOST_GROUPS else None
 
 
 def _units(tasks: Sequence[Task], learners: Mapping[tuple[str, int], Learner], bags: Sequence[tuple[int, int]]) -> list[tuple[int, list]]:
@@ -567,3 +575,23 @@ def shaped(spark: SparkSession, built: Mapping[Task, Estimator], trees: Mapping[
         shapers = dict(zip(names, pool.map(threaded(lambda n: Shaper(spark, first[n], label, n_features)), names, chunksize=1)))
         made = pool.map(threaded(lambda t: shapers[t[0]].model(built[t], trees[t], f"{t[1]}_{t[2]}")), list(built), chunksize=1)
     return dict(zip(built, made))
+
+
+def fit_all(rows: DataFrame, label: str, names: Sequence[str], made: Mapping[str, Estimator], n_rows: int, parallelism: int) -> dict[str, Fit]:
+    """Those of the built estimators that can be grown on cells, fitted on all rows; none if there are too many cells."""
+    learners = {(kind, 0): how for kind, built in made.items() if (how := learner(built))}
+    widths = {made[kind].getMaxBins() for kind, _ in learners}
+    if len(widths) != 1:
+        return {}
+    cuts = bagging.split_points(rows, names, widths.pop())
+    if not countable(cuts):
+        return {}
+    table, n_bins = cell_rows(rows.withColumn("_fold", F.lit(1)), names, cuts, label, None, n_rows)
+    packed = groups(table, label, "_fold", None, bags(learners))
+    if packed is None:
+        return {}
+    tasks = [(kind, 0, 0, True) for kind, _ in learners]  # no row is in fold 0
+    trees = fit(packed, tasks, learners, n_bins, bags(learners))[1]
+    shapes = shaped(rows.sparkSession, {t: made[t[0]] for t in tasks}, {t: trees.where(F.col("task") == i) for i, t in enumerate(tasks)}, label, len(names), parallelism)
+    to_bins = bagging.binner(names, cuts)
+    return {t[0]: Fit(PipelineModel([to_bins, shapes[t]]), label, list(names), [], list(names)) for t in tasks}

@@ -39,6 +39,8 @@ PARTITION_ROWS = 20_000
 # its histograms on and its figures to the driver, however few rows it has.
 FEW_PARTITIONS = 12
 LARGE_PARTITION_ROWS = 250_000
+# From this many rows on, trees are grown on cells: the rows that fall in the same bins of all features (see `grown`).
+CELL_ROWS = 500_000
 HANDLE_INVALID = ("error", "skip", "keep")
 
 # The display name of each kind of model.
@@ -224,12 +226,17 @@ def fit_all(
 ) -> dict[str, Fit]:
     """One fit per kind, with default parameters or those in `params`, side by side on one kept table of vectors.
 
-    `parallelism` is how many fits may hold a copy of the rows at a time.
+    `parallelism` is how many fits may hold a copy of the rows at a time. From CELL_ROWS rows on, trees, forests and boosted
+    trees on numbers are grown on cells, if these are not too many.
     """
+    from tallyweek.operators import grown  # it knows the learners of this module
+
     names = other_columns(train, label)
     train = usable_rows(keep_present(train, label), names, handle_invalid).select(label, *names).persist(StorageLevel.MEMORY_AND_DISK)
-    partitions = partitions or fit_partitions(train.count())
+    n_rows = train.count()
+    partitions = partitions or fit_partitions(n_rows)
     made = {kind: ESTIMATORS[kind](**(params or {}).get(kind, {})) for kind in kinds}
+    numbers = all(isinstance(train.schema[c].dataType, T.NumericType) for c in names)
 
     def vectors(vary: bool) -> tuple[Transformer, DataFrame, list[str]]:
         to_vector, rows, dropped = _vectors_of(train, label, names, vary, partitions)
@@ -240,12 +247,17 @@ def fit_all(
         return _fit_vectors(*(narrow if isinstance(made[kind], LinearRegression) else plain), label, names, made[kind])
 
     try:
+        fits = grown.fit_all(train, label, names, made, n_rows, parallelism) if numbers and n_rows >= CELL_ROWS else {}
+        kinds, wanted = [kind for kind in kinds if kind not in fits], kinds
+        if not kinds:
+            return {kind: fits[kind] for kind in wanted}
         linear_asked = any(isinstance(m, LinearRegression) for m in made.values())
         plain = narrow = vectors(False)
         if linear_asked and constant_columns(train, names):
             narrow = vectors(True)
         with ThreadPool(max(1, min(parallelism, len(kinds)))) as pool:
-            return dict(zip(kinds, pool.map(inheritable_thread_target(train.sparkSession)(one), kinds, chunksize=1)))
+            fits |= dict(zip(kinds, pool.map(inheritable_thread_target(train.sparkSession)(one), kinds, chunksize=1)))
+        return {kind: fits[kind] for kind in wanted}
     finally:
         train.unpersist()
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweek.functions import calendar, columns
-from tallyweek.functions.sizing import scratch_path
+from tallyweek.functions.sizing import saved, scratch_path
 from tallyweek.operators import clean, correlation, crossval, distribution, metrics, models, quality, reshape, summary
 from tallyweek.operators.join import attach_stats, inner_join
 from tallyweek.operators.split import part_name, split, with_fold
@@ -699,12 +699,20 @@ def _fitted(spark, sf_dir) -> dict[str, models.Fit]:
     return {}
 
 
-def _fits(spark, sf_dir, *kinds: str) -> dict[str, models.Fit]:
+def _kept_parts(spark, sf_dir) -> dict[str, DataFrame]:
+    """The model parts with their key, computed once for a query that reads them several times."""
+    year = clean.keep_years(panel(spark, sf_dir), "week_date", MODEL_YEAR).withColumn("part", part_name(WEIGHTS, KEY))
+    drop = ["temperature", "fuel_price", "store_type", "cpi", "month", "unemployment"]
+    table = saved(plans.model_table(year, MODEL_YEAR, drop=drop), "model_rows")
+    return {name: table.where(F.col("part") == name).drop("part") for name in WEIGHTS}
+
+
+def _fits(spark, sf_dir, *kinds: str, train: DataFrame | None = None) -> dict[str, models.Fit]:
     """The asked models, fitted on the training rows unless they are already."""
     done = _fitted(spark, sf_dir)
     kinds = kinds or tuple(models.ESTIMATORS)
     if missing := [k for k in kinds if k not in done]:
-        done |= models.fit_all(model_parts(spark, sf_dir)["train"], "weekly_sales", missing)
+        done |= models.fit_all(model_parts(spark, sf_dir)["train"] if train is None else train, "weekly_sales", missing)
     return {k: done[k] for k in kinds}
 
 
@@ -834,11 +842,11 @@ def _cv_linear(spark, sf_dir):
     return _cross_validate(spark, sf_dir, "linear")
 
 
-def _trees(spark, sf_dir, *kinds: str) -> list[crossval.CrossValidation]:
+def _trees(spark, sf_dir, *kinds: str, train: DataFrame | None = None) -> list[crossval.CrossValidation]:
     """The asked tree learners, those not run yet in one queue on one table of vectors."""
     done = _cv_done(spark, sf_dir)
     if missing := [k for k in kinds if k not in done]:
-        train = model_parts(spark, sf_dir, keep_key=True)["train"]
+        train = model_parts(spark, sf_dir, keep_key=True)["train"] if train is None else train
         features = columns.other_columns(train, "weekly_sales", "week_date")
         done |= crossval.cross_validate_all(train, "weekly_sales", {k: k for k in missing}, features, k=5, grids=crossval.GRIDS, key=KEY)
     return [done[k] for k in kinds]
@@ -849,8 +857,8 @@ def _cv_done(spark, sf_dir) -> dict[str, crossval.CrossValidation]:
     return {}
 
 
-def _runs(spark, sf_dir):
-    return _trees(spark, sf_dir, "forest", "gbt", "tree")
+def _runs(spark, sf_dir, train: DataFrame | None = None):
+    return _trees(spark, sf_dir, "forest", "gbt", "tree", train=train)
 
 
 @query
@@ -921,7 +929,8 @@ def cv_importance(spark, sf_dir):
 @query
 def cv_vs_holdout(spark, sf_dir):
     """M24."""
-    runs = _runs(spark, sf_dir)
-    fits = _fits(spark, sf_dir, *[run.model for run in runs])
+    parts = _kept_parts(spark, sf_dir)
+    runs = _runs(spark, sf_dir, parts["train"])
+    fits = _fits(spark, sf_dir, *[run.model for run in runs], train=parts["train"].drop("week_date"))
     results = crossval.cv_results(runs)
-    return crossval.cv_vs_holdout(models.compare_models(fits, model_parts(spark, sf_dir)["test"]), results)
+    return crossval.cv_vs_holdout(models.compare_models(fits, parts["test"].drop("week_date")), results)

@@ -1,5 +1,7 @@
 """Trees grown on cells in single tasks, held against Spark's learners on rows."""
 
+import uuid
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -26,10 +28,11 @@ def run(table, kind, grid, least, monkeypatch, **more):
 
 
 def jobs(spark, work):
-    spark.sparkContext.setJobGroup(f"counted-{id(work)}", "")
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "")
     try:
         work()
-        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"counted-{id(work)}"))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
@@ -108,3 +111,27 @@ def test_split_points_of_counted_values_are_those_of_ranges(spark, monkeypatch):
     monkeypatch.setattr(bagging, "COUNTED_VALUES", 0)
     assert bagging.split_points(df, ["x", "i"]) == counted
     assert counted["x"] == pytest.approx(np.unique(np.quantile([r.x for r in df.collect()], np.arange(1, 32) / 32)))
+
+
+def test_fits_of_large_tables_are_grown(spark, table, monkeypatch):
+    params = {"gbt": {"max_iter": 4, "max_depth": 2}, "tree": {"max_depth": 3}, "forest": {"num_trees": 2, "max_depth": 3, "bootstrap": False, "feature_subset": "all"}}
+    rows_of = table.drop("id")
+    seen, counted = [], []
+    for least, rounds in ((10**9, 4), (0, 4), (0, 14)):
+        monkeypatch.setattr(models, "CELL_ROWS", least)
+        params["gbt"]["max_iter"] = rounds
+        counted.append(jobs(spark, lambda: seen.append(models.fit_all(rows_of, "y", ["gbt", "linear", "tree", "forest"], params=params))))
+    on_rows, on_cells, _ = seen
+    assert list(on_cells) == list(on_rows) == ["gbt", "linear", "tree", "forest"] and abs(counted[2] - counted[1]) <= 3
+    for kind, f in on_rows.items():
+        one, other = (rows(models.score(x, table).select("id", "prediction"), "id") for x in (f, on_cells[kind]))
+        assert [r[1] for r in other] == pytest.approx([r[1] for r in one], rel=1e-9)
+    assert rows(models.model_overview(on_cells, spark), "model")[0][:4] == rows(models.model_overview(on_rows, spark), "model")[0][:4]
+    one, other = (rows(models.compare_models(x, table), "model") for x in (on_rows, on_cells))
+    assert [r[1:] for r in other] == [pytest.approx(r[1:], rel=1e-9) for r in one]
+
+
+def test_about_distinct(spark):
+    df = spark.range(60_000).select((F.col("id") % 40).cast("double").alias("a"), F.col("id").cast("double").alias("b"), F.lit(None).cast("double").alias("c"))
+    a, b, c = bagging._about_distinct(df)
+    assert (a, c) == (40, 0) and b == pytest.approx(60_000, rel=0.15)
