@@ -699,12 +699,12 @@ def _fitted(spark, sf_dir) -> dict[str, models.Fit]:
     return {}
 
 
-def _kept_parts(spark, sf_dir) -> dict[str, DataFrame]:
-    """The model parts with their key, computed once for a query that reads them several times."""
+def _kept_parts(spark, sf_dir, *names: str) -> dict[str, DataFrame]:
+    """The named model parts with their key, computed once for a query that reads them several times."""
     year = clean.keep_years(panel(spark, sf_dir), "week_date", MODEL_YEAR).withColumn("part", part_name(WEIGHTS, KEY))
     drop = ["temperature", "fuel_price", "store_type", "cpi", "month", "unemployment"]
-    table = saved(plans.model_table(year, MODEL_YEAR, drop=drop), "model_rows")
-    return {name: table.where(F.col("part") == name).drop("part") for name in WEIGHTS}
+    table = saved(plans.model_table(year.where(F.col("part").isin(*names)), MODEL_YEAR, drop=drop), "model_rows")
+    return {name: table.where(F.col("part") == name).drop("part") for name in names}
 
 
 def _fits(spark, sf_dir, *kinds: str, train: DataFrame | None = None) -> dict[str, models.Fit]:
@@ -846,7 +846,7 @@ def _trees(spark, sf_dir, *kinds: str, train: DataFrame | None = None) -> list[c
     """The asked tree learners, those not run yet in one queue on one table of vectors."""
     done = _cv_done(spark, sf_dir)
     if missing := [k for k in kinds if k not in done]:
-        train = model_parts(spark, sf_dir, keep_key=True)["train"] if train is None else train
+        train = _kept_parts(spark, sf_dir, "train")["train"] if train is None else train
         features = columns.other_columns(train, "weekly_sales", "week_date")
         done |= crossval.cross_validate_all(train, "weekly_sales", {k: k for k in missing}, features, k=5, grids=crossval.GRIDS, key=KEY)
     return [done[k] for k in kinds]
@@ -929,7 +929,7 @@ def cv_importance(spark, sf_dir):
 @query
 def cv_vs_holdout(spark, sf_dir):
     """M24."""
-    parts = _kept_parts(spark, sf_dir)
+    parts = _kept_parts(spark, sf_dir, "train", "test")
     runs = _runs(spark, sf_dir, parts["train"])
     fits = _fits(spark, sf_dir, *[run.model for run in runs], train=parts["train"].drop("week_date"))
     results = crossval.cv_results(runs)
