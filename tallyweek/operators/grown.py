@@ -41,6 +41,8 @@ CHUNK = 65_536
 BLOCK = 4
 # A split must lessen the variance by more than this share of it, which is rounding.
 LEAST_GAIN = 1e-13
+# Falls of the squared error that differ by a smaller share are equal: sums in another order do not change which split comes first.
+SAME = 1e-10
 # What a prediction needs to know of the nodes.
 SHAPE = ("feature", "bin", "left", "prediction")
 
@@ -168,9 +170,9 @@ def grow(bins: np.ndarray, n_bins: Sequence[int], w: np.ndarray, s: np.ndarray,
                 lc = lc[:, :-1] - (nc / np.where(nw > 0, nw, 1))[:, None] * lw
                 ok = (lw > 0.5) & (rw > 0.5)  # weights are whole numbers
                 fall = np.where(ok, lc * lc * (1 / np.where(ok, lw, 1) + 1 / np.where(ok, rw, 1)), -np.inf)
-                top = fall.argmax(axis=1)
-                value = fall[np.arange(a), top]
-                better = value > best
+                value = fall.max(axis=1)
+                top = (fall >= (value * (1 - SAME))[:, None]).argmax(axis=1)
+                better = value > best * (1 + SAME)
                 best = np.where(better, value, best)
                 place = np.where(better, chosen[:, j] * most + top, place)
             with np.errstate(divide="ignore", invalid="ignore"):

@@ -135,3 +135,14 @@ def test_about_distinct(spark):
     df = spark.range(60_000).select((F.col("id") % 40).cast("double").alias("a"), F.col("id").cast("double").alias("b"), F.lit(None).cast("double").alias("c"))
     a, b, c = bagging._about_distinct(df)
     assert (a, c) == (40, 0) and b == pytest.approx(60_000, rel=0.15)
+
+
+def test_first_of_equal_splits_whatever_the_rounding():
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 6, 400)
+    bins = np.stack([a, 5 - a, a]).astype(np.uint8)  # three names for the same splits
+    w, y = rng.integers(1, 9, 400).astype(float), rng.normal(50_000, 30_000, 400)
+    for _ in range(10):
+        order = rng.permutation(400)
+        made, _ = grown.grow(bins[:, order], [6, 6, 6], w[order], (w * y)[order], 4)
+        assert set(made["feature"]) == {-1, 0}
